@@ -281,7 +281,7 @@ STANDINS: dict[str, str] = {
         AS activity_tactic_code, 'cat' AS activity_em_category, {pick('n_nationkey', 'stream', None)} AS activity_em_stream,
         'sub' AS activity_sub_stream, {text('n_nationkey')} AS activity_em_number,
         {text('n_nationkey')} || 'A' AS activity_em_number_with_ab_split FROM nation WHERE n_nationkey < 4""",
-    "account_dim": f"""SELECT CASE WHEN c_custkey % 97 = 96 THEN '-1' WHEN c_custkey % 89 = 88 THEN NULL
+    "account_dim": f"""SELECT CASE WHEN c_custkey = 96 THEN '-1' WHEN c_custkey % 89 = 88 THEN NULL
              ELSE {account('c_custkey')} END AS mk_account_vnt_id,
         CASE WHEN c_custkey % 14 = 0 THEN 'Hco' WHEN c_custkey % 26 = 0 THEN NULL ELSE 'HCP' END AS account_class,
         CASE WHEN c_custkey % 21 = 0 THEN NULL ELSE c_name END AS account_name,

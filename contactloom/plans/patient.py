@@ -198,12 +198,13 @@ def patient_suppression(t: Frames, source: DataFrame, party: DataFrame, merge: D
                        {c: c for c in ("iw_flg", "opt_out_flag", "opt_out_date")})
     rows = left_lookup(rows, bounces(t), {"party_fk": "customer_fk"},
                        {"bounce_flag": "bounce_flag", "bounce_date": "bounce_date"})
-    merged_at = F.to_timestamp("date_of_merge", F.lit("MM/dd/yyyy HH:mm:ss"))
+    merged_at = F.to_timestamp("date_of_merge", "MM/dd/yyyy HH:mm:ss")
     losers = first_merge(merge.withColumn("_at", merged_at), "existing_mdm_id", "_at").withColumn(
         "_gone", F.lit("N"))
     rows = left_lookup(rows, losers, {"party_master_id": "existing_mdm_id"},
                        {"et_active": "_gone", "merge_record_date": "_at"})
-    rows = rows.withColumn("et_active", F.coalesce("et_active", F.lit("Y")))
+    rows = rows.withColumns({"et_active": F.coalesce("et_active", F.lit("Y")),
+                             "source_dt": F.col("source_dt").cast("timestamp")})
     rows = rows.withColumns({
         "tmp_suppression_criteria": suppression_reason(patient_rules()),
         "merge_record_date": cause_date("merge_record_date", F.col("et_active") != "N"),
