@@ -43,11 +43,12 @@ class Check:
 
 def open_tables(spark: SparkSession, folder: str) -> Tables:
     """Driver tables by name, and stand-ins derived from them, all lazy."""
-    for name in BASE:
-        load(spark, name, folder).createOrReplaceTempView(name)
-
     def open_table(name: str) -> DataFrame:
-        return spark.table(name) if name in BASE else spark.sql(STANDINS[name])
+        if name in BASE:
+            return load(spark, name, folder)
+        for base in needed_by(STANDINS[name], dict.fromkeys(BASE, "")):
+            load(spark, base, folder).createOrReplaceTempView(base)
+        return spark.sql(STANDINS[name])
 
     return Tables(open_table)
 
