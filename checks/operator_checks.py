@@ -76,10 +76,11 @@ SOURCES = {
         f"""SELECT o_orderkey FROM orders, (SELECT extract_date FROM date_param WHERE etl_name = {quote(V.HCP_DATE_PARAM)}) p
             WHERE p.extract_date > DATE '2014-01-01' AND o_orderdate < DATE '2021-01-01'"""),
     "record_state_policy": Check(
-        lambda t: reduce(DataFrame.union, [party.record_states(t, j).withColumn("job", F.lit(j)) for j in (
-            V.HCP_DATE_PARAM, V.MARKET_DATE_PARAM, "no such job")]),
-        " UNION ALL ".join(f"SELECT *, {quote(j)} AS job FROM ({states(j)}) s" for j in (
-            V.HCP_DATE_PARAM, V.MARKET_DATE_PARAM))),
+        lambda t: reduce(DataFrame.union, [J.keep_matching(
+            t["party_hcp"], party.record_states(t, j), "record_state_cd_fk", "code_sk").select("party_fk", F.lit(j).alias("job"))
+            for j in (V.HCP_DATE_PARAM, V.MARKET_DATE_PARAM, "no such job")]),
+        " UNION ALL ".join(f"SELECT party_fk, {quote(j)} AS job FROM party_hcp WHERE record_state_cd_fk IN (SELECT code_sk FROM ({states(j)}) s)"
+                           for j in (V.HCP_DATE_PARAM, V.MARKET_DATE_PARAM))),
     "as_of_clock": Check(
         lambda t: t["marketing_fact"].filter(S.activity_bounds("activity_time", "2019-01-01", AS_OF)).select("integration_key"),
         f"SELECT integration_key FROM marketing_fact WHERE activity_time >= DATE '2019-01-01' AND activity_time < {DAY_OF}"),
@@ -139,8 +140,8 @@ FILTERS = {
         lambda t: t["customer"].filter(((F.col("c_acctbal") > 5000) & (F.col("c_mktsegment") == "BUILDING")) | (F.col("c_nationkey") < 2)).select("c_custkey"),
         "SELECT c_custkey FROM customer WHERE c_acctbal > 5000 AND c_mktsegment = 'BUILDING' OR c_nationkey < 2"),
     "case_insensitive_equals": Check(
-        lambda t: t["kpi_definition"].filter(S.ci_eq("activity_type_key2", "email opened")).select("activity_source_key1", "metric_type"),
-        "SELECT activity_source_key1, metric_type FROM kpi_definition WHERE trim(lower(activity_type_key2)) = 'email opened'"),
+        lambda t: t["marketing_fact"].filter(S.ci_eq("activity_type_name", "email sent")).select("integration_key", "activity_type_name"),
+        "SELECT integration_key, activity_type_name FROM marketing_fact WHERE trim(lower(activity_type_name)) = 'email sent'"),
     "in_and_not_in_list": Check(
         lambda t: t["party_communication"].select("integration_key", F.col("bounced_inform_flg").isin("N", "X").alias("listed"),
                                                   (~F.col("bounced_inform_flg").isin("N", "X")).alias("unlisted")),
@@ -172,8 +173,11 @@ FILTERS = {
             coalesce(upper(second_product), ''), coalesce(upper(third_product), ''), coalesce(upper(fourth_product), ''), coalesce(upper(fifth_product), ''))
             GROUP BY 1"""),
     "open_ended_definitions": Check(
-        lambda t: t["kpi_definition"].filter(S.open_ended("end_date")).select("activity_type_key2", "activity_source_key1"),
-        "SELECT activity_type_key2, activity_source_key1 FROM kpi_definition WHERE strftime(end_date, '%y') = '99'"),
+        lambda t: J.left_lookup(t["marketing_fact"].select("integration_key", S.folded("activity_type_name").alias("k")),
+                                t["kpi_definition"].filter(S.open_ended("end_date")).withColumn("d", S.folded("activity_type_key2")),
+                                {"k": "d"}, {"source": "activity_source_key1"}),
+        """SELECT integration_key, upper(trim(activity_type_name)) AS k, activity_source_key1 AS source FROM marketing_fact LEFT JOIN kpi_definition
+           ON upper(trim(activity_type_key2)) = upper(trim(activity_type_name)) AND strftime(end_date, '%y') = '99'"""),
 }
 
 # ---- joins ----------------------------------------------------------------------------------
@@ -260,7 +264,9 @@ JOINS = {
         "SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000) THEN 'Y' ELSE 'N' END AS big FROM customer"),
     "eligible_persons": Check(party.eligible_persons, ELIGIBLE),
     "parties_in_area": Check(lambda t: party.parties_in_area(t).distinct(), f"SELECT DISTINCT party_fk FROM ({IN_AREA}) a"),
-    "active_codes": Check(party.active_codes, ACTIVE),
+    "active_market_rows": Check(
+        lambda t: J.keep_matching(t["party_market"], party.active_codes(t), "record_state_cd_fk", "code_sk").select("party_market_sk"),
+        f"SELECT party_market_sk FROM party_market WHERE record_state_cd_fk IN ({ACTIVE})"),
 }
 
 # ---- aggregates -----------------------------------------------------------------------------

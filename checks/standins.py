@@ -246,7 +246,7 @@ STANDINS: dict[str, str] = {
         CASE WHEN o_orderkey % 7 < 4 THEN {pick('o_orderkey', 'Exact Target Email', 'EXACT TARGET EMAIL ')}
              WHEN o_orderkey % 7 = 4 THEN 'Web' WHEN o_orderkey % 7 = 5 THEN NULL ELSE 'Print' END AS channel_name,
         ' level2 ' AS channel_level_2_name,
-        CASE WHEN o_orderkey % 7 = 4 THEN {pick('o_orderkey', 'Web Reg', 'WEB REG', 'Login')}
+        CASE WHEN o_orderkey % 7 = 4 THEN {pick('o_orderkey', 'Web Reg', 'Web Reg', 'Login')}
              WHEN o_orderkey % 71 = 5 THEN NULL
              ELSE {pick('o_orderkey', 'Email Sent', 'email opened', ' Email Sent', 'Email Bounced', 'Clicked Link on Email')}
         END AS activity_type_name,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contactloom.session import use_checkpoint_dir
+from contactloom.sources.tables import settle
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], out: str,
@@ -16,13 +16,10 @@ def global_rank(df: DataFrame, order: Sequence[Column], out: str,
 
     Rows are range-partitioned on the whole order, so rows that tie stay together and partition
     i holds only ranks below those of partition i+1.  The partition number is written with the
-    rows to the checkpoint folder: it must not change between counting and ranking, even when
+    rows to the shared folder: it must not change between counting and ranking, even when
     executors are lost.  The counts then have one row per partition, the only thing broadcast."""
-    spark = df.sparkSession
-    use_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (df.repartitionByRange(n, *order)
-              .withColumn("_part", F.spark_partition_id()).checkpoint())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = settle(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "rank")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("_part").agg(F.count("*").alias("_n"))
                .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

@@ -20,12 +20,14 @@ def _group_of(columns: Sequence[str]) -> Column:
 
 def split_row_number(df: DataFrame, keys: Sequence[str], coarse: Sequence[str],
                      coarse_order: Sequence[Column], fine_order: Sequence[Column],
-                     out: str) -> DataFrame:
-    """``row_number() over (partition by keys order by coarse_order, fine_order)``."""
+                     out: str, counted: DataFrame | None = None) -> DataFrame:
+    """``row_number() over (partition by keys order by coarse_order, fine_order)``.
+
+    ``counted`` may name a cheaper frame with the same rows to take the group counts from."""
     group = [*keys, *coarse]
     earlier = Window.partitionBy(*keys).orderBy(*coarse_order).rowsBetween(
         Window.unboundedPreceding, -1)
-    shift = (df.groupBy(*group).agg(F.count("*").alias("_n"))
+    shift = ((df if counted is None else counted).groupBy(*group).agg(F.count("*").alias("_n"))
              .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
              .select(_group_of(group).alias("_group"), "_before"))
     inside = Window.partitionBy("_group").orderBy(*fine_order)

@@ -22,6 +22,7 @@ from contactloom.operators.reshape import union_conformed
 from contactloom.operators.sequence import repeat_flags, split_row_number
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.sources.contracts import COMBINED
+from contactloom.sources.tables import settle
 
 Frames = Mapping[str, DataFrame]
 MARKETING_FROM, COMBINED_FROM = "2015-01-01", "2019-01-01"
@@ -64,7 +65,9 @@ def _definitions(t: Frames) -> DataFrame:
 
 
 def marketing_activity(t: Frames) -> DataFrame:
-    """One row per activity with tactic, kit, definition, party, brand and call-plan columns."""
+    """One row per activity with tactic, kit, definition, party, brand and call-plan columns.
+
+    Written to the shared folder, because every other activity plan reads it several times."""
     facts = t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
     facts = facts.withColumns({"_type": folded("activity_type_name"), "_channel": folded("channel_name"),
                                "_tactic_key": E.tactic_code("source_cd", "tactic_cd", fold=False),
@@ -92,13 +95,15 @@ def marketing_activity(t: Frames) -> DataFrame:
                          "integration_key", {"_account_class": "account_class"})
     rows = _with_target(rows, target_spans(t), "mk_account_vnt_id", "integration_key",
                         F.to_date("activity_time"))
-    rows = rows.select(*_activity_columns())
+    # the joined rows are read by two counts and by the numbering: make them once
+    joined = settle(rows.select(*_activity_columns()), "activity-joined")
+    rows = joined
     for out, code in (("activity_seq_number", "tactic_code"),
                       ("bounce_activity_seq_number", "actual_tactic_code")):
         rows = split_row_number(rows, ["mdm_id", "activity_type", code], ["time_date"],
                                 [F.col("time_date").desc()],
-                                [newest("date_timestamp"), newest("integration_key")], out)
-    return rows
+                                [newest("date_timestamp"), newest("integration_key")], out, joined)
+    return settle(rows, "activity")
 
 
 def _activity_columns() -> list[Column]:

@@ -17,6 +17,7 @@ from contactloom.operators.suppression import (cause_date, clamp_dates, earliest
                                                patient_rules, suppression_reason)
 from contactloom.plans.party import (Frames, active_codes, area_path, bounces, eligible_persons,
                                      opt_states, record_letter)
+from contactloom.sources.tables import settle
 
 _ADDRESS = ("address_line_1 address_line_2 country_name state_name county_name city_name "
             "postal_cd").split()
@@ -225,7 +226,10 @@ def patient_suppression(t: Frames, source: DataFrame, party: DataFrame, merge: D
 
 
 def patient_workflow(t: Frames, as_of: date) -> dict[str, DataFrame]:
-    party, market, merge = patient_party(t, as_of), patient_market(t), patient_merge(t)
-    source = patient_source(t, party, market)
+    """All five results.  The first four are written to the shared folder as they are made,
+    since later steps read them several times."""
+    party = settle(patient_party(t, as_of), "patient-party")
+    market, merge = settle(patient_market(t), "patient-market"), settle(patient_merge(t), "patient-merge")
+    source = settle(patient_source(t, party, market), "patient-source")
     return {"party": party, "market": market, "source": source, "merge": merge,
             "suppression": patient_suppression(t, source, party, merge)}

@@ -14,6 +14,7 @@ from contactloom.operators.suppression import (cause_date, clamp_dates, earliest
                                                professional_rules, suppression_reason)
 from contactloom.plans.party import (Frames, area_path, bounces, opt_states, parties_in_area,
                                      record_states)
+from contactloom.sources.tables import settle
 
 _PARTY_COLUMNS = """party_sk mdm_key party_type_cd_fk first_name middle_name last_name title
     hcp_type_cd_fk practice_type_cd_fk hcp_status_cd_fk ama_opt_out_flag record_state_cd_fk
@@ -149,9 +150,10 @@ def professional_suppression(t: Frames, source: DataFrame, party: DataFrame,
 
 
 def professional_workflow(t: Frames) -> dict[str, DataFrame]:
-    """All five results, built on each other lazily."""
-    party, market, merge = professional_party(t), professional_market(t), professional_merge(t)
-    source = professional_source(t, party, market)
+    """All five results.  Those that later steps read are written to the shared folder."""
+    party = settle(professional_party(t), "professional-party")
+    market = settle(professional_market(t), "professional-market")
+    merge = settle(professional_merge(t), "professional-merge")
+    source = settle(professional_source(t, party, market), "professional-source")
     return {"party": party, "market": market, "merge": merge, "source": source,
             "suppression": professional_suppression(t, source, party, merge)}
-

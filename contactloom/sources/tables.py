@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactloom.session import use_checkpoint_dir
 from contactloom.sources.contracts import TARGET_LIST
 
 
@@ -56,6 +58,17 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the files.
+
+    For results that are costly to make and read more than once.  Readers of a few columns read
+    only those from the files, and a lost executor costs a re-read instead of the whole lineage.
+    Every call takes a new folder; who owns the shared folder cleans it."""
+    use_checkpoint_dir(df.sparkSession)
+    folder = df.sparkSession.sparkContext.getCheckpointDir()
+    return materialize(df, f"{folder}/{label}-{uuid.uuid4().hex}")
+
+
 def view(name: str, df: DataFrame) -> DataFrame:
     """Register a result so that SQL users can build on it."""
     df.createOrReplaceTempView(name)
