@@ -68,12 +68,16 @@ def marketing_activity(t: Frames) -> DataFrame:
     """One row per activity with tactic, kit, definition, party, brand and call-plan columns.
 
     Written to the shared folder, because every other activity plan reads it several times."""
-    facts = t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
-    facts = facts.withColumns({"_type": folded("activity_type_name"), "_channel": folded("channel_name"),
-                               "_tactic_key": E.tactic_code("source_cd", "tactic_cd", fold=False),
-                               "_tactic_up": F.upper("tactic_cd"),
-                               "_brand": F.upper("mk_product_brand_pm_id"),
-                               "_class": F.upper("mk_therapeutic_class_pm_id")})
+    source = t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
+    # The fact is wide and all of it is kept: it travels through the joins as one struct, which
+    # is copied in one piece, next to the few columns that are joined on.
+    facts = source.select(
+        F.struct(*source.columns).alias("_fact"), F.col("integration_key").alias("_row_id"),
+        F.col("mk_account_vnt_id").alias("_account"), F.col("mk_patient_gne_id").alias("_person"),
+        F.to_date("activity_time").alias("_on"), folded("activity_type_name").alias("_type"),
+        folded("channel_name").alias("_channel"), F.upper("tactic_cd").alias("_tactic_up"),
+        E.tactic_code("source_cd", "tactic_cd", fold=False).alias("_tactic_key"),
+        F.upper("mk_product_brand_pm_id").alias("_brand"), F.upper("mk_therapeutic_class_pm_id").alias("_class"))
     definitions = _definitions(t).withColumns({"_t": folded("activity_type_key2"),
                                                "_c": folded("activity_source_key1")})
     rows = left_lookup(facts, definitions, {"_type": "_t", "_channel": "_c"},
@@ -89,21 +93,22 @@ def marketing_activity(t: Frames) -> DataFrame:
     area = t["therapeutic_class_master"].withColumn("_c", F.upper("mk_therapeutic_class_pm_id"))
     rows = left_lookup(rows, area, {"_class": "_c"}, {"_area": "therapeutic_class"})
     # person rows all carry account -1 and the other way round: spread those keys
-    rows = spread_lookup(rows, t["patient_dim"], "mk_patient_gne_id", "mk_patient_gne_id",
-                         "integration_key", {"_patient_class": "patient_class"})
-    rows = spread_lookup(rows, t["account_dim"], "mk_account_vnt_id", "mk_account_vnt_id",
-                         "integration_key", {"_account_class": "account_class"})
-    rows = _with_target(rows, target_spans(t), "mk_account_vnt_id", "integration_key",
-                        F.to_date("activity_time"))
+    rows = spread_lookup(rows, t["patient_dim"], "_person", "mk_patient_gne_id", "_row_id",
+                         {"_patient_class": "patient_class"})
+    rows = spread_lookup(rows, t["account_dim"], "_account", "mk_account_vnt_id", "_row_id",
+                         {"_account_class": "account_class"})
+    rows = _with_target(rows, target_spans(t), "_account", "_row_id", F.col("_on"))
+    rows = rows.select("_fact.*", *[c for c in rows.columns if c != "_fact"]).select(*_activity_columns())
     # the joined rows are read by two counts and by the numbering: make them once
-    joined = settle(rows.select(*_activity_columns()), "activity-joined")
-    rows = joined
-    for out, code in (("activity_seq_number", "tactic_code"),
-                      ("bounce_activity_seq_number", "actual_tactic_code")):
-        rows = split_row_number(rows, ["mdm_id", "activity_type", code], ["time_date"],
-                                [F.col("time_date").desc()],
-                                [newest("date_timestamp"), newest("integration_key")], out, joined)
-    return settle(rows, "activity")
+    joined = settle(rows, "activity-joined")
+    ordered = [newest("_at"), newest("_row_id")]
+    keys = {"_who": "mdm_id", "_type": "activity_type", "_code": "tactic_code", "_actual": "actual_tactic_code",
+            "_on": "time_date", "_at": "date_timestamp", "_row_id": "integration_key"}
+    counted = joined.select(*[F.col(old).alias(new) for new, old in keys.items()])
+    rows = joined.select(F.struct(*joined.columns).alias("_row"), *[F.col(old).alias(new) for new, old in keys.items()])
+    for out, code in (("activity_seq_number", "_code"), ("bounce_activity_seq_number", "_actual")):
+        rows = split_row_number(rows, ["_who", "_type", code], ["_on"], [F.col("_on").desc()], ordered, out, counted)
+    return settle(rows.select("_row.*", "activity_seq_number", "bounce_activity_seq_number"), "activity")
 
 
 def _activity_columns() -> list[Column]:
