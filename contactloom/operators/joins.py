@@ -57,24 +57,30 @@ def spread_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return spread_join(facts, right, fact_key, "_key", row_id).drop("_key")
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:
-    """IN (subquery)."""
-    right = keys.select(F.col(key or on).alias("_k"))
-    return df.join(right, F.col(on) == F.col("_k"), "left_semi")
+def _keys(keys: DataFrame, key: str, unique: bool) -> DataFrame:
+    """Key column of a subquery.  Repeats are combined before the shuffle, which the join then
+    shares, so a key that fills much of the subquery does not end up in one task."""
+    right = keys.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull())
+    return right if unique else right.distinct()
+
+
+def keep_matching(df: DataFrame, keys: DataFrame, on: str, key: str | None = None,
+                  unique: bool = False) -> DataFrame:
+    """IN (subquery).  ``unique`` says that the keys do not repeat, as in a dictionary."""
+    return df.join(_keys(keys, key or on, unique), F.col(on) == F.col("_k"), "left_semi")
 
 
 def drop_matching(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:
     """NOT IN (subquery without NULLs).  A row whose own key is NULL is dropped as well, unless
     the subquery is empty, which the callers' data rules out.  A plain anti join, because the
     null-aware one has to broadcast the subquery."""
-    right = keys.select(F.col(key or on).alias("_k")).filter(F.col("_k").isNotNull())
+    right = _keys(keys, key or on, unique=False)
     return df.filter(F.col(on).isNotNull()).join(right, F.col(on) == F.col("_k"), "left_anti")
 
 
 def without_match(df: DataFrame, keys: DataFrame, on: str, key: str) -> DataFrame:
     """Outer join then IS NULL: rows with a NULL key stay."""
-    right = keys.select(F.col(key).alias("_k"))
-    return df.join(right, F.col(on) == F.col("_k"), "left_anti")
+    return df.join(_keys(keys, key, unique=False), F.col(on) == F.col("_k"), "left_anti")
 
 
 def exists_flag(df: DataFrame, keys: DataFrame, on: str, key: str, out: str) -> DataFrame:

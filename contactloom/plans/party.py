@@ -49,14 +49,14 @@ def eligible_persons(t: Frames) -> DataFrame:
     One row per party: everything beyond the party is an existence test, so the market side is
     cut to distinct keys and semi-joined, and no fan-out arises."""
     active = active_codes(t)
-    areas = keep_matching(t["therapeutic_area"], active, "record_state_cd_fk", "code_sk")
+    areas = keep_matching(t["therapeutic_area"], active, "record_state_cd_fk", "code_sk", unique=True)
     parents = areas.filter(F.col("therapeutic_area").isin(V.PARENT_AREAS))
-    children = keep_matching(areas, parents, "parent_therapeutic_area_fk", "therapeutic_area_sk")
-    market = keep_matching(t["party_market"], active, "record_state_cd_fk", "code_sk")
-    market = keep_matching(market, children, "therapeutic_area_fk", "therapeutic_area_sk")
+    children = keep_matching(areas, parents, "parent_therapeutic_area_fk", "therapeutic_area_sk", unique=True)
+    market = keep_matching(t["party_market"], active, "record_state_cd_fk", "code_sk", unique=True)
+    market = keep_matching(market, children, "therapeutic_area_fk", "therapeutic_area_sk", unique=True)
     us = t["country_code"].filter(F.col("iso_2_cd") == "US")
     party = t["party"].filter(F.trim("mdm_key").like(V.PERSON_PREFIX + "%"))
-    party = keep_matching(party, us, "primary_country_fk", "country_sk")
+    party = keep_matching(party, us, "primary_country_fk", "country_sk", unique=True)
     people = union_distinct(t["party_patient"].select("party_fk"), t["party_contact"].select("party_fk"))
     keyed = left_lookup(people, party, {"party_fk": "party_sk"}, {"mdm_key": "mdm_key"}, how="inner")
     return keep_matching(keyed, market, "party_fk")

@@ -40,8 +40,8 @@ def contact_rows(t: Frames, kind: str) -> DataFrame:
         unknown = F.col("bounced_inform_flg").isNull() & F.col("_active").isNotNull()
         rows = rows.filter(usable | unknown)
     else:
-        rows = keep_matching(rows, typed, "communication_type_cd_fk", "code_sk")
-        rows = keep_matching(rows, active, "record_state_cd_fk", "code_sk")
+        rows = keep_matching(rows, typed, "communication_type_cd_fk", "code_sk", unique=True)
+        rows = keep_matching(rows, active, "record_state_cd_fk", "code_sk", unique=True)
     return latest_contact(rows, "party_fk", "effective_dt", "integration_key").select(
         "party_fk", "comm_value")
 
@@ -50,7 +50,7 @@ def home_address(t: Frames) -> DataFrame:
     usable = t["party_address"].filter((F.col("primary_address_flg") == "Y")
                                        & (F.col("current_flg") == "Y")
                                        & (F.col("bounced_inform_flg") == "N"))
-    usable = keep_matching(usable, active_codes(t), "record_state_cd_fk", "code_sk")
+    usable = keep_matching(usable, active_codes(t), "record_state_cd_fk", "code_sk", unique=True)
     return latest_contact(usable, "party_fk", "last_load_ts", "integration_key").select(
         "party_fk", *_ADDRESS)
 
@@ -90,7 +90,7 @@ def patient_party(t: Frames, as_of: date) -> DataFrame:
 
 def patient_market(t: Frames) -> DataFrame:
     market = keep_matching(t["party_market"], eligible_persons(t), "party_fk")
-    market = keep_matching(market, t["product_brand"], "product_brand_fk", "product_brand_sk")
+    market = keep_matching(market, t["product_brand"], "product_brand_fk", "product_brand_sk", unique=True)
     rows = area_path(t, market).filter((F.col("_parent_fk") != -1)
                                        & F.col("parent_ta").isin(V.PARENT_AREAS)
                                        & F.col("child_ta").isin(V.MARKET_AREAS))
@@ -112,7 +112,7 @@ def _web_registrations(t: Frames) -> DataFrame:
     kinds = t["activity_type_dim"].filter(F.col("activity_type_name").isin("LOGIN", "WEB REG"))
     visits = t["activity_fact"].filter(F.col("source_cd").like("WEB_NEURO")
                                        & F.col("attribute_2_value").isin(*V.SMA_WEB_SITES.values()))
-    visits = keep_matching(visits, kinds, "activity_type_fk", "activity_type_sk")
+    visits = keep_matching(visits, kinds, "activity_type_fk", "activity_type_sk", unique=True)
     return visits.select("customer_fk", "source_cd",
                          F.col("attribute_2_value").alias("site")).distinct()
 

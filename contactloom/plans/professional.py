@@ -24,8 +24,8 @@ _PARTY_COLUMNS = """party_sk mdm_key party_type_cd_fk first_name middle_name las
 def _professionals(t: Frames, job: str) -> DataFrame:
     """US professionals in the covered areas with an extractable record state."""
     usa = t["country_code"].filter(F.col("iso_3_cd") == "USA")
-    hcp = keep_matching(t["party_hcp"], usa, "primary_country_cd_fk", "country_sk")
-    hcp = keep_matching(hcp, record_states(t, job), "record_state_cd_fk", "code_sk")
+    hcp = keep_matching(t["party_hcp"], usa, "primary_country_cd_fk", "country_sk", unique=True)
+    hcp = keep_matching(hcp, record_states(t, job), "record_state_cd_fk", "code_sk", unique=True)
     return keep_matching(hcp, parties_in_area(t), "party_fk")
 
 
