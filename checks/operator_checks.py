@@ -146,7 +146,7 @@ FILTERS = {
         lambda t: t["party_communication"].select("integration_key", F.col("bounced_inform_flg").isin("N", "X").alias("listed"),
                                                   (~F.col("bounced_inform_flg").isin("N", "X")).alias("unlisted")),
         "SELECT integration_key, bounced_inform_flg IN ('N', 'X') AS listed, bounced_inform_flg NOT IN ('N', 'X') AS unlisted FROM party_communication",
-        "listed unlisted"),
+        doubles="listed unlisted"),
     "semi_join": Check(
         lambda t: J.keep_matching(t["customer"], t["orders"].filter("o_orderstatus = 'P'"), "c_custkey", "o_custkey").select("c_custkey"),
         "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"),
@@ -161,7 +161,8 @@ FILTERS = {
         "SELECT p_partkey FROM part WHERE (starts_with(upper(p_name), 'RED') OR contains(upper(p_name), 'BOLT')) AND p_brand NOT LIKE '%1%'"),
     "like_escape": Check(
         lambda t: t["marketing_fact"].select("integration_key", S.like_escape(F.upper("tactic_cd"), V.TACTIC_CAMPAIGN_RESEND).alias("resend")),
-        "SELECT integration_key, regexp_full_match(upper(tactic_cd), '.*-.*-.*_R.*') AS resend FROM marketing_fact", "resend"),
+        "SELECT integration_key, regexp_full_match(upper(tactic_cd), '.*-.*-.*_R.*') AS resend FROM marketing_fact",
+        doubles="resend"),
     "present_sentinel": Check(
         lambda t: t["parent_hco"].filter(S.present("mk_account_vnt_id") & S.present("mk_parent_account_vnt_id")).groupBy("mk_account_vnt_id").agg(F.count("*").alias("n")),
         """SELECT mk_account_vnt_id, count(*) AS n FROM parent_hco WHERE coalesce(mk_account_vnt_id, '-1') <> '-1'
@@ -217,7 +218,8 @@ JOINS = {
         "SELECT o_orderkey, o_custkey, c_mktsegment AS segment FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 400000"),
     "left_equi_join": Check(
         lambda t: J.left_lookup(t["customer"].select("c_custkey"), t["orders"].filter("o_orderstatus = 'F'"), {"c_custkey": "o_custkey"}, {"o_orderkey": "o_orderkey"}),
-        "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON o_custkey = c_custkey"),
+        "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON o_custkey = c_custkey",
+        doubles="o_orderkey"),
     "defeated_outer_join": Check(
         lambda t: party.area_path(t, t["party_market"]).filter(F.col("parent_ta") == "NEUROLOGY").select("party_market_sk", "child_ta"),
         """SELECT party_market_sk, c.therapeutic_area AS child_ta FROM party_market LEFT JOIN therapeutic_area c ON c.therapeutic_area_sk = therapeutic_area_fk
@@ -363,7 +365,8 @@ AGGREGATES = {
         "SELECT l_partkey, l_suppkey, max(CAST(l_shipdate AS DATE)) AS last FROM lineitem GROUP BY 1, 2", "", "last"),
     "bounce_summary": Check(lambda t: party.bounces(t).select("customer_fk", "bounce_date", "bounce_flag"), BOUNCES, "bounce_flag", "bounce_date"),
     "net_bounce": Check(net_bounce_rows, f"WITH activity AS ({ACTIVITY_SQL}) {NET_BOUNCE_SQL}", NET_INTS),
-    "trailing_units": Check(lambda t: rank.brand_units(t, AS_OF), UNITS_SQL),
+    "trailing_units": Check(lambda t: rank.brand_units(t, AS_OF), UNITS_SQL, doubles=" ".join(
+        f"{stem}_units_{n}_months" for n in (12, 6) for stem in ("ms", "biib", *V.UNIT_BRANDS))),
 }
 
 # ---- windows --------------------------------------------------------------------------------
@@ -422,7 +425,8 @@ WINDOWS = {
     "first_touch": Check(lambda t: mail.web_lead_source(t, mail.by_type_key()), WEB_SQL.format(key=_BY_TYPE)),
     "first_merge": Check(
         lambda t: P.first_merge(t["party_merge_map"], "non_survivor_party_fk", "src_merge_dt"),
-        "SELECT non_survivor_party_fk, min(src_merge_dt) AS src_merge_dt FROM party_merge_map GROUP BY 1", "", "src_merge_dt"),
+        "SELECT non_survivor_party_fk, min(src_merge_dt) AS src_merge_dt FROM party_merge_map GROUP BY 1", "", "src_merge_dt",
+        "non_survivor_party_fk"),
     "latest_opt_state": Check(lambda t: party.opt_states(t, keep_programs=True).select("party_fk", F.upper("program_name").alias("program_name"),
                                                                                          "iw_flg", "opt_out_flag", "opt_out_date"),
                               opts(True), "", "opt_out_date"),

@@ -21,19 +21,27 @@ class Check:
     """``build`` makes the result from the tables; ``sql`` is the same result in plain SQL.
 
     Results are compared as text, integers and doubles: ``ints`` and ``texts`` list the SQL
-    columns to bring to BIGINT and VARCHAR, the Spark side is converted by type."""
+    columns to bring to BIGINT and VARCHAR, the Spark side is converted by type.  ``doubles``
+    lists integer columns with NULLs, which clients show in different ways; both sides make
+    them doubles."""
 
     build: Callable[[Tables], DataFrame]
     sql: str | None = None
     ints: str = ""
     texts: str = ""
+    doubles: str = ""
 
     def query(self, spark: SparkSession, folder: str) -> DataFrame:
-        return plain_types(self.build(open_tables(spark, folder)))
+        return self.present(self.build(open_tables(spark, folder)))
+
+    def present(self, result: DataFrame) -> DataFrame:
+        return plain_types(result).withColumns({c: F.col(c).cast("double") for c in self.doubles.split()})
 
     def oracle(self) -> str:
-        casts = [f"CAST({c} AS BIGINT) AS {c}" for c in self.ints.split()]
+        casts = [f"CAST({c} AS BIGINT) AS {c}" for c in self.ints.split()
+                 if c not in self.doubles.split()]
         casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in self.texts.split()]
+        casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in self.doubles.split()]
         star = f"* REPLACE ({', '.join(casts)})" if casts else "*"
         names = needed_by(self.sql, STANDINS)
         with_inputs = ", ".join(f"{n} AS ({STANDINS[n]})" for n in names)

@@ -23,11 +23,11 @@ from contactloom.plans import affiliation as aff
 from contactloom.plans import interactions as inter
 
 
-def over(table: str, keys: str, columns: dict[str, tuple[Callable[[], Column], str]], ints: str = "", texts: str = "") -> Check:
+def over(table: str, keys: str, columns: dict[str, tuple[Callable[[], Column], str]], ints: str = "", texts: str = "", doubles: str = "") -> Check:
     """Keys plus computed columns, as Spark expressions and as SQL expressions."""
     sql = ", ".join([*keys.split(), *[f"{text} AS {name}" for name, (_, text) in columns.items()]])
     return Check(lambda t: t[table].select(*keys.split(), *[make().alias(n) for n, (make, _) in columns.items()]),
-                 f"SELECT {sql} FROM {table}", ints, texts)
+                 f"SELECT {sql} FROM {table}", ints, texts, doubles)
 
 
 C = F.col
@@ -57,7 +57,7 @@ BASICS = {
         "head": (lambda: S.before_comma("text"), "CASE WHEN strpos(text, ',') > 1 THEN split_part(text, ',', 1) ELSE text END")}),
     "text_positions": over("crm_sent_email", "id", {
         "bar": (lambda: F.instr("product_display_vod__c", "|"), "strpos(product_display_vod__c, '|')"),
-        "after": (lambda: S.after_bar("product_display_vod__c"), "substr(product_display_vod__c, strpos(product_display_vod__c, '|') + 1)")}, "bar"),
+        "after": (lambda: S.after_bar("product_display_vod__c"), "substr(product_display_vod__c, strpos(product_display_vod__c, '|') + 1)")}, doubles="bar"),
     "text_length": over("pages", "page_id", {"n": (lambda: F.length("url"), "length(url)")}, "n"),
     "replace_and_reverse": over("part", "p_partkey", {
         "flat": (lambda: F.replace("p_name", F.lit(" "), F.lit("")), "replace(p_name, ' ', '')"), "back": (lambda: F.reverse("p_name"), "reverse(p_name)")}),
@@ -74,7 +74,7 @@ BASICS = {
         "number": (lambda: S.day_number("activity_time"), "CAST(strftime(activity_time, '%Y%m%d') AS BIGINT)"),
         "spent": (lambda: C("time_spent").cast("string"), "CAST(time_spent AS VARCHAR)")}),
     "text_to_number": over("nba_hcp", "email", {
-        "n": (lambda: S.whole_number("prof_sk"), "TRY_CAST(prof_sk AS BIGINT)"), "bad": (lambda: S.whole_number("email"), "TRY_CAST(email AS BIGINT)")}),
+        "n": (lambda: S.whole_number("prof_sk"), "TRY_CAST(prof_sk AS BIGINT)"), "bad": (lambda: S.whole_number("email"), "TRY_CAST(email AS BIGINT)")}, doubles="bad"),
     "date_truncation": over("orders", "o_orderkey", {
         "month": (lambda: S.month_start("o_orderdate"), "CAST(date_trunc('month', o_orderdate) AS DATE)"),
         "week": (lambda: S.week_start("o_orderdate"), "CAST(date_trunc('week', o_orderdate) AS DATE)"),
@@ -88,7 +88,7 @@ BASICS = {
         "friday": (lambda: S.friday_of_week("l_shipdate"), "CAST(l_shipdate - CAST(isodow(l_shipdate) AS INTEGER) * INTERVAL 1 DAY + INTERVAL 5 DAY AS DATE)")},
         "", "friday"),
     "age_in_years": over("party_patient", "party_fk", {
-        "age": (lambda: S.age_years("birth_dt", AS_OF), f"CAST(floor(date_diff('day', birth_dt, DATE '{AS_OF}') / 365.2425) AS BIGINT)")}),
+        "age": (lambda: S.age_years("birth_dt", AS_OF), f"CAST(floor(date_diff('day', birth_dt, DATE '{AS_OF}') / 365.2425) AS BIGINT)")}, doubles="age"),
     "rounding": over("shipment", "account_1", {"n": (lambda: F.round("kpi_numerator"), "round(kpi_numerator)")}),
     "attribute_slot_lookup": over("marketing_fact", "integration_key", {
         "campaign": (lambda: S.slot_lookup("CAMPAIGN", [(f"attribute_{i}_name", f"attribute_{i}_value") for i in range(1, 26)]),
@@ -119,7 +119,7 @@ BUSINESS = {
     "email_validity": over("party_communication", "integration_key", {
         "bad": (lambda: invalid_email("comm_value"), bad_mail("comm_value"))}, "bad"),
     "blocked_domain": over("party_communication", "integration_key", {
-        "blocked": (lambda: blocked_domain("comm_value"), blocked("comm_value"))}, "blocked"),
+        "blocked": (lambda: blocked_domain("comm_value"), blocked("comm_value"))}, doubles="blocked"),
     "tactic_parsing": over("marketing_fact", "integration_key", {
         "code": (lambda: E.tactic_code("source_cd", "tactic_cd"), cut("tactic_cd", "y", V.TACTIC_CAMPAIGN, V.TACTIC_HOUSE)),
         "original": (lambda: E.original_tactic("source_cd", "tactic_cd"), cut("tactic_cd", "y", V.TACTIC_CAMPAIGN_RESEND, V.TACTIC_HOUSE_RESEND)),
@@ -226,7 +226,7 @@ COMPOSED = {
     "patient_segment_and_stage": Check(
         journeys, f"""SELECT o_orderkey, {SEGMENT} AS segment, {STAGE} AS stage FROM (SELECT *, upper(raw_role) AS role, {BAND} AS band
             FROM ({_JOURNEY}) j) k"""),
-    "earliest_cause_and_clamp": Check(causes, cause_sql(_DATED, V.CLAMP_PROFESSIONAL), "bounce_flag", _CAUSE_TEXTS),
+    "earliest_cause_and_clamp": Check(causes, cause_sql(_DATED, V.CLAMP_PROFESSIONAL), "", _CAUSE_TEXTS, "bounce_flag"),
     "suppression_waterfall": Check(reasons, REASON_SQL),
     "affiliation_labels": Check(
         lambda t: aff.affiliation_rows(t).select("mk_account_vnt_id", "affiliation_name", E.affiliation_label(

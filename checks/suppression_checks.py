@@ -280,19 +280,19 @@ _DATES = ("opt_out_date merge_record_date bounce_date party_suppression_date sup
 
 CHECKS = {
     "professional_party_base": Check(pro.professional_party, PARTY_SQL, texts="create_dt",
-                                     ints="party_sk party_type_cd_fk hcp_type_cd_fk practice_type_cd_fk hcp_status_cd_fk record_state_cd_fk"),
+                                     ints="party_sk party_type_cd_fk hcp_type_cd_fk practice_type_cd_fk hcp_status_cd_fk record_state_cd_fk", doubles="hcp_type_cd_fk"),
     "professional_market": Check(pro.professional_market, MARKET_SQL),
     "professional_merge_map": Check(pro.professional_merge, MERGE_SQL, texts="src_merge_dt"),
     "professional_source": Check(lambda t: pro.professional_workflow(t)["source"], SOURCE_SQL, texts="source_dt"),
     "professional_suppression": Check(lambda t: pro.professional_workflow(t)["suppression"], PRO_RESULT_SQL,
-                                      ints="bounce_flag", texts=f"{_DATES} create_dt"),
-    "patient_party_base": Check(lambda t: pat.patient_party(t, AS_OF), PATIENT_SQL, ints="age",
+                                      texts=f"{_DATES} create_dt", doubles="bounce_flag"),
+    "patient_party_base": Check(lambda t: pat.patient_party(t, AS_OF), PATIENT_SQL, doubles="age",
                                 texts="birth_date create_date last_load_ts"),
     "patient_market": Check(pat.patient_market, PAT_MARKET_SQL),
     "patient_source": Check(lambda t: pat.patient_workflow(t, AS_OF)["source"], PAT_SOURCE_SQL, texts="source_dt"),
     "patient_merge_records": Check(pat.patient_merge, PAT_MERGE_SQL),
     "patient_suppression": Check(lambda t: pat.patient_workflow(t, AS_OF)["suppression"], PAT_RESULT_SQL,
-                                 ints="age bounce_flag", texts=f"{_DATES} create_date birth_date"),
+                                 texts=f"{_DATES} create_date birth_date", doubles="age bounce_flag"),
     "latest_contact_phone": Check(lambda t: pat.contact_rows(t, "phone"), PHONE_SQL),
     "latest_contact_email": Check(lambda t: pat.contact_rows(t, "email"), MAIL_SQL),
 }
