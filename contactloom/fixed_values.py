@@ -41,6 +41,16 @@ SMA_WEB_SITES = {"SPINRAZA": "SPINRAZA.COM", "TOGETHER IN SMA": "TOGETHERINSMA.C
 # output column stem -> product name, for the trailing-unit measures
 UNIT_BRANDS = {"tecfidera": "TECFIDERA", "tysabri": "TYSABRI", "plegridy": "PLEGRIDY",
                "avonex": "AVONEX", "vumerity": "VUMERITY"}
+# output column -> column stem of its trailing units
+WRITER_INDICATORS = {"market_writer_indicator": "ms", "biogen_writer_indicator": "biib",
+                     "tecfidera_writer_indicator": "tecfidera", "tysabri_writer_indicator": "tysabri",
+                     "plegridy_writer_indicator": "plegridy", "avonex_writer_indicator": "avonex",
+                     "vumerity_writer_indicator": "vumerity"}
+# table of engagement scores -> output column
+ENGAGEMENT_SCORES = {"engagement_score_tec": "tecfidera_customer_engagement_score",
+                     "engagement_score_tys": "tysabri_customer_engagement_score"}
+# measures kept at the shorter window
+SHORT_WINDOW_UNITS = ["ms_units_6_months", "biib_units_6_months", "tecfidera_units_6_months"]
 
 # ---- codes -------------------------------------------------------------------------------------
 RECORD_STATE_DOMAIN = "Record State"

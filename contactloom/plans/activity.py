@@ -28,6 +28,7 @@ Frames = Mapping[str, DataFrame]
 MARKETING_FROM, COMBINED_FROM = "2015-01-01", "2019-01-01"
 SLOTS = range(1, 26)
 
+# Column names of the fact and definition tables and of the result (fixed values).
 _KEPT = """customer_identity_value customer_identity_type rep_id territory_id session_id transaction_id
     parent_transaction_id content_id destination_id_type destination_id_value destination_content_id
     activity_cnt time_spent is_aggregated is_active integration_key row_hash_key job_run_id last_load_ts

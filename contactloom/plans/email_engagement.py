@@ -17,6 +17,7 @@ from contactloom.operators.sequence import repeat_flags
 
 Frames = Mapping[str, DataFrame]
 
+# Column names of the result (fixed values).
 _SEGMENTS = ["ms_digital_segment", "sma_digital_segment", "alz_digital_segment"]
 _PASSED = """activity_offer_description product_name therapeutic_area activity_type month_date
     week_begin_date time_date identified_flag party_class party_subtype resend_flag actual_tactic_code
@@ -71,6 +72,7 @@ def email_base(t: Frames, activity: DataFrame, ranking: DataFrame) -> DataFrame:
         *[F.col(f).cast("int").alias(f) for f in flags], *[c.alias(n) for n, c in mapped.items()])
 
 
+# Grouping columns of the funnel (fixed values).
 _FUNNEL_KEYS = """therapeutic_area product_name base_tactic actual_tactic_code identified_flag party_class
     customer_type party_subtype tactic_category tactic_stream tactic_sub_stream activity_source
     activity_offer_description activity_em_number activity_em_number_with_ab_split lead_source

@@ -55,11 +55,10 @@ def professional_ranking(t: Frames, target_list: DataFrame, as_of: date) -> Data
     rows = left_lookup(rows, t["account_ms_dim"], {"mdm_id": "mk_account_vnt_id"},
                        {"hcp_decile": "decile_rating", "hcp_portfolio_segment": "hcp_segment"})
     rows = rows.withColumn("_prefixed", F.concat(F.lit(V.ACCOUNT_PREFIX), "mdm_id"))
-    for table, column, out in (
-            ("engagement_segment", "cust_eng_segment", "customer_engagement_segment"),
-            ("engagement_score_tec", "cust_eng_score", "tecfidera_customer_engagement_score"),
-            ("engagement_score_tys", "cust_eng_score", "tysabri_customer_engagement_score")):
-        rows = left_lookup(rows, t[table], {"_prefixed": "mdm_id"}, {out: column})
+    rows = left_lookup(rows, t["engagement_segment"], {"_prefixed": "mdm_id"},
+                       {"customer_engagement_segment": "cust_eng_segment"})
+    for table, out in V.ENGAGEMENT_SCORES.items():
+        rows = left_lookup(rows, t[table], {"_prefixed": "mdm_id"}, {out: "cust_eng_score"})
     rows = left_lookup(rows, t["party_first_source"], {"alignment_string": "mdm_id"},
                        {"lead_source": "lead_source", "lead_source_date": "lead_source_date"})
     rows = left_lookup(rows, web_lead_source(t, plain_key()), {"mdm_id": "mdm_id"},
@@ -72,22 +71,19 @@ def professional_ranking(t: Frames, target_list: DataFrame, as_of: date) -> Data
 
     # ranks look at the zero-filled values
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in measures})
-    writers = {"market_writer_indicator": "ms", "biogen_writer_indicator": "biib",
-               **{f"{stem}_writer_indicator": stem for stem in V.UNIT_BRANDS}}
     rows = rows.select(
         "mdm_id", normalize_class("_class").alias("party_class"),
         F.when(F.col("_class") == "HCP", 1).otherwise(0).alias("hcp_flag"), "web_lead_source", "lead_source",
         "lead_source_date", "hcp_decile", decile_group("hcp_decile").alias("hcp_decile_group"),
-        "hcp_portfolio_segment", "customer_engagement_segment", "tecfidera_customer_engagement_score",
-        "tysabri_customer_engagement_score", "alignment_string",
+        "hcp_portfolio_segment", "customer_engagement_segment", *V.ENGAGEMENT_SCORES.values(), "alignment_string",
         *[c for stem in ("ms", "sma", "alz") for c in (
             F.col(f"{stem}_digital_segment"),
             yes_no(F.col(f"{stem}_digital_segment").isNotNull()).alias(f"{stem}_npp_target_flag"))],
         "sf_target", *[c for c in measures if c.endswith("_12_months")],
-        *[F.when(F.col(f"{stem}_units_12_months") > 0, 1).otherwise(0).alias(out) for out, stem in writers.items()],
-        "ms_units_6_months", "biib_units_6_months", "tecfidera_units_6_months")
-    own = [F.col("biib_units_6_months").desc(), F.col("tecfidera_units_6_months").desc(),
-           F.col("mdm_id").asc_nulls_last()]
-    rows = global_rank(rows, [F.col("hcp_flag").desc(), F.col("ms_units_6_months").desc(), *own],
+        *[F.when(F.col(f"{stem}_units_12_months") > 0, 1).otherwise(0).alias(out) for out, stem in V.WRITER_INDICATORS.items()],
+        *V.SHORT_WINDOW_UNITS)
+    market, *rest = [F.col(c).desc() for c in V.SHORT_WINDOW_UNITS]
+    own = [*rest, F.col("mdm_id").asc_nulls_last()]
+    rows = global_rank(rows, [F.col("hcp_flag").desc(), market, *own],
                        "ms_ranking_6_months")
     return global_rank(rows, [F.col("hcp_flag").desc(), *own], "biib_ranking_6_months")
