@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom import fixed_values as V
 from contactloom.operators.joins import spread_join
 
 
@@ -30,7 +33,8 @@ def clip_spans(df: DataFrame, key: str, start: str, end: str, clipped: str) -> D
 
 
 def interval_join(facts: DataFrame, spans: DataFrame, fact_key: str, span_key: str, row_id: str,
-                  day: Column, start: str, end: str, hit: str) -> DataFrame:
+                  day: Column, start: str, end: str, hit: str,
+                  sentinels: Sequence[str] = (V.UNKNOWN_ID,)) -> DataFrame:
     """Left join on the key with ``start <= day <= end``; ``hit`` tells whether a span matched.
 
     The equi key drives the join and the date test rides along; clipped spans are disjoint, so
@@ -38,6 +42,6 @@ def interval_join(facts: DataFrame, spans: DataFrame, fact_key: str, span_key: s
     right = spans.select(F.col(span_key).alias("_span_key"), F.col(start).alias("_from"),
                          F.col(end).alias("_to"), F.lit(True).alias(hit))
     return (spread_join(facts.withColumn("_day", day), right, fact_key, "_span_key", row_id,
-                        lambda: F.col("_day").between(F.col("_from"), F.col("_to")))
+                        lambda: F.col("_day").between(F.col("_from"), F.col("_to")), sentinels)
             .withColumn(hit, F.coalesce(hit, F.lit(False)))
             .drop("_span_key", "_from", "_to", "_day"))

@@ -58,7 +58,7 @@ def target_spans(t: Frames) -> DataFrame:
 
 def _with_target(rows: DataFrame, spans: DataFrame, key: str, row_id: str, day: Column) -> DataFrame:
     return interval_join(rows, spans, key, "mk_account_vnt_id", row_id, day, "cycle_plan_start_date",
-                         "updated_cycle_plan_end_date", "_planned")
+                         "updated_cycle_plan_end_date", "_planned", sentinels=(V.UNKNOWN_ID, "NA"))
 
 
 def _definitions(t: Frames) -> DataFrame:
