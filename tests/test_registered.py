@@ -30,6 +30,5 @@ def test_matches_sql(spark, duck, name):
 def test_contract_functions_agree():
     import __spark_entry__ as contract
 
-    assert set(contract.queries()) == set(CHECKS)
-    assert set(contract.oracle_sql()) <= set(CHECKS)
-    assert not any("pipeline" in n for n in CHECKS)
+    assert set(CHECKS) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
