@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import digest_index
+from contactloom.llm import byte_bpe, digest_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": digest_index.op7_exact_dedup,
+    "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": digest_index.OP7_SQL,
