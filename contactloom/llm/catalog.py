@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import byte_bpe, digest_index
+from contactloom.llm import byte_bpe, digest_index, personal_data
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_personal_data": personal_data.op5_personal_data,
     "op7_exact_dedup": digest_index.op7_exact_dedup,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
