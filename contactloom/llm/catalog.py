@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import byte_bpe, digest_index, personal_data
+from contactloom.llm import byte_bpe, digest_index, personal_data, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_warc": warc.op4_warc,
     "op5_personal_data": personal_data.op5_personal_data,
     "op7_exact_dedup": digest_index.op7_exact_dedup,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
 ORACLES: dict[str, str] = {
+    "op4_warc": warc.OP4_SQL,
     "op7_exact_dedup": digest_index.OP7_SQL,
 }

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.llm.shared import byte_set, bytes_of, hash_spans, hash_text, runs, slices, texts
@@ -297,11 +297,16 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
                            "spans array<struct<kind: string, start: bigint, end: bigint, base: boolean>>")
 
 
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda x: x == kind
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     told = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _is(k))).cast("bigint").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts,
                         F.sha2(F.array_join(F.transform(base, told), ",").cast("binary"), 256).alias("base_sha256"),
                         F.array_join(F.transform("spans", told), ",").alias("spans"))
