@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import byte_bpe, digest_index, personal_data, warc
+from contactloom.llm import byte_bpe, digest_index, personal_data, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": warc.op4_warc,
+    "op1_quality": quality.op1_quality,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op5_personal_data": personal_data.op5_personal_data,
     "op7_exact_dedup": digest_index.op7_exact_dedup,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,

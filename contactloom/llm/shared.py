@@ -162,3 +162,47 @@ def hash_text(value: str) -> int:
     """The hash that ``hash_spans`` gives to a word."""
     raw = np.frombuffer(value.encode(), np.uint8)
     return int(hash_spans(raw, np.array([0]), np.array([len(raw)]))[0]) if len(raw) else 0
+
+
+def class_runs(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of letters, of digits and of other signs of consecutive rows: starts, ends, class (1, 2, 3)."""
+    kind = CLASS[data]
+    if not len(kind):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), kind
+    first = np.ones(len(kind), bool)
+    first[1:] = kind[1:] != kind[:-1]
+    first[off[1:-1][off[1:-1] < len(kind)]] = True
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(kind))
+    black = kind[starts] > 0
+    return starts[black], ends[black], kind[starts[black]]
+
+
+#: 0 for ASCII white space, 1 for letters and every byte outside ASCII, 2 for digits, 3 for the rest.
+CLASS = np.full(256, 3, np.uint8)
+CLASS[SPACE] = 0
+CLASS[48:58] = 2
+CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+
+
+def sum_blocks(parts: DataFrame, label: str) -> DataFrame:
+    """Sum of float32 vectors by ``block``: of (block, values binary), with one row in memory per running sum."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, values in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(values.as_buffer(), np.float32)
+                if block in sums:
+                    sums[block] += own
+                else:
+                    sums[block] = own.astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
+                                          pa.array([v.astype(np.float32).tobytes() for v in sums.values()], pa.binary())],
+                                         ["block", "values"])
+
+    return settle(parts.repartition("block").mapInArrow(run, "block int, values binary"), label)
+
+
+def smallest_by_hash(rows: DataFrame, n: int) -> DataFrame:
+    """At most n rows, those whose hashed id is smallest: a sample that does not depend on the order of the rows."""
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
