@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import byte_bpe, decontaminate, digest_index, personal_data, quality, toxicity, warc
+from contactloom.llm import byte_bpe, decontaminate, digest_index, katz, personal_data, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": warc.op4_warc,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op5_personal_data": personal_data.op5_personal_data,
     "op7_exact_dedup": digest_index.op7_exact_dedup,
+    "op9_katz": katz.op9_katz,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
