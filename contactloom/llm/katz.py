@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from contactloom.llm.shared import bytes_of, crc_of_id, hash_spans, new_folder, slices, texts, words
 
 END_HASH = np.uint64(2**64 - 1)
-ID_BITS, ROW_BITS, SLICE_BYTES, SMALL = 18, 14, 1 << 22, 5
+ID_BITS, ROW_BITS, SLICE_BYTES, SMALL = 18, 14, 1 << 21, 5
 MAX_VOCABULARY = 1 << 17
 #: Multiplier and its inverse modulo 2**ID_BITS: contexts are dealt to buckets by their scrambled id.
 SCRAMBLE = 0x1E35B
@@ -66,7 +66,7 @@ def planes(values: np.ndarray) -> bytes:
     return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def unplanes(raw: bytes, kind: type) -> np.ndarray:
+def unplanes(raw: bytes | pa.Buffer, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
@@ -85,7 +85,7 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 class Tally:
     """Counts by key that are merged now and then, and given out by bucket: those of ``shift`` high bits."""
 
-    def __init__(self, most: int = 1 << 21):
+    def __init__(self, most: int = 1 << 20):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size, self.most = 0, most
 
@@ -114,7 +114,7 @@ COUNTS = "bucket int, keys binary, counts binary"
 
 def merge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge the rows of each bucket, which come one after the other."""
-    tally, now = Tally(1 << 22), None
+    tally, now = Tally(1 << 21), None
 
     def close() -> pa.RecordBatch:
         keys, counts = merged(tally.parts)
@@ -126,11 +126,11 @@ def merge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ["bucket", "keys", "counts", "types", "total", "of_counts"])
 
     for batch in batches:
-        for bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for r, bucket in enumerate(batch.column(0).to_pylist()):
             if now is not None and bucket != now:
                 yield close()
             now = bucket
-            tally.add(unplanes(keys, np.uint64), unplanes(counts, np.int64))
+            tally.add(*(unplanes(batch.column(k)[r].as_buffer(), kind) for k, kind in ((1, np.uint64), (2, np.int64))))
     if now is not None:
         yield close()
 
@@ -407,13 +407,13 @@ def answer(shared, word_buckets: int, id_type: pa.DataType) -> Callable:
                     now = bucket[r], salt[r]
                     keys, counts = nothing
                     if kind[r] == 0:
-                        keys, counts = unplanes(batch.column(4)[r].as_py(), np.uint64), unplanes(batch.column(6)[r].as_py(), np.int64)
+                        keys, counts = unplanes(batch.column(4)[r].as_buffer(), np.uint64), unplanes(batch.column(6)[r].as_buffer(), np.int64)
                     table = (keys, counts) if bucket[r] < word_buckets else Pairs(keys, counts, factor, uni.p)
                 if kind[r] == 0:
                     continue
-                asked = unplanes(batch.column(4)[r].as_py(), np.uint64)
-                row = unplanes(batch.column(5)[r].as_py(), np.uint16).astype(np.int64)
-                n = unplanes(batch.column(6)[r].as_py(), np.uint32).astype(np.float64)
+                asked = unplanes(batch.column(4)[r].as_buffer(), np.uint64)
+                row = unplanes(batch.column(5)[r].as_buffer(), np.uint16).astype(np.int64)
+                n = unplanes(batch.column(6)[r].as_buffer(), np.uint32).astype(np.float64)
                 if bucket[r] < word_buckets:
                     keys, counts = table
                     at = np.minimum(np.searchsorted(keys, asked), max(0, len(keys) - 1))
@@ -459,7 +459,7 @@ class KatzModel:
         if not 0 < vocabulary <= MAX_VOCABULARY:
             raise ValueError(f"vocabulary has to be from 1 to {MAX_VOCABULARY}")
         spark = docs.sparkSession
-        bits = max(4, min(12, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() - 1))
+        bits = max(4, min(12, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length()))
         train_docs = docs.filter("train").count()
         word_table = count_words(docs, bits)
         uni = unigrams(word_table, train_docs, vocabulary)
