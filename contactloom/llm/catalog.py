@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import byte_bpe, decontaminate, digest_index, katz, ngram_join, personal_data, quality, toxicity, warc
+from contactloom.llm import byte_bpe, decontaminate, digest_index, katz, ngram_join, personal_data, quality, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": warc.op4_warc,
     "op1_quality": quality.op1_quality,
     "op6_toxicity": toxicity.op6_toxicity,
     "op2_ngram_join": ngram_join.op2_ngram_join,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op5_personal_data": personal_data.op5_personal_data,
     "op7_exact_dedup": digest_index.op7_exact_dedup,
     "op9_katz": katz.op9_katz,
