@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.llm.shared import bytes_of, hash_spans, new_folder, slices, texts
@@ -522,13 +522,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
-    codec = Codec.build(docs, vocabulary)
-    return codec.decode(codec.encode(docs)).select(
+def digests(decoded: DataFrame, *more: Column) -> DataFrame:
+    """Number of ids, and digests of the ids and of the text, of (doc_id, ids, decoded)."""
+    return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), *more)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary_path())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    codec = Codec.build(docs, vocabulary_path())
+    return digests(codec.decode(codec.encode(docs)))

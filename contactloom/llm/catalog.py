@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from contactloom.llm import byte_bpe, decontaminate, digest_index, katz, ngram_join, personal_data, quality, suffix_dedup, toxicity, warc
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": warc.op4_warc,
     "op1_quality": quality.op1_quality,
     "op6_toxicity": toxicity.op6_toxicity,
@@ -24,3 +25,17 @@ ORACLES: dict[str, str] = {
     "op4_warc": warc.OP4_SQL,
     "op7_exact_dedup": digest_index.OP7_SQL,
 }
+
+
+def reachable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with this checkout on the path of Python workers that were not told of it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        if root not in known.get("PYTHONPATH", "").split(":"):
+            known["PYTHONPATH"] = ":".join(filter(None, (root, known.get("PYTHONPATH"))))
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: reachable(query) for name, query in sorted(_QUERIES.items())}

@@ -217,71 +217,95 @@ def _count(shared) -> object:
     return run
 
 
+def hits_of(column: pa.Array, items: Items, bits: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """(row, item, score, start, end) of each item found in each text of a column; a span of code points."""
+    data, off = bytes_of(column)
+    for i, j in slices(off):
+        part, own = data[off[i]:off[j]], off[i:j + 1] - off[i]
+        h, starts, ends, row = word_hashes(part, own)
+        word, seed = find_seeds(h, row, items, bits)
+        if not len(word):
+            continue
+        found = regions(word, seed, row, np.searchsorted(row, np.arange(j - i + 1)), items)
+        best: dict[tuple[int, int], tuple] = {}
+        for r, item, score, a, b in score_regions(found, h, items, threshold):
+            if score > best.get((r, item), (0.0,))[0]:
+                best[r, item] = (score, a, b)
+        for (r, item), (score, a, b) in sorted(best.items()):
+            chars = (part[own[r]:own[r + 1]] & 0xC0) != 0x80
+            yield i + r, item, score, int(chars[:starts[a] - own[r]].sum()), int(chars[:ends[b - 1] - own[r]].sum())
+
+
 def _find(shared, threshold: float, id_type: pa.DataType) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, bits = shared.value
         for batch in batches:
-            data, off = bytes_of(batch.column(1))
-            docs, hits = [], []
-            for i, j in slices(off):
-                part, own = data[off[i]:off[j]], off[i:j + 1] - off[i]
-                h, starts, ends, row = word_hashes(part, own)
-                word, seed = find_seeds(h, row, items, bits)
-                if not len(word):
-                    continue
-                found = regions(word, seed, row, np.searchsorted(row, np.arange(j - i + 1)), items)
-                best: dict[tuple[int, int], tuple] = {}
-                for r, item, score, a, b in score_regions(found, h, items, threshold):
-                    if score > best.get((r, item), (0.0,))[0]:
-                        best[r, item] = (score, a, b)
-                for (r, item), (score, a, b) in sorted(best.items()):
-                    chars = (part[own[r]:own[r + 1]] & 0xC0) != 0x80
-                    docs.append(i + r)
-                    hits.append((items.ids[item], score, int(chars[:starts[a] - own[r]].sum()), int(chars[:ends[b - 1] - own[r]].sum())))
+            hits = list(hits_of(batch.column(1), items, bits, threshold))
+            docs, found, score, start, end = zip(*hits, strict=True) if hits else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(docs, pa.int64())), pa.array([x[0] for x in hits], id_type),
-                 pa.array([x[1] for x in hits], pa.float64()), pa.array([x[2] for x in hits], pa.int64()),
-                 pa.array([x[3] for x in hits], pa.int64())], ["doc_id", "item_id", "score", "start", "end"])
+                [batch.column(0).take(pa.array(docs, pa.int64())), pa.array([items.ids[k] for k in found], id_type),
+                 pa.array(score, pa.float64()), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                ["doc_id", "item_id", "score", "start", "end"])
 
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, window: int = WINDOW, threshold: float = THRESHOLD,
-                 block_seeds: int = 1 << 20) -> DataFrame:
-    """(doc_id, item_id, score, start, end): for every document and test item found in it the best passage, as a span of
-    code points of the text."""
-    from pyspark.sql.pandas.types import to_arrow_type
+def _keep_clean(shared, threshold: float, place: int) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, bits = shared.value
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[k for k, *_ in hits_of(batch.column(place).fill_null(""), items, bits, threshold)]] = False
+            yield batch.filter(pa.array(clean))
 
-    spark, rows = docs.sparkSession, texts(docs)
+    return run
+
+
+def rare_seeds(docs: DataFrame, benchmark: DataFrame, gram: int, window: int, block_seeds: int) -> Iterator[object]:
+    """Broadcasts of the test items with their rare seeds, block by block."""
+    spark = docs.sparkSession
     tests = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     words = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n // 2 + 1  # at most this many words
     blocks = -(-words // block_seeds)
-    kind = {f.name: f.dataType for f in (*rows.schema, *tests.schema)}
-    schema = (f"doc_id {kind['doc_id'].simpleString()}, item_id {kind['item_id'].simpleString()}, score double, start bigint, end bigint")
-    out: DataFrame | None = None
     for k in range(blocks):
         own = tests if blocks == 1 else tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         items = Items.of([(r.item_id, r.text) for r in own.collect()], gram)
         if not len(items.seed):
             continue
         shared = spark.sparkContext.broadcast((items, items.filter_bits()))
-        counted = rows.select("text").mapInArrow(_count(shared), "seed bigint, docs bigint").groupBy("seed").agg(F.sum("docs").alias("docs"))
+        counted = (texts(docs).select("text").mapInArrow(_count(shared), "seed bigint, docs bigint")
+                   .groupBy("seed").agg(F.sum("docs").alias("docs")))
         counts = np.zeros(len(items.seed), np.int64)
-        for r in counted.collect():
+        for r in counted.collect():  # a row for each seed of the block at most
             counts[r.seed] = r.docs
         rare = items.rare(counts, window)
-        shared = spark.sparkContext.broadcast((rare, rare.filter_bits()))
+        yield spark.sparkContext.broadcast((rare, rare.filter_bits()))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, window: int = WINDOW, threshold: float = THRESHOLD,
+                 block_seeds: int = 1 << 20) -> DataFrame:
+    """(doc_id, item_id, score, start, end): for every document and test item found in it the best passage, as a span of
+    code points of the text."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    rows = texts(docs)
+    kind = {f.name: f.dataType for f in (*rows.schema, *benchmark.select("item_id").schema)}
+    schema = f"doc_id {kind['doc_id'].simpleString()}, item_id {kind['item_id'].simpleString()}, score double, start bigint, end bigint"
+    out: DataFrame | None = None
+    for shared in rare_seeds(docs, benchmark, gram, window, block_seeds):
         found = rows.mapInArrow(_find(shared, threshold, to_arrow_type(kind["item_id"])), schema)
         out = found if out is None else out.unionAll(found)
-    return spark.createDataFrame([], schema) if out is None else out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no test item was found, with all their columns; rows without an id stay if they are
-    clean by themselves only where no contaminated row lacks its id too."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, window: int = WINDOW, threshold: float = THRESHOLD,
+                    block_seeds: int = 1 << 20) -> DataFrame:
+    """The rows in whose text no test item is found, with all their columns as they are; nothing is shuffled."""
+    out = docs
+    for shared in rare_seeds(docs, benchmark, gram, window, block_seeds):
+        out = out.mapInArrow(_keep_clean(shared, threshold, docs.columns.index("text")), docs.schema)
+    return out
