@@ -336,6 +336,8 @@ PARTS = "uid bigint, doc_id {id}, n_tokens bigint, n_known bigint, base_score do
 
 def by_bucket(keys: np.ndarray, row: np.ndarray, n: np.ndarray, shift: int, first: int, salts: np.ndarray, base: int) -> Iterator[tuple]:
     """Request rows of a slice: distinct keys of each bucket with the rows that have them."""
+    if not len(keys):
+        return
     bucket = (keys >> np.uint64(shift)).astype(np.int64)
     some, cut = np.unique(bucket, return_index=True)
     for b, i, j in zip(some.tolist(), cut.tolist(), [*cut[1:].tolist(), len(keys)], strict=True):

@@ -12,7 +12,7 @@ other order too, before whole sets are compared.
 
 Groups of nodes with one prefix token are not expanded into pairs.  First each node meets the node of its group in which
 the token stands furthest to the front; links make components.  Then only nodes outside the group's largest component
-meet the others, and only across components.  No link between components is lost, and members of one need none.
+meet the others, only across components, and only where bitmaps of their sets leave a link possible.  No link between components is lost, and members of one need none.
 
 Nothing here is cut off: no bound on partners, frequent tokens or group sizes.  Hashes have 52 bits for shingles and 64
 for whole sets.
@@ -35,7 +35,7 @@ from contactloom.llm.components import components
 from contactloom.llm.katz import planes, unplanes
 from contactloom.llm.shared import bytes_of, hash_ngrams, hash_spans, mix, settle, slices, texts, words
 
-HASH_BITS, ROW_BITS, CLASSES = 52, 12, 5
+HASH_BITS, ROW_BITS, CLASSES, WORDS = 52, 12, 5, 16
 #: Put on the frequency of tokens outside an order's class, which come after those in it.
 LATE = 1 << 40
 
@@ -260,8 +260,20 @@ def verified(pairs: DataFrame, survivors: DataFrame, sets: DataFrame, measure: M
     return settle(whole.filter(100 * both >= measure.percent * (F.size("ta") + F.size("tb") - both)).select("a", "b"), "ngram-links")
 
 
+def bitmaps(row: np.ndarray, token: np.ndarray, rows: int) -> np.ndarray:
+    """For each set a bitmap of the hash classes of its tokens, as WORDS whole numbers."""
+    out = np.zeros((rows, 64 * WORDS), bool)
+    out[row, (token % np.uint64(64 * WORDS)).astype(np.int64)] = True
+    return np.packbits(out, axis=1).view(np.int64)
+
+
+def missing(a: str, b: str) -> Column:
+    """At least so many tokens of one set are not in the other: a bit that only one has is a token that only one has."""
+    return sum((F.bit_count(F.col(a)[k].bitwiseAND(F.bitwise_not(F.col(b)[k]))) for k in range(WORDS)), F.lit(0))
+
+
 def node_sets(docs: DataFrame, survivors: DataFrame, measure: Measure) -> DataFrame:
-    """(node, tokens) of the surviving nodes, from the text of one document of each.  Rows of a repeated id give the set
+    """(node, tokens, bits) of the surviving nodes, from the text of one document of each.  Rows of a repeated id give the set
     of each of their texts; the name of the set tells which is meant."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,13 +281,14 @@ def node_sets(docs: DataFrame, survivors: DataFrame, measure: Measure) -> DataFr
                 n = np.bincount(row, minlength=j - i)
                 off = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays([pa.array(node_names(row, token, n)), batch.column(1).slice(i, j - i),
-                                                  pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(token.view(np.int64)))],
-                                                 ["node", "wanted", "tokens"])
+                                                  pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(token.view(np.int64))),
+                                                  pa.array(list(bitmaps(row, token, j - i)), pa.list_(pa.int64()))],
+                                                 ["node", "wanted", "tokens", "bits"])
 
     wanted = survivors.select(F.col("rep").alias("doc_id"), F.col("node").alias("wanted"))
     rows = texts(docs).join(wanted, "doc_id").select("text", "wanted")
-    made = rows.mapInArrow(run, "node bigint, wanted bigint, tokens array<bigint>").filter("node = wanted")
-    return settle(made.dropDuplicates(["node"]).select("node", "tokens"), "ngram-sets")
+    made = rows.mapInArrow(run, "node bigint, wanted bigint, tokens array<bigint>, bits array<bigint>").filter("node = wanted")
+    return settle(made.dropDuplicates(["node"]).select("node", "tokens", "bits"), "ngram-sets")
 
 
 def first_meetings(entries: DataFrame) -> DataFrame:
@@ -285,20 +298,23 @@ def first_meetings(entries: DataFrame) -> DataFrame:
                           .filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
 
 
-def later_meetings(entries: DataFrame, labels: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of a token group that are in different components, as far as sizes and places allow."""
+def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+    """Pairs of a token group that are in different components, as far as sizes, places and bitmaps allow."""
     named = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
     major = (counts.groupBy("token").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("kinds"))
              .filter("kinds > 1").select("token", F.col("m.component").alias("major")))
-    named = settle(named.join(major, "token"), "ngram-groups")
-    left = named.filter("component <> major").select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component")))
-    right = named.select("token", "major", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component")))
+    named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node"), "ngram-groups")
+    own = ("node", "n", "place", "component", "bits")
+    left = named.filter("component <> major").select("token", *(F.col(c).alias(f"{c}_a") for c in own))
+    right = named.select("token", "major", *(F.col(c).alias(f"{c}_b") for c in own))
     most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    told = F.least(F.col("n_a") - missing("bits_a", "bits_b"), F.col("n_b") - missing("bits_b", "bits_a"))
     pairs = left.join(right, "token").filter(
         (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_b") == F.col("major")) | (F.col("node_a") < F.col("node_b")))
-        & may_link(measure.percent, F.col("n_a"), F.col("n_b"), most))
+        & may_link(measure.percent, F.col("n_a"), F.col("n_b"), most)
+        & may_link(measure.percent, F.col("n_a"), F.col("n_b"), told))
     return distinct_pairs(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
 
 
@@ -316,7 +332,7 @@ def similar_components(docs: DataFrame, measure: Measure | None = None, orders:
         "token", "node", "n", (F.col("lone0") + F.col("nth")).alias("place")), "ngram-entries")
     links = verified(first_meetings(entries), survivors, sets, measure, orders)
     labels = components(links)
-    more = verified(later_meetings(entries, labels, measure), survivors, sets, measure, orders)
+    more = verified(later_meetings(entries, labels, sets, measure), survivors, sets, measure, orders)
     labels = components(links.unionAll(more))
     first = labels.join(nodes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = nodes.select("node", "rep").join(labels.join(first, "component").select("node", "component_id"), "node", "left")
