@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.shared import bytes_of, crc_of_id, hash_spans, new_folder, slices, texts, words
+from contactloom.llm.shared import arrow_batches, bytes_of, crc_of_id, hash_spans, new_folder, settle, slices, texts, words
 
 END_HASH = np.uint64(2**64 - 1)
 ID_BITS, ROW_BITS, SLICE_BYTES, SMALL = 18, 14, 1 << 21, 5
 MAX_VOCABULARY = 1 << 17
+BATCH = "8m"
 #: Multiplier and its inverse modulo 2**ID_BITS: contexts are dealt to buckets by their scrambled id.
 SCRAMBLE = 0x1E35B
 
@@ -463,9 +464,10 @@ class KatzModel:
         spark = docs.sparkSession
         bits = max(4, min(12, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length()))
         train_docs = docs.filter("train").count()
-        word_table = count_words(docs, bits)
-        uni = unigrams(word_table, train_docs, vocabulary)
-        pair_table = count_pairs(docs, uni, bits)
+        with arrow_batches(spark, BATCH):
+            word_table = count_words(docs, bits)
+            uni = unigrams(word_table, train_docs, vocabulary)
+            pair_table = count_pairs(docs, uni, bits)
         return cls(uni, word_table, pair_table, discounts(totals(pair_table)[2]), bits, bits)
 
     def salts(self) -> np.ndarray:
@@ -496,7 +498,8 @@ class KatzModel:
         shared = spark.sparkContext.broadcast((self.uni, self.factor))
         parts = (tables.unionByName(asked).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "kind")
                  .mapInArrow(answer(shared, 1 << self.word_bits, to_arrow_type(kind)), PARTS.format(id=kind.simpleString())))
-        out = parts.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in OUT[2:]))
+        with arrow_batches(spark, BATCH):
+            out = settle(parts.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in OUT[2:])), "katz-scores")
         score = F.col("score") if self.uni.tokens else F.col("base_score")
         return out.select("doc_id", "n_tokens", "n_known", "base_score", score.alias("score"))
 

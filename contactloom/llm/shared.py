@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,19 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Hold batches for Python to so many bytes during the jobs inside: rows of packed arrays are large, and a worker
+    and the JVM both keep a batch or two."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """The id and the text of every row, null text as empty; other columns are left behind."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
