@@ -95,13 +95,16 @@ STANDINS: dict[str, str] = {
     "code": f"""SELECT CAST(n_nationkey + 1 AS BIGINT) AS code_sk, {_nth('n_nationkey', CODES)} AS code_name,
         CASE WHEN n_nationkey BETWEEN 9 AND 12 THEN 'y' ELSE 'N' END AS active_flg,
         CASE WHEN n_nationkey < 2 THEN 1 WHEN n_nationkey < 9 THEN 2
-             WHEN n_nationkey < 13 THEN 3 ELSE 4 END AS domain_fk FROM nation""",
+             WHEN n_nationkey < 13 THEN 3 ELSE 4 END AS domain_fk FROM nation
+        UNION ALL SELECT CAST(40 AS BIGINT), 'ACTIVE', ' y ', 3""",
     "domain_code": f"""SELECT r_regionkey + 1 AS domain_sk,
         {_nth('r_regionkey', ['Party Type', 'HCP Type', V.RECORD_STATE_DOMAIN, 'Communication', 'Other'])}
         AS domain_name FROM region""",
     "date_param": f"""SELECT {_nth('r_regionkey', [V.HCP_DATE_PARAM, V.MARKET_DATE_PARAM, V.MERGE_DATE_PARAM,
         'OTHER', 'MORE'])} AS etl_name, CASE WHEN r_regionkey = 1 THEN DATE '2014-01-01'
         ELSE DATE '2020-05-05' END AS extract_date FROM region""",
+    "rdm_country_code": """SELECT CAST(n_nationkey + 1 AS BIGINT) AS country_sk,
+        CASE n_nationkey WHEN 0 THEN 'US' WHEN 1 THEN 'US' ELSE 'X' || CAST(n_nationkey AS STRING) END AS iso_2_cd FROM nation""",
     "country_code": """SELECT CAST(n_nationkey + 1 AS BIGINT) AS country_sk, n_name AS country_name,
         CASE WHEN n_nationkey = 0 THEN 'USA' ELSE 'C' || CAST(n_nationkey AS STRING) END AS iso_3_cd,
         CASE WHEN n_nationkey = 0 THEN 'US' ELSE 'X' || CAST(n_nationkey AS STRING) END AS iso_2_cd
@@ -162,7 +165,7 @@ STANDINS: dict[str, str] = {
         {moment(_ODAY, 'o_orderkey % 5')} AS effective_dt, 'K' || lpad({text('o_orderkey')}, 12, '0') AS integration_key,
         {pick('o_orderkey', 'Y', 'Y', 'N', 'Y')} AS primary_flg,
         {pick('o_orderkey + 1', 'N', 'N', None, 'Y', 'N')} AS bounced_inform_flg,
-        CAST(CASE WHEN o_orderkey % 8 = 0 THEN 12 ELSE 10 END AS BIGINT) AS record_state_cd_fk FROM orders""",
+        CAST(CASE WHEN o_orderkey % 8 = 0 THEN 12 WHEN o_orderkey % 8 = 2 THEN 40 ELSE 10 END AS BIGINT) AS record_state_cd_fk FROM orders""",
     "party_address": f"""SELECT o_custkey AS party_fk, 'Street ' || {text('o_orderkey % 100')} AS address_line_1,
         {NO_TEXT} AS address_line_2, 'US' AS country_name, 'ST' || {text('o_orderkey % 50')} AS state_name,
         'County' AS county_name, 'City' || {text('o_orderkey % 70')} AS city_name,
@@ -171,7 +174,7 @@ STANDINS: dict[str, str] = {
         'K' || lpad({text('o_orderkey')}, 12, '0') AS integration_key,
         {pick('o_orderkey', 'Y', 'N', 'Y')} AS primary_address_flg, {pick('o_orderkey', 'Y', 'Y', 'Y', 'N')} AS current_flg,
         {pick('o_orderkey', 'N', 'N', 'Y', None, 'N')} AS bounced_inform_flg,
-        CAST(CASE WHEN o_orderkey % 10 = 0 THEN 11 ELSE 10 END AS BIGINT) AS record_state_cd_fk FROM orders""",
+        CAST(CASE WHEN o_orderkey % 10 = 0 THEN 11 WHEN o_orderkey % 10 = 4 THEN 40 ELSE 10 END AS BIGINT) AS record_state_cd_fk FROM orders""",
     "first_source": f"""SELECT {text('c_custkey')} AS party_fk,
         CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Lead ' || {text('c_custkey % 6')} END AS true_source,
         'Source ' || {text('c_custkey % 4')} AS source_name, {plus('2016-06-01', 'c_custkey % 1400')} AS create_dt
@@ -227,7 +230,7 @@ STANDINS: dict[str, str] = {
         {pick('o_orderkey', 'SFMC', 'sfmc', 'SFMC', 'SFMC', 'WEB_NEURO', 'SFDC_US', 'Knipper')} AS source_cd,
         CASE WHEN o_orderkey % 23 = 0 OR o_custkey % 2 = 0 THEN '-1' ELSE {text('o_custkey')} END AS mk_patient_gne_id,
         CASE WHEN o_orderkey % 23 = 0 OR o_custkey % 2 = 1 THEN '-1' ELSE {account('o_custkey')} END AS mk_account_vnt_id,
-        'raw' || {text('o_custkey % 200')} AS customer_identity_value, 'COOKIE' AS customer_identity_type,
+        'raw' || {text('o_custkey - o_custkey % 7')} AS customer_identity_value, 'COOKIE' AS customer_identity_type,
         CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 9 = 1 THEN 'unknown'
              WHEN o_custkey % 2 = 0 THEN 'Hcp' WHEN o_orderkey % 9 = 2 THEN 'Contact' ELSE 'Patient' END AS customer_type,
         'R' || {text('o_orderkey % 40')} AS rep_id,
@@ -307,7 +310,7 @@ STANDINS: dict[str, str] = {
         FROM orders WHERE o_orderkey % 3 = 1""",
     "field_call": f"""SELECT {account('o_custkey')} AS mk_account_vnt_id,
         CASE WHEN o_orderkey % 47 = 0 THEN NULL ELSE {moment(_ODAY, 'o_orderkey')} END AS call_start_date,
-        {pick('o_orderkey', 'Detail', 'Remote')} AS call_type, 'W' || {text('o_orderkey % 60')} AS employee_id,
+        {pick('o_orderkey', 'Detail', 'Remote')} AS call_type, 'W' || {text('o_custkey')} AS employee_id,
         {pick('o_orderkey', 'HCP', 'Hcp', 'HCO')} AS account_type,
         {pick('o_orderkey', *[f.lower() for f in V.FIELD_FORCES_CALLS], 'NEURO')} AS field_force_name,
         {pick('o_orderkey', V.ALZ_PRODUCT, 'x', None)} AS first_product, {pick('o_orderkey', None, 'x')} AS second_product,
@@ -322,7 +325,7 @@ STANDINS: dict[str, str] = {
         FROM part""",
     "attendee": f"""SELECT DISTINCT 'E' || {text('l_partkey')} AS event_id,
         CASE WHEN l_orderkey % 41 = 0 THEN NULL WHEN l_orderkey % 43 = 0 THEN 'NA' WHEN l_suppkey % 3 = 0 THEN 'm' || {text('l_orderkey')}
-             ELSE {account('l_orderkey % 700 * 2')} END AS mdm_id, {account('l_orderkey % 700 * 2')} AS mk_account_vnt_id,
+             ELSE {account('l_suppkey * 2 + l_orderkey % 40')} END AS mdm_id, {account('l_suppkey * 2 + l_orderkey % 40')} AS mk_account_vnt_id,
         {pick('l_linenumber', 'ATND', 'Atnd', 'NOSHOW')} AS attendee_status, {pick('l_suppkey', 'ROLE_1', 'ROLE_9')} AS attendee_role,
         {pick('l_orderkey', 'Hcp', 'Caregiver', 'PATIENT')} AS attendee_type, 'MF' AS source_name,
         {digits(day('l_shipdate'))} AS created_date FROM lineitem""",
@@ -336,9 +339,9 @@ STANDINS: dict[str, str] = {
     "crm_sent_email": f"""SELECT 'M' || {text('o_orderkey')} AS id,
         CASE WHEN o_orderkey % 39 = 0 THEN NULL ELSE {moment(_ODAY, 'o_orderkey')} END AS email_sent_date_vod__c,
         CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'AC' || {text('o_custkey')} END AS account_vod__c,
-        'D' || {text('o_orderkey % 60')} AS approved_email_template_vod__c,
+        'D' || {text('o_custkey')} AS approved_email_template_vod__c,
         CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE 'PR' || {text('o_orderkey % 12')} END AS product_vod__c,
-        {pick('o_orderkey', 'Delivered_vod', 'Sent_vod', 'Failed_vod', ' Sent _x')} AS status_vod__c, 'U' || {text('o_orderkey % 70')} AS ownerid,
+        {pick('o_orderkey', 'Delivered_vod', 'Sent_vod', 'Failed_vod', ' Sent _x')} AS status_vod__c, 'U' || {text('o_custkey + o_orderkey % 3')} AS ownerid,
         {pick('o_orderkey', 'Plain', 'Left|Right side', None, 'A|B|c')} AS product_display_vod__c FROM orders""",
     "crm_email_activity": f"""SELECT 'EA' || {text('o_orderkey')} AS id,
         CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE {moment(_ODAY, 'o_orderkey + 3')} END AS activity_datetime_vod__c,
@@ -348,13 +351,13 @@ STANDINS: dict[str, str] = {
     "crm_account": f"""SELECT 'AC' || {text('c_custkey')} AS id, CASE WHEN c_custkey % 33 = 0 THEN NULL ELSE {account('c_custkey')} END
         AS external_id_vod__c FROM customer WHERE c_custkey % 15 <> 7""",
     "crm_document": f"""SELECT 'D' || {text('p_partkey')} AS id, p_name AS name, 'RT' || {text('p_partkey % 4')} AS recordtypeid
-        FROM part WHERE p_partkey < 58""",
+        FROM part WHERE p_partkey % 20 <> 11""",
     "crm_product": f"""SELECT 'PR' || {text('n_nationkey')} AS id, {_nth('n_nationkey', [b.title() for b in BRANDS] +
         [V.FRANCHISE_NEURO, 'New alz drug', 'Mystery', 'Unlisted'])} AS name, {pick('n_nationkey', 'Rare', None)} AS therapeutic_area_vod__c
         FROM nation WHERE n_nationkey < 12""",
-    "crm_user": f"""SELECT 'U' || {text('p_partkey')} AS id, 'W' || {text('p_partkey % 55')} AS mk_worker_bam_id,
+    "crm_user": f"""SELECT 'U' || {text('p_partkey')} AS id, 'W' || {text('p_partkey')} AS mk_worker_bam_id,
         {pick('p_partkey', 'us', 'United States', 'US', 'CA')} AS country, CAST(CASE WHEN p_partkey % 6 = 0 THEN 0 ELSE 1 END AS INT) AS isactive
-        FROM part WHERE p_partkey < 68""",
+        FROM part WHERE p_partkey % 23 <> 9""",
     "crm_recordtype": f"SELECT 'RT' || {text('r_regionkey')} AS id FROM region WHERE r_regionkey < 3",
     # ---- ranking -----------------------------------------------------------------------------
     "kpi_metric_fact": f"""SELECT CASE WHEN o_orderkey % 45 = 0 THEN NULL ELSE {account('o_custkey - o_custkey % 2')} END AS mk_account_vnt_id,
@@ -377,7 +380,7 @@ STANDINS: dict[str, str] = {
         FROM customer WHERE c_custkey % 3 <> 1""",
     # ---- affiliations, universe, field force -------------------------------------------------
     "parent_hco": f"""SELECT CASE WHEN o_orderkey % 55 = 0 THEN '-1' WHEN o_orderkey % 56 = 0 THEN NULL ELSE {account('o_custkey')} END AS mk_account_vnt_id,
-        CASE WHEN o_orderkey % 57 = 0 THEN '-1' ELSE {account('(o_custkey * 7 + o_orderkey % 3) % 300')} END AS mk_parent_account_vnt_id,
+        CASE WHEN o_orderkey % 57 = 0 THEN '-1' ELSE {account('o_custkey - o_custkey % 6 + o_orderkey % 3 + 1')} END AS mk_parent_account_vnt_id,
         CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE {moment(_ODAY, 'o_orderkey % 4')} END AS modified_date__v,
         {pick('o_orderkey', 'VALID', 'VALID', 'VALID', 'OLD')} AS record_state__v, {pick('o_orderkey', 'HCP_HCO', 'HCO_HCO')} AS hierarchy_type__v,
         {', '.join(f"{pick(f'o_orderkey + {i}', 'Y', 'N', None) if i == 0 else pick(f'o_orderkey + {i}', 'Primary__c', None, 'SECONDARY__C', 'N', 'odd')} AS {c}"
@@ -387,12 +390,12 @@ STANDINS: dict[str, str] = {
         CASE WHEN c_custkey % 15 = 0 THEN NULL ELSE 'Corp ' || {text('c_custkey')} END AS corporate_name__v,
         {pick('c_custkey', 'Y', 'N', None)} AS ad_infusion_site__c, {pick('c_custkey', 'VALID', 'VALID', 'VALID', 'VALID', 'X')} AS record_state__v,
         {pick('c_custkey', 'A', 'A', 'I')} AS hco_status__v, {pick('c_custkey', 'US', 'US', 'US', 'CA')} AS primary_country__v
-        FROM customer WHERE c_custkey < 400""",
+        FROM customer WHERE c_custkey % 8 <> 5""",
     "hcp": f"""SELECT {account('c_custkey')} AS mk_account_vnt_id, 'Name ' || {text('c_custkey')} AS formatted_name__v, {text('1000000 + c_custkey')} AS npi_num__v,
         'First' || {text('c_custkey % 20')} AS first_name__v, CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE c_name END AS last_name__v,
         {pick('c_custkey', 'M', 'F')} AS gender__v, {plus('1950-01-01', 'c_custkey % 9000')} AS birth_date__v,
         {pick('c_custkey', 'VALID', 'Valid', 'OLD')} AS record_state__v, {pick('c_custkey', 'A', 'a', 'A', 'I')} AS hcp_status__v
-        FROM customer WHERE c_custkey >= 350""",
+        FROM customer WHERE c_custkey % 3 <> 1""",
     "account_ad_dim": f"""SELECT CASE WHEN c_custkey % 83 = 1 THEN '-1' WHEN c_custkey % 79 = 1 THEN NULL ELSE {account('c_custkey')} END AS mk_account_vnt_id,
         {pick('c_custkey', 'HCP', 'HCP', 'Hco', 'HCP', 'OTHER')} AS account_class, {pick('c_custkey', 'Active', 'Inactive')} AS account_status_name,
         c_name AS account_name, {pick('c_custkey', 'A', 'B', 'NEW', 'Z', None, 'D')} AS biib_group__c, 'Site ' || {text('c_custkey % 9')} AS site_name,
@@ -414,7 +417,7 @@ STANDINS: dict[str, str] = {
         FROM customer WHERE c_custkey % 3 <> 0""",
     "employee_to_territory": f"""SELECT 'Emp ' || {text('s_suppkey')} AS employee_name, 'T' || {text('s_suppkey')} AS territory_number,
         'Terr ' || {text('s_suppkey % 40')} AS territory_name, {pick('s_suppkey', *V.FIELD_FORCES_REPS, 'OTHER')} AS field_force_name,
-        'W' || {text('s_suppkey % 55')} AS mk_worker_bam_id,
+        'W' || {text('s_suppkey - s_suppkey % 2')} AS mk_worker_bam_id,
         CASE WHEN s_suppkey % 20 < 14 THEN 'territory__aln' WHEN s_suppkey % 20 < 16 THEN 'region__aln' WHEN s_suppkey % 20 = 16 THEN 'division__aln'
              WHEN s_suppkey % 20 < 19 THEN 'nation__aln' ELSE 'zone__c' END AS territory_hierarchy_level,
         CASE WHEN s_suppkey % 27 = 0 THEN NULL ELSE ' Region ' || {text('s_suppkey % 3')} END AS region_name, 'login' || {text('s_suppkey')} AS employee_network_id,
@@ -430,10 +433,10 @@ STANDINS: dict[str, str] = {
         'T' || {text('c_custkey % 120')} AS territory_number, {pick('c_custkey', 'TRUE_CURR', 'true_curr', 'PAST')} AS alignment_type,
         {pick('c_custkey', *V.FIELD_FORCES, 'ad-tbm', 'NEURO')} AS field_force_name FROM customer""",
     "lab_result": f"""SELECT CASE WHEN o_orderkey % 35 = 0 THEN '-1' ELSE {account('o_custkey')} END AS mk_account_vnt_id, {_ODAY} AS result_date,
-        'PT' || {text('o_orderkey % 300')} AS patient_id, {pick('o_orderkey', 'Positive', 'NEGATIVE', 'negative', 'Unclear')} AS test_result,
+        'PT' || {text('o_custkey - o_custkey % 3')} AS patient_id, {pick('o_orderkey', 'Positive', 'NEGATIVE', 'negative', 'Unclear')} AS test_result,
         {pick('o_orderkey', 'Mayo', 'MAYO', 'LABCORP')} AS data_source FROM orders""",
     "shipment": f"""SELECT CASE WHEN l_orderkey % 29 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN 'VNID-1' WHEN l_orderkey % 37 = 0 THEN 'ZIP' || {text('l_orderkey')}
-             WHEN l_orderkey % 3 = 0 THEN 'A' || {text('l_orderkey % 50')} ELSE 'VNID' || {account('l_orderkey % 200')} END AS account_1,
+             WHEN l_orderkey % 3 = 0 THEN 'A' || {text('l_suppkey')} ELSE 'VNID' || {account('l_partkey')} END AS account_1,
         {day('l_shipdate')} AS kpi_date, {pick('l_suppkey', V.ALZ_PRODUCT, V.ALZ_PRODUCT, 'Other')} AS kpi_product, l_quantity + 0.5 AS kpi_numerator,
         {pick('l_partkey', 'Commercial', 'COMMERCIAL', 'FREE')} AS referral_type, {pick('l_linenumber', 'ValueTrak', 'VALUETRAK')} AS data_source,
         {pick('l_suppkey', 'Day', 'DAY', 'WEEK')} AS time_type FROM lineitem""",

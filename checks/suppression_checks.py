@@ -27,12 +27,15 @@ IN_AREA = f"""SELECT m.party_fk FROM party_market m JOIN therapeutic_area c ON c
     JOIN therapeutic_area p ON p.therapeutic_area_sk = c.parent_therapeutic_area_fk
     WHERE p.therapeutic_area IN {listing(V.HEM_PARENT_AREAS + V.MS_PARENT_AREAS)}"""
 ACTIVE = "SELECT code_sk FROM code WHERE upper(trim(code_name)) = 'ACTIVE' AND upper(active_flg) = 'Y'"
+#: The contact filters trim the flag as well (addresses and e-mails), the market filters do not.
+ACTIVE_TRIMMED = "SELECT code_sk FROM code WHERE upper(trim(code_name)) = 'ACTIVE' AND upper(trim(active_flg)) = 'Y'"
 ELIGIBLE = f"""SELECT DISTINCT u.party_fk, p.mdm_key FROM (SELECT party_fk FROM party_patient UNION SELECT party_fk FROM party_contact) u
     JOIN party p ON p.party_sk = u.party_fk JOIN country_code n ON n.country_sk = p.primary_country_fk
     JOIN party_market m ON m.party_fk = u.party_fk JOIN therapeutic_area c ON c.therapeutic_area_sk = m.therapeutic_area_fk
     JOIN therapeutic_area a ON a.therapeutic_area_sk = c.parent_therapeutic_area_fk
     WHERE trim(p.mdm_key) LIKE 'LH%' AND n.iso_2_cd = 'US' AND a.therapeutic_area IN ('NEUROLOGY', 'HEMATOLOGY')
     AND m.record_state_cd_fk IN ({ACTIVE}) AND c.record_state_cd_fk IN ({ACTIVE}) AND a.record_state_cd_fk IN ({ACTIVE})"""
+PUBLISHED = ELIGIBLE.replace("JOIN country_code n", "JOIN rdm_country_code n")
 BOUNCES = f"""SELECT customer_fk, min(CASE WHEN activity_type_fk = {V.BOUNCE_ACTIVITY_TYPE} AND soft_or_hard THEN time_dt END) AS bounce_date,
     CASE WHEN count(DISTINCT CASE WHEN hard THEN integration_key END) > 0
            OR count(DISTINCT CASE WHEN soft_or_hard AND NOT hard THEN integration_key END) > 2 THEN 1 ELSE 0 END AS bounce_flag
@@ -182,10 +185,10 @@ PHONE_SQL = """SELECT party_fk, comm_value FROM party_communication WHERE commun
     QUALIFY row_number() OVER (PARTITION BY party_fk ORDER BY effective_dt DESC NULLS FIRST, integration_key DESC) = 1"""
 MAIL_SQL = f"""SELECT party_fk, comm_value FROM party_communication WHERE (communication_type_cd_fk IN
     (SELECT code_sk FROM code WHERE upper(trim(code_name)) LIKE '%EMAIL_1%') AND primary_flg = 'Y' AND bounced_inform_flg = 'N')
-    OR (bounced_inform_flg IS NULL AND record_state_cd_fk IN ({ACTIVE}))
+    OR (bounced_inform_flg IS NULL AND record_state_cd_fk IN ({ACTIVE_TRIMMED}))
     QUALIFY row_number() OVER (PARTITION BY party_fk ORDER BY effective_dt DESC NULLS FIRST, integration_key DESC) = 1"""
 HOME_SQL = f"""SELECT * FROM party_address WHERE primary_address_flg = 'Y' AND current_flg = 'Y' AND bounced_inform_flg = 'N'
-    AND record_state_cd_fk IN ({ACTIVE})
+    AND record_state_cd_fk IN ({ACTIVE_TRIMMED})
     QUALIFY row_number() OVER (PARTITION BY party_fk ORDER BY last_load_ts DESC NULLS FIRST, integration_key DESC) = 1"""
 PATIENT_SQL = f"""SELECT DISTINCT 'PAT' AS feed_origin, t.party_fk, e.mdm_key AS party_master_id, t.salutation, t.first_name, t.middle_name,
     t.last_name, t.title, t.suffix, g.code_name AS gender_code, t.birth_dt AS birth_date,
@@ -200,7 +203,7 @@ PATIENT_SQL = f"""SELECT DISTINCT 'PAT' AS feed_origin, t.party_fk, e.mdm_key AS
     LEFT JOIN ({HOME_SQL}) h ON h.party_fk = e.party_fk LEFT JOIN ({PHONE_SQL}) f ON f.party_fk = e.party_fk
     LEFT JOIN ({MAIL_SQL}) m ON m.party_fk = e.party_fk WHERE e.party_fk > 0"""
 PAT_MARKET_SQL = f"""SELECT DISTINCT m.party_fk AS party_sk, c.therapeutic_area AS child_therapeutic_area FROM party_market m
-    JOIN ({ELIGIBLE}) e ON e.party_fk = m.party_fk JOIN product_brand b ON b.product_brand_sk = m.product_brand_fk
+    JOIN ({PUBLISHED}) e ON e.party_fk = m.party_fk JOIN product_brand b ON b.product_brand_sk = m.product_brand_fk
     JOIN therapeutic_area c ON c.therapeutic_area_sk = m.therapeutic_area_fk
     JOIN therapeutic_area a ON a.therapeutic_area_sk = c.parent_therapeutic_area_fk
     WHERE a.therapeutic_area IN ('NEUROLOGY', 'HEMATOLOGY') AND c.parent_therapeutic_area_fk <> -1
@@ -249,10 +252,10 @@ PAT_SOURCE_SQL = f"""WITH pat_party AS ({PATIENT_SQL}), pat_market AS ({PAT_MARK
     UNION ALL {' UNION ALL '.join(_site_branch(p, s) for p, s in V.SMA_WEB_SITES.items())}"""
 
 PAT_MERGE_SQL = f"""SELECT DISTINCT 'PAT' AS feed_origin, s.mdm_key AS new_mdm_id, l.mdm_key AS existing_mdm_id, 'PAT' AS party_type,
-    strftime(g.src_merge_dt, '%m/%d/%Y %H:%M:%S') AS date_of_merge, {letter('r.code_name')} AS record_state
+    strftime(g.src_merge_dt, '%m/%d/%Y %H:%M:%S') AS date_of_merge, {letter('r.code_name')} AS record_state, TIMESTAMP '{AS_OF} 00:00:00' AS archival_ts
     FROM party_merge_map g LEFT JOIN (SELECT * FROM party WHERE mdm_key LIKE 'LH%') s ON s.party_sk = g.survivor_party_fk
     LEFT JOIN (SELECT * FROM party WHERE mdm_key LIKE 'LH%') l ON l.party_sk = g.non_survivor_party_fk
-    LEFT JOIN code r ON r.code_sk = g.record_state_cd_fk WHERE g.survivor_party_fk IN (SELECT party_fk FROM ({ELIGIBLE}) e)"""
+    LEFT JOIN code r ON r.code_sk = g.record_state_cd_fk WHERE g.survivor_party_fk IN (SELECT party_fk FROM ({PUBLISHED}) e)"""
 
 PAT_RESULT_SQL = f"""WITH pat_source AS ({PAT_SOURCE_SQL}), pat_p AS ({PATIENT_SQL}), pat_merge AS ({PAT_MERGE_SQL}),
     joined AS (SELECT p.party_fk, p.party_master_id, s.product_name, s.pat_segment, p.birth_date, p.patient_type_code AS party_type_code,
@@ -290,9 +293,11 @@ CHECKS = {
                                 texts="birth_date create_date last_load_ts"),
     "patient_market": Check(pat.patient_market, PAT_MARKET_SQL),
     "patient_source": Check(lambda t: pat.patient_workflow(t, AS_OF)["source"], PAT_SOURCE_SQL, texts="source_dt"),
-    "patient_merge_records": Check(pat.patient_merge, PAT_MERGE_SQL),
+    "patient_merge_records": Check(lambda t: pat.patient_merge(t, AS_OF), PAT_MERGE_SQL, texts="archival_ts"),
     "patient_suppression": Check(lambda t: pat.patient_workflow(t, AS_OF)["suppression"], PAT_RESULT_SQL,
                                  texts=f"{_DATES} create_date birth_date", doubles="age bounce_flag"),
+    "home_address": Check(pat.home_address, f"SELECT party_fk, address_line_1, address_line_2, country_name, state_name, county_name, "
+                          f"city_name, postal_cd FROM ({HOME_SQL}) h"),
     "latest_contact_phone": Check(lambda t: pat.contact_rows(t, "phone"), PHONE_SQL),
     "latest_contact_email": Check(lambda t: pat.contact_rows(t, "email"), MAIL_SQL),
 }

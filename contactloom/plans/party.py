@@ -38,13 +38,15 @@ def parties_in_area(t: Frames) -> DataFrame:
     return both.filter(area_group("_area").isin("HEM", "MS")).select("party_fk")
 
 
-def active_codes(t: Frames, trim: bool = True) -> DataFrame:
+def active_codes(t: Frames, trim: bool = True, trim_flag: bool = False) -> DataFrame:
+    """Codes of the active record state.  The source trims the name, the flag, both or neither, by place."""
     name = folded("code_name") if trim else F.upper("code_name")
-    return t["code"].filter((name == "ACTIVE") & (F.upper("active_flg") == "Y")).select("code_sk")
+    flag = folded("active_flg") if trim_flag else F.upper("active_flg")
+    return t["code"].filter((name == "ACTIVE") & (flag == "Y")).select("code_sk")
 
 
-def eligible_persons(t: Frames) -> DataFrame:
-    """US persons with an active market row under an active area of one of the parent areas.
+def eligible_persons(t: Frames, countries: str = "country_code") -> DataFrame:
+    """US persons (by the named country table) with an active market row under an active area of one of the parent areas.
 
     One row per party: everything beyond the party is an existence test, so the market side is
     cut to distinct keys and semi-joined, and no fan-out arises."""
@@ -54,7 +56,7 @@ def eligible_persons(t: Frames) -> DataFrame:
     children = keep_matching(areas, parents, "parent_therapeutic_area_fk", "therapeutic_area_sk", unique=True)
     market = keep_matching(t["party_market"], active, "record_state_cd_fk", "code_sk", unique=True)
     market = keep_matching(market, children, "therapeutic_area_fk", "therapeutic_area_sk", unique=True)
-    us = t["country_code"].filter(F.col("iso_2_cd") == "US")
+    us = t[countries].filter(F.col("iso_2_cd") == "US")
     party = t["party"].filter(F.trim("mdm_key").like(V.PERSON_PREFIX + "%"))
     party = keep_matching(party, us, "primary_country_fk", "country_sk", unique=True)
     people = union_distinct(t["party_patient"].select("party_fk"), t["party_contact"].select("party_fk"))

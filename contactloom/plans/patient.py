@@ -30,7 +30,7 @@ def contact_rows(t: Frames, kind: str) -> DataFrame:
     names = folded("code_name") if kind == "email" else F.upper("code_name")
     pattern = "%EMAIL_1%" if kind == "email" else "%PHONE_1%"
     typed = t["code"].filter(names.like(pattern)).select("code_sk").distinct()
-    active = active_codes(t, trim=kind == "email").distinct()
+    active = active_codes(t, trim=kind == "email", trim_flag=kind == "email").distinct()
     rows = t["party_communication"]
     if kind == "email":
         rows = left_lookup(rows, typed, {"communication_type_cd_fk": "code_sk"}, {"_typed": "code_sk"})
@@ -50,7 +50,7 @@ def home_address(t: Frames) -> DataFrame:
     usable = t["party_address"].filter((F.col("primary_address_flg") == "Y")
                                        & (F.col("current_flg") == "Y")
                                        & (F.col("bounced_inform_flg") == "N"))
-    usable = keep_matching(usable, active_codes(t), "record_state_cd_fk", "code_sk", unique=True)
+    usable = keep_matching(usable, active_codes(t, trim_flag=True), "record_state_cd_fk", "code_sk", unique=True)
     return latest_contact(usable, "party_fk", "last_load_ts", "integration_key").select(
         "party_fk", *_ADDRESS)
 
@@ -88,8 +88,13 @@ def patient_party(t: Frames, as_of: date) -> DataFrame:
         as_date(as_of).cast("timestamp").alias("last_load_ts")).distinct()
 
 
-def patient_market(t: Frames) -> DataFrame:
-    market = keep_matching(t["party_market"], eligible_persons(t), "party_fk")
+def market_persons(t: Frames) -> DataFrame:
+    """Eligible persons by the published country table, which market and merge records go by."""
+    return eligible_persons(t, "rdm_country_code").select("party_fk")
+
+
+def patient_market(t: Frames, people: DataFrame | None = None) -> DataFrame:
+    market = keep_matching(t["party_market"], market_persons(t) if people is None else people, "party_fk")
     market = keep_matching(market, t["product_brand"], "product_brand_fk", "product_brand_sk", unique=True)
     rows = area_path(t, market).filter((F.col("_parent_fk") != -1)
                                        & F.col("parent_ta").isin(V.PARENT_AREAS)
@@ -176,9 +181,9 @@ def patient_source(t: Frames, party: DataFrame, market: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def patient_merge(t: Frames) -> DataFrame:
-    """Merged person keys with the merge date as text."""
-    rows = keep_matching(t["party_merge_map"], eligible_persons(t), "survivor_party_fk", "party_fk")
+def patient_merge(t: Frames, as_of: date, people: DataFrame | None = None) -> DataFrame:
+    """Merged person keys with the merge date as text, and when the records were made."""
+    rows = keep_matching(t["party_merge_map"], market_persons(t) if people is None else people, "survivor_party_fk", "party_fk")
     persons = t["party"].filter(like_any("mdm_key", [V.PERSON_PREFIX + "%"]))
     rows = left_lookup(rows, persons, {"survivor_party_fk": "party_sk"}, {"new_mdm_id": "mdm_key"})
     rows = left_lookup(rows, persons, {"non_survivor_party_fk": "party_sk"}, {"existing_mdm_id": "mdm_key"})
@@ -186,7 +191,8 @@ def patient_merge(t: Frames) -> DataFrame:
     return rows.select(F.lit("PAT").alias("feed_origin"), "new_mdm_id", "existing_mdm_id",
                        F.lit("PAT").alias("party_type"),
                        F.date_format("src_merge_dt", "MM/dd/yyyy HH:mm:ss").alias("date_of_merge"),
-                       record_letter("_state").alias("record_state")).distinct()
+                       record_letter("_state").alias("record_state"),
+                       as_date(as_of).cast("timestamp").alias("archival_ts")).distinct()
 
 
 def patient_suppression(t: Frames, source: DataFrame, party: DataFrame, merge: DataFrame) -> DataFrame:
@@ -229,7 +235,8 @@ def patient_workflow(t: Frames, as_of: date) -> dict[str, DataFrame]:
     """All five results.  The first four are written to the shared folder as they are made,
     since later steps read them several times."""
     party = settle(patient_party(t, as_of), "patient-party")
-    market, merge = settle(patient_market(t), "patient-market"), settle(patient_merge(t), "patient-merge")
+    people = settle(market_persons(t), "market-persons")
+    market, merge = settle(patient_market(t, people), "patient-market"), settle(patient_merge(t, as_of, people), "patient-merge")
     source = settle(patient_source(t, party, market), "patient-source")
     return {"party": party, "market": market, "source": source, "merge": merge,
             "suppression": patient_suppression(t, source, party, merge)}
