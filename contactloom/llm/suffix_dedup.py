@@ -39,7 +39,6 @@ GRAM = 36
 #: Of an anchor's name so many high bits are compared when anchors are counted.  A chance match costs some work later,
 #: where strings are told apart by their bytes; it changes no result.
 NAME_BITS = 40
-CODEC = pa.Codec("zstd", 1)
 SHARD = 1 << 15
 PAD = 0xFF  # occurs in no UTF-8 text
 NO_ID = 2**63 - 1
@@ -290,7 +289,7 @@ class Pending:
         rows: list[list] = [[], [], [], [], [], [], []]
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             k = kept[a:b]
-            for col, x in zip(rows, (CODEC.compress(np.ascontiguousarray(columns[:, a:b]).tobytes(), asbytes=True), planes(name[k]), planes(ids[k]), planes(hashes[k]),
+            for col, x in zip(rows, (pa.compress(np.ascontiguousarray(columns[:, a:b]).tobytes(), "zstd", asbytes=True), planes(name[k]), planes(ids[k]), planes(hashes[k]),
                                      planes(places[k].astype(np.uint32)), left[k].astype(np.uint8).tobytes(),
                                      right[k].astype(np.uint8).tobytes()), strict=True):
                 col.append(x)
@@ -360,7 +359,7 @@ def _merged(shape: Shape):
                     yield from close(parts)
                     parts = []
                 now = bucket
-                columns = CODEC.decompress(raw[0], decompressed_size=len(ids) * shape.width)
+                columns = pa.decompress(raw[0], len(ids) * shape.width, "zstd")
                 parts.append((np.frombuffer(columns, np.uint8).reshape(shape.width, -1), unplanes(raw[1], np.uint64), ids, hashes, places,
                               np.frombuffer(raw[5], np.uint8).astype(np.int64), np.frombuffer(raw[6], np.uint8).astype(np.int64)))
         if now is not None:
