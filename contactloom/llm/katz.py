@@ -331,8 +331,9 @@ class Pairs:
         return np.where(self.keys[at] == keys, self.log_seen[at], backoff)
 
 
-REQUESTS = "bucket int, salt int, kind int, base bigint, keys binary, row binary, n binary, doc_id {id}, n_tokens bigint"
-PARTS = "uid bigint, doc_id {id}, n_tokens bigint, n_known bigint, base_score double, score double"
+REQUESTS = "bucket int, salt int, kind int, base bigint, keys binary, row binary, n binary, doc_id array<{id}>"
+PARTS = "base bigint, doc_id array<{id}>, row binary, n_known binary, base_score binary, score binary"
+SCORES = "doc_id {id}, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
 def by_bucket(keys: np.ndarray, row: np.ndarray, n: np.ndarray, shift: int, first: int, salts: np.ndarray, base: int) -> Iterator[tuple]:
@@ -348,12 +349,9 @@ def by_bucket(keys: np.ndarray, row: np.ndarray, n: np.ndarray, shift: int, firs
 
 def requests(docs: DataFrame, uni: Unigrams, word_bits: int, pair_bits: int, salts: np.ndarray) -> DataFrame:
     """What each slice of documents asks of the buckets: rare words of the word table (its buckets come first), pairs
-    of the pair table; and for each document a row with its number of tokens."""
-    from pyspark.sql.pandas.types import to_arrow_type
-
+    of the pair table; and one row with the ids of its documents and their numbers of tokens.  ``base`` names the slice."""
     shared = docs.sparkSession.sparkContext.broadcast((uni, salts))
     kind = docs.schema["doc_id"].dataType
-    id_type = to_arrow_type(kind)
 
     def distinct(keys: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.lexsort((row, keys))
@@ -377,25 +375,19 @@ def requests(docs: DataFrame, uni: Unigrams, word_bits: int, pair_bits: int, sal
                 found = [*by_bucket(*distinct(h[rare], row[rare]), 64 - word_bits, 0, salts, base),
                          *by_bucket(*distinct_pairs(keys, row), 2 * ID_BITS - pair_bits, 1 << word_bits, salts, base)]
                 count = np.bincount(row, minlength=j - i)
-                m, k = len(found), j - i
-                cols = list(zip(*found, strict=True)) if found else [()] * 7
+                found.append((base % len(salts), 0, 2, base, None, None, planes(count)))
                 kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                none = pa.nulls(m, id_type), pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), *none], NAMES)
-                spread = (base + np.arange(k)) % len(salts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(spread, pa.int32()), pa.array(np.zeros(k, np.int32)), pa.array(np.full(k, 2, np.int32)),
-                     pa.array(base + np.arange(k)), *(pa.nulls(k, pa.binary()) for _ in range(3)),
-                     batch.column(0).slice(i, k), pa.array(count)], NAMES)
+                ids = pa.ListArray.from_arrays(pa.array([*[0] * len(found), j - i], pa.int32()), batch.column(0).slice(i, j - i))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)), ids], NAMES)
 
     return docs.select("doc_id", "text", "uid").mapInArrow(run, REQUESTS.format(id=kind.simpleString()))
 
 
-NAMES = ["bucket", "salt", "kind", "base", "keys", "row", "n", "doc_id", "n_tokens"]
+NAMES = ["bucket", "salt", "kind", "base", "keys", "row", "n", "doc_id"]
 
 
-def answer(shared, word_buckets: int, id_type: pa.DataType) -> Callable:
-    """Evaluate requests, which follow the table rows of their bucket."""
+def answer(shared, word_buckets: int) -> Callable:
+    """Evaluate requests, which follow the table rows of their bucket: sums for each row of the slice that asks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uni: Unigrams = shared.value[0]
         factor = shared.value[1]
@@ -403,8 +395,11 @@ def answer(shared, word_buckets: int, id_type: pa.DataType) -> Callable:
         nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             bucket, salt, kind, base = (batch.column(k).to_pylist() for k in range(4))
+            of, sums = [], []
             for r in range(batch.num_rows):
                 if kind[r] == 2:
+                    of.append(r)
+                    sums.append((None, batch.column(6)[r].as_py(), None, None))
                     continue
                 if (bucket[r], salt[r]) != now or kind[r] == 0:
                     now = bucket[r], salt[r]
@@ -428,21 +423,39 @@ def answer(shared, word_buckets: int, id_type: pa.DataType) -> Callable:
                     c = np.concatenate([uni.head_counts, [0, uni.end_count]])[s]
                     own_base, own_score, known = np.where(told, uni.base(c), 0.0), table.log_p(asked), told & (c > 0)
                 some = np.flatnonzero(np.bincount(row))
-                add = lambda x: np.bincount(row, x * n)[some]  # noqa: E731, B023
-                m = len(some)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(base[r] + some), pa.nulls(m, id_type), pa.array(np.zeros(m, np.int64)),
-                     pa.array(add(known).astype(np.int64)), pa.array(add(own_base)), pa.array(add(own_score))], OUT)
-            meta = batch.filter(pa.array([k == 2 for k in kind]))
-            if meta.num_rows:
-                m = meta.num_rows
-                yield pa.RecordBatch.from_arrays([meta.column(3), meta.column(7), meta.column(8), pa.array(np.zeros(m, np.int64)),
-                                                  pa.array(np.zeros(m)), pa.array(np.zeros(m))], OUT)
+                own_known, own_base, own_score = (np.bincount(row, x * n)[some] for x in (known, own_base, own_score))
+                of.append(r)
+                sums.append((some.astype(np.uint16).tobytes(), own_known.astype(np.uint32).tobytes(), own_base.tobytes(), own_score.tobytes()))
+            rows = pa.array(of, pa.int64())
+            cols = list(zip(*sums, strict=True)) if sums else [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(3).take(rows), batch.column(7).take(rows), *(pa.array(c, pa.binary()) for c in cols)],
+                                             ["base", "doc_id", "row", "n_known", "base_score", "score"])
 
     return run
 
 
-OUT = ["uid", "doc_id", "n_tokens", "n_known", "base_score", "score"]
+def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scores of the documents of each slice; the row with their ids comes first, then the sums of all buckets."""
+    ids, tokens, known, base_score, score = None, None, None, None, None
+
+    def close() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, *(pa.array(x) for x in (tokens, known, base_score, score))],
+                                          ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    for batch in batches:
+        for r in range(batch.num_rows):
+            if batch.column(2)[r].as_py() is None:
+                if ids is not None:
+                    yield close()
+                ids, tokens = batch.column(1)[r].values, unplanes(batch.column(3)[r].as_buffer(), np.int64)
+                known, base_score, score = (np.zeros(len(tokens), kind) for kind in (np.int64, np.float64, np.float64))
+            else:
+                row = np.frombuffer(batch.column(2)[r].as_buffer(), np.uint16)
+                known[row] += np.frombuffer(batch.column(3)[r].as_buffer(), np.uint32)
+                base_score[row] += np.frombuffer(batch.column(4)[r].as_buffer(), np.float64)
+                score[row] += np.frombuffer(batch.column(5)[r].as_buffer(), np.float64)
+    if ids is not None:
+        yield close()
 
 
 @dataclass
@@ -482,8 +495,6 @@ class KatzModel:
 
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_tokens, n_known, base_score, score) of every row of (doc_id, text)."""
-        from pyspark.sql.pandas.types import to_arrow_type
-
         spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType
         salts = self.salts()
         asked = requests(docs.withColumn("uid", F.monotonically_increasing_id()), self.uni, self.word_bits, self.pair_bits, salts)
@@ -494,12 +505,13 @@ class KatzModel:
                   .withColumn("bucket", F.col("bucket") + first).join(F.broadcast(copies), "bucket")
                   .select("bucket", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("kind"),
                           F.lit(None).cast("bigint").alias("base"), "keys", F.lit(None).cast("binary").alias("row"),
-                          F.col("counts").alias("n"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("bigint").alias("n_tokens")))
+                          F.col("counts").alias("n"), F.lit(None).cast(asked.schema["doc_id"].dataType).alias("doc_id")))
         shared = spark.sparkContext.broadcast((self.uni, self.factor))
         parts = (tables.unionByName(asked).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "kind")
-                 .mapInArrow(answer(shared, 1 << self.word_bits, to_arrow_type(kind)), PARTS.format(id=kind.simpleString())))
+                 .mapInArrow(answer(shared, 1 << self.word_bits), PARTS.format(id=kind.simpleString())))
         with arrow_batches(spark, BATCH):
-            out = settle(parts.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in OUT[2:])), "katz-scores")
+            out = settle(parts.repartition("base").sortWithinPartitions("base", F.col("row").asc_nulls_first())
+                         .mapInArrow(add_up, SCORES.format(id=kind.simpleString())), "katz-scores")
         score = F.col("score") if self.uni.tokens else F.col("base_score")
         return out.select("doc_id", "n_tokens", "n_known", "base_score", score.alias("score"))
 
