@@ -28,7 +28,7 @@ from contactloom.plans import party
 from contactloom.plans import ranking as rank
 from contactloom.session import use_checkpoint_dir
 from contactloom.sources.contracts import TARGET_LIST
-from contactloom.sources.tables import load_target_list, materialize, run_parameter, view
+from contactloom.sources.tables import load_target_list, materialize, run_parameter, view, write_products
 
 DAY_OF = f"DATE '{AS_OF}'"
 
@@ -46,6 +46,14 @@ def day(c: str) -> str:
 # ---- scans, sinks, clock --------------------------------------------------------------------
 
 
+def partitioned_product(t):
+    """Two products written as tables, one partitioned, and read back by partition."""
+    counts = t["orders"].groupBy("o_custkey", F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+    prefix = f"product_{uuid.uuid4().hex[:8]}"
+    written = write_products({"counts": counts, "total": t["orders"].agg(F.count("*").alias("n"))}, prefix, {"counts": "status"})
+    return written["counts"].filter("status <> 'P'")
+
+
 def layered_view(t):
     name = f"big_orders_{uuid.uuid4().hex[:8]}"
     first = view(name, t["orders"].select("o_custkey", "o_orderkey"))
@@ -78,6 +86,8 @@ SOURCES = {
     "snapshot_refresh": Check(
         lambda t: materialize(x := t["orders"].groupBy("o_custkey").agg(F.count("*").alias("n")), scratch(x)),
         "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1"),
+    "partitioned_product": Check(
+        partitioned_product, "SELECT o_custkey, o_orderstatus AS status, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2"),
     "layered_view": Check(layered_view, "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1"),
     "typed_target_list": Check(typed_target_list, TARGET_LIST_SQL, texts="id provider_id name address city state zip specialty granular_specialty biib_group group_a group_b group_c initiator_count treator_count kme_hcp_flag kme_count tbm_territory_id tbm_territory tbm_region_id tbm_region tbm_zone_id tbm_zone aal_territory_id aal_territory aal_region_id aal_region adrm_territory_id adrm_territory adrm_region_id adrm_region account parent_id tier soc"),
     "run_parameter": Check(
@@ -456,7 +466,7 @@ WINDOWS = {
     "clip_plan_spans": Check(act.target_spans, SPANS_SQL, "", _SPAN_TEXTS),
     "clip_order_spans": Check(order_spans, ORDER_SPANS_SQL, "", "start stop clipped"),
     "global_rank": Check(
-        lambda t: global_rank(customer_value(t), [F.col("status").desc(), F.col("band").desc()], "position").select("o_custkey", "position"),
+        lambda t: global_rank(customer_value(t), ["status", "band"], [F.col("status").desc(), F.col("band").desc()], "position").select("o_custkey", "position"),
         """SELECT o_custkey, rank() OVER (ORDER BY max(o_orderstatus) DESC,
            CAST(floor(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 20000000) AS BIGINT) DESC) AS position FROM orders GROUP BY 1"""),
 }

@@ -10,22 +10,24 @@ from pyspark.sql import functions as F
 from contactloom.sources.tables import settle
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], out: str,
+def global_rank(df: DataFrame, columns: Sequence[str], order: Sequence[Column], out: str,
                 partitions: int | None = None) -> DataFrame:
     """``rank() over (order by ...)`` without pulling the table into one partition.
 
-    Rows are range-partitioned on the whole order, so rows that tie stay together and partition
-    i holds only ranks below those of partition i+1.  The partition number is written with the
-    rows to the shared folder: it must not change between counting and ranking, even when
-    executors are lost.  The counts then have one row per partition, the only thing broadcast."""
+    ``columns`` are those that ``order`` looks at.  Only their distinct tuples are ranked, each with its
+    number of rows, so rows that tie never meet in a task and wide rows are not moved.  The tuples are
+    range-partitioned on the order and written with their partition number, which must not change
+    between counting and ranking, even when executors are lost.  The sizes of the partitions have one
+    row each, the only thing broadcast.  Ranks are then joined back on the tuple."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = settle(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "rank")
+    tuples = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    placed = settle(tuples.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "rank")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    offsets = (placed.groupBy("_part").agg(F.sum("_n").alias("_n"))
                .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
                .select(F.col("_part").alias("_p"), "_before"))
-    inside = Window.partitionBy("_part").orderBy(*order)
-    return (placed.withColumn("_rank", F.rank().over(inside))
-            .join(F.broadcast(offsets), F.col("_part") == F.col("_p"))
-            .withColumn(out, F.col("_rank") + F.col("_before"))
-            .drop("_part", "_p", "_rank", "_before"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+             .join(F.broadcast(offsets), F.col("_part") == F.col("_p"))
+             .select(F.struct(*columns).alias("_tuple"), (1 + F.col("_inside") + F.col("_before")).alias(out)))
+    return df.withColumn("_tuple", F.struct(*columns)).join(ranks, "_tuple").drop("_tuple")

@@ -84,6 +84,7 @@ def professional_ranking(t: Frames, target_list: DataFrame, as_of: date) -> Data
         *V.SHORT_WINDOW_UNITS)
     market, *rest = [F.col(c).desc() for c in V.SHORT_WINDOW_UNITS]
     own = [*rest, F.col("mdm_id").asc_nulls_last()]
-    rows = global_rank(rows, [F.col("hcp_flag").desc(), market, *own],
+    first, *others = V.SHORT_WINDOW_UNITS
+    rows = global_rank(rows, ["hcp_flag", first, *others, "mdm_id"], [F.col("hcp_flag").desc(), market, *own],
                        "ms_ranking_6_months")
-    return global_rank(rows, [F.col("hcp_flag").desc(), *own], "biib_ranking_6_months")
+    return global_rank(rows, ["hcp_flag", *others, "mdm_id"], [F.col("hcp_flag").desc(), *own], "biib_ranking_6_months")

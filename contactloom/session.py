@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,13 +26,11 @@ def build_session(app: str = "contactloom", master: str | None = None, **extra:
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Point checkpoint() at the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors share one disk, gets a folder of our own."""
+    Where that is unset, the folder is below the warehouse, which all executors share, on any master."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="contactloom-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/contactloom-checkpoints"
     context.setCheckpointDir(folder)

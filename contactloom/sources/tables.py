@@ -53,11 +53,18 @@ def materialize(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(name)
+def materialize_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Full-refresh snapshot under a table name, as the workflows keep their products."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def write_products(products: Mapping[str, DataFrame], prefix: str, partitions: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Write the results of a workflow, each as table ``<prefix>_<name>``, partitioned where ``partitions`` names a column."""
+    return {name: materialize_table(df, f"{prefix}_{name}", (partitions or {}).get(name)) for name, df in products.items()}
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the files.
 

@@ -57,7 +57,16 @@ def test_repeat_flags_equal_windows(hot):
 def test_global_rank_equals_window(hot):
     order = [F.col("hour").desc(), F.col("key").asc_nulls_last()]
     expected = hot.select("id", F.rank().over(Window.orderBy(*order)).alias("r"))
-    assert rows_of(global_rank(hot, order, "r", 7).select("id", "r")) == rows_of(expected)
+    assert rows_of(global_rank(hot, ["hour", "key"], order, "r", 7).select("id", "r")) == rows_of(expected)
+
+
+def test_global_rank_moves_tuples_not_rows(spark):
+    """Ten tuples and many rows: what is ranked has ten rows."""
+    rows = spark.range(20_000).select("id", (F.col("id") % 10).alias("band"))
+    ranked = global_rank(rows, ["band"], [F.col("band").desc()], "r", 4)
+    assert rows_of(ranked.groupBy("band", "r").count()) == rows_of(spark.createDataFrame([(9 - k, 1 + 2000 * k, 2000) for k in range(10)], "band long, r long, n long"))
+    written = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in ranked.inputFiles()})
+    assert written.count() == 10 and set(written.columns) == {"band", "_n", "_part"}
 
 
 def test_spread_join_equals_plain_join(spark, hot):

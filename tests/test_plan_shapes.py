@@ -47,7 +47,7 @@ def test_filter_and_columns_reach_the_scan(spark):
 
 def test_global_rank_sorts_no_row_in_a_single_partition(spark):
     orders = open_tables(spark, SF)["orders"].select("o_orderkey", "o_totalprice")
-    plan = plan_of(global_rank(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], "r", 4))
+    plan = plan_of(global_rank(orders, ["o_totalprice", "o_orderkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], "r", 4))
     singles = [line for line in plan.splitlines() if "SinglePartition" in line]
     below = plan[plan.index("SinglePartition"):].splitlines()[1]
     assert len(singles) == 1 and "HashAggregate(keys=[_part" in below  # per-partition counts only
