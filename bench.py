@@ -7,8 +7,8 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
+import uuid
 
 from checks.catalog import all_checks
 from checks.registry import Check, open_tables
@@ -20,7 +20,7 @@ HEADLINE = ["event_mail_funnel", "clip_order_spans", "interval_join", "global_ra
             "suppression_waterfall", "trailing_units", "activity_sequence", "repeat_flags", "count_distinct_when",
             "first_per_key", "bounce_summary", "unpivot_without_nulls", "affiliation", "non_promotional_metrics",
             "professional_ranking", "professional_suppression", "patient_suppression", "marketing_activity",
-            "combined_activity", "email_engagement_funnel"]
+            "combined_activity", "email_engagement_funnel", "interactions", "customer_universe"]
 
 
 def main() -> None:
@@ -33,7 +33,7 @@ def main() -> None:
     checks: dict[str, Check] = {n: c for n, c in all_checks().items() if n in (only or HEADLINE)}
 
     start = time.perf_counter()
-    out, source = tempfile.mkdtemp(prefix="bench-"), open_tables(spark, folder)
+    out, source = f"{spark.conf.get('spark.sql.warehouse.dir')}/bench-{uuid.uuid4().hex}", open_tables(spark, folder)
     for name in {n for c in checks.values() for n in needed_by(c.sql or "", STANDINS)}:
         source[name].repartition(int(cpus)).write.parquet(f"{out}/{name}.parquet")
     prepared = time.perf_counter() - start
