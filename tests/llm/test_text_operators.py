@@ -230,6 +230,12 @@ def test_awkward_pages(spark):
                                 (5, "response", None, 99), (6, "response", None, 99), (1, "response", None, 200), (-7, "response", None, 100), (8, "revisit", -7, 100)])
 
 
+def test_no_pages(spark):
+    folder = new_folder(spark, "test-no-pages")
+    warc.archive_pages(spark.createDataFrame([], "page_id bigint, url string, html string"), folder)
+    assert warc.read_pages(spark, folder).isEmpty()
+
+
 # ---- similarity join -----------------------------------------------------------------------------------------------
 def shingles(t, size=4):
     w = WORD.findall(t.translate(FOLD))
@@ -376,6 +382,11 @@ def test_katz_without_training_text(spark, nothing):
     assert order((r.doc_id, r.n_tokens, r.score == r.base_score) for r in got) == order([(1, 3, True), (2, 1, True)])
 
 
+def test_katz_of_nothing(nothing):
+    model = katz.KatzModel.train(nothing.select("text", "train"))
+    assert model.score(nothing.select("doc_id", "text")).isEmpty() and model.uni.tokens == 0
+
+
 def test_katz_beats_the_base_on_held_out_text(spark, documents):
     rows = catalog.QUERIES["op9_katz"](spark, SF).collect()
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
