@@ -313,8 +313,7 @@ def event_funnel(t):
     """The mail funnel on the events table: repeat flags, three grains, conditional counts."""
     rows = event_days(t).withColumn("activity_type", S.label_code("event_type", _KINDS))
     flags = {"monthly": ["month_date"], "weekly": ["week_begin_date"], "overall": []}
-    rows = repeat_flags(rows, ["user_id", "activity_type", "props"], flags, ["time_date"], [F.col("time_date").asc()],
-                        [F.col("ts").asc(), F.col("event_id").asc()])
+    rows = repeat_flags(rows, ["user_id", "activity_type", "props"], flags, [F.col("ts"), F.col("event_id")])
     rows = rows.withColumns({f: F.col(f).cast("int") for f in flags})
     grains = [("Overall_Level", "time_date", "overall"), ("Monthly_Level", "month_date", "monthly"), ("Weekly_Level", "week_begin_date", "weekly")]
     out = A.rollup_grains(rows, ["props"], grains, A.email_funnel("activity_type", "user_id"), "aggregate_date", "kpi_level")
@@ -403,7 +402,7 @@ def sequence_rows(t):
 
 def repeat_rows(t):
     rows = repeat_flags(event_days(t), ["event_type", "props"], {"monthly": ["month_date"], "weekly": ["week_begin_date"], "overall": []},
-                        ["time_date"], [F.col("time_date").asc()], [F.col("ts").asc(), F.col("event_id").asc()])
+                        [F.col("ts"), F.col("event_id")])
     return rows.select("event_id", "monthly", "weekly", "overall")
 
 

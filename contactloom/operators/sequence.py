@@ -8,6 +8,7 @@ pre-aggregated table with one row per (key, coarse).  The result equals the plai
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,25 +40,17 @@ def split_row_number(df: DataFrame, keys: Sequence[str], coarse: Sequence[str],
 
 
 def repeat_flags(df: DataFrame, keys: Sequence[str], grains: Mapping[str, Sequence[str]],
-                 coarse: Sequence[str], coarse_order: Sequence[Column],
-                 fine_order: Sequence[Column]) -> DataFrame:
+                 order: Sequence[Column]) -> DataFrame:
     """One boolean column per grain, true for every row but the first of its group.
 
-    ``grains`` maps a flag name to the columns that refine ``keys`` (none for the overall flag);
-    these must follow from ``keys`` and ``coarse``, as the month follows from the day.  All
-    grains share one pass: a row opens its group when it is first inside its coarse group and
-    that coarse group is the first of the grain."""
-    refine = list(dict.fromkeys(c for cols in grains.values() for c in cols))
-    group = list(dict.fromkeys([*keys, *refine, *coarse]))
-    leads = df.select(*group).distinct()
-    for flag, extra in grains.items():
-        spec = Window.partitionBy(*keys, *extra).orderBy(*coarse_order)
-        leads = leads.withColumn(f"_lead_{flag}", F.row_number().over(spec) == 1)
-    leads = leads.select(_group_of(group).alias("_group"), *[f"_lead_{g}" for g in grains])
-    inside = Window.partitionBy("_group").orderBy(*fine_order)
-    rows = (df.withColumn("_group", _group_of(group))
-            .withColumn("_inside", F.row_number().over(inside))
-            .join(leads, "_group"))
-    first = F.col("_inside") == 1
-    return (rows.withColumns({flag: ~(first & F.col(f"_lead_{flag}")) for flag in grains})
-            .drop("_group", "_inside", *[f"_lead_{g}" for g in grains]))
+    ``grains`` maps a flag name to the columns that refine ``keys`` (none for the overall flag).  ``order``
+    is ascending with NULLs first, and its last column is unique.  The first row of a group is a minimum,
+    which is combined before the shuffle, so no group meets in a task however many rows it has; the
+    firsts then meet the rows on the whole order, which is unique."""
+    rows = df.withColumn("_order", F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)]))
+    firsts = [rows.groupBy(*keys, *extra).agg(F.min("_order").alias("_order")).select("_order", F.lit(flag).alias("_flag"))
+              for flag, extra in grains.items()]
+    marks = (reduce(DataFrame.unionAll, firsts).groupBy("_order")
+             .agg(*[F.max(F.col("_flag") == flag).alias(f"_first_{flag}") for flag in grains]))
+    flags = {flag: ~F.coalesce(F.col(f"_first_{flag}"), F.lit(False)) for flag in grains}
+    return rows.join(marks, "_order", "left").withColumns(flags).drop("_order", *[f"_first_{flag}" for flag in grains])

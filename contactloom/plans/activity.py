@@ -210,9 +210,9 @@ def activity_with_bounce(activity: DataFrame) -> DataFrame:
                        {"_bounce": "bounce_flag"})
     rows = rows.withColumn("_month", month_start("time_date"))
     rows = repeat_flags(rows, ["alignment_string", "activity_type", "base_tactic"],
-                        {"_month_repeat": ["_month"], "_repeat": []}, ["_bounce", "time_date"],
-                        [F.col("_bounce").asc_nulls_last(), F.col("time_date").asc()],
-                        [F.col("date_timestamp").asc(), F.col("integration_key").asc_nulls_last()])
+                        {"_month_repeat": ["_month"], "_repeat": []},
+                        [F.col("_bounce").isNull(), F.col("_bounce"), F.col("time_date"), F.col("date_timestamp"),
+                         F.col("integration_key").isNull(), F.col("integration_key")])
     sent = (F.upper("activity_type") == "EMAIL SENT") & F.upper("source_code").isin(V.RESEND_SOURCES)
     return rows.select(*_BOUNCE_VIEW,
                        yes_no(F.col("_month_repeat") & sent).alias("monthly_resends_exclude_flag"),

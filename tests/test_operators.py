@@ -49,11 +49,18 @@ def test_repeat_flags_equal_windows(hot):
         return F.row_number().over(Window.partitionBy("key", *extra).orderBy("day", "hour", "id")) > 1
 
     expected = data.select("id", flag("month").alias("m"), flag("week").alias("w"), flag().alias("o"))
-    got = repeat_flags(data, ["key"], {"m": ["month"], "w": ["week"], "o": []}, ["day"], [F.col("day").asc()],
-                       [F.col("hour").asc(), F.col("id").asc()])
+    got = repeat_flags(data, ["key"], {"m": ["month"], "w": ["week"], "o": []}, [F.col("day"), F.col("hour"), F.col("id")])
     assert rows_of(got.select("id", "m", "w", "o")) == rows_of(expected)
 
 
+def test_repeat_flags_of_one_hot_day(spark):
+    """Half of all rows share key and day: no window and no sort of the group is left in the plan."""
+    rows = spark.range(10_000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("key"))
+    got = repeat_flags(rows, ["key"], {"o": []}, [F.col("id")])
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.filter("key = 0 AND NOT o").count() == 1 and got.filter("key <> 0 AND o").isEmpty()
+
+
 def test_global_rank_equals_window(hot):
     order = [F.col("hour").desc(), F.col("key").asc_nulls_last()]
     expected = hot.select("id", F.rank().over(Window.orderBy(*order)).alias("r"))
