@@ -18,8 +18,8 @@ Nothing here is cut off: no bound on partners, frequent tokens or group sizes.
 for whole sets.
 
 Null and empty texts have an empty set and link with nothing; texts with fewer words than a shingle have the whole
-sequence as their only one.  Rows repeat as they are, a null id stays null; a component is named by its smallest id, or
-null if none has one.  Only doc_id and text are read."""
+sequence as their only one.  Rows repeat as they are, a null id stays null; rows without an id link only with rows of an equal
+set; a component is named by its smallest id, or null if none has one.  Only doc_id and text are read."""
 
 from __future__ import annotations
 
