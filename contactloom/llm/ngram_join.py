@@ -267,11 +267,6 @@ def bitmaps(row: np.ndarray, token: np.ndarray, rows: int) -> np.ndarray:
     return np.packbits(out, axis=1).view(np.int64)
 
 
-def missing(a: str, b: str) -> Column:
-    """At least so many tokens of one set are not in the other: a bit that only one has is a token that only one has."""
-    return sum((F.bit_count(F.col(a)[k].bitwiseAND(F.bitwise_not(F.col(b)[k]))) for k in range(WORDS)), F.lit(0))
-
-
 def node_sets(docs: DataFrame, survivors: DataFrame, measure: Measure) -> DataFrame:
     """(node, tokens, bits) of the surviving nodes, from the text of one document of each.  Rows of a repeated id give the set
     of each of their texts; the name of the set tells which is meant."""
@@ -298,24 +293,72 @@ def first_meetings(entries: DataFrame) -> DataFrame:
                           .filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
 
 
+#: Members of a token group that meet in one piece of work; larger groups are cut into pairs of blocks.
+BLOCK = 8192
+
+
+def _across(percent: int):
+    """Pairs of each (token, left block, right block) that may link: the left members, all outside the largest component,
+    with those right members that are in another component."""
+    def may(na: np.ndarray, nb: np.ndarray, most: np.ndarray) -> np.ndarray:
+        most = np.minimum(np.minimum(most, na), nb)
+        return 100 * most >= percent * (na + nb - most)
+
+    def meet(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        left, node, n, place, component, major = (np.concatenate([p[k] for p in parts]) for k in range(6))
+        bits = np.concatenate([p[6] for p in parts]).view(np.uint64).reshape(-1, WORDS)
+        a, b = np.flatnonzero(left), np.flatnonzero(~left)
+        step = max(1, (1 << 16) // max(1, len(b)))
+        for k in range(0, len(a), step):
+            i, j = (x.ravel() for x in np.meshgrid(a[k:k + step], b, indexing="ij"))
+            ok = (component[i] != component[j]) & ((component[j] == major[j]) | (node[i] < node[j]))
+            i, j = i[ok], j[ok]
+            ok = may(n[i], n[j], np.minimum(n[i] - place[i], n[j] - place[j]))
+            i, j = i[ok], j[ok]
+            x, y = bits[i], bits[j]
+            ok = may(n[i], n[j], np.minimum(n[i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[j] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)))
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(node[i[ok]]), pa.array(node[j[ok]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            key = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1 if batch.num_rows else np.zeros(0, np.int64)
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3, 9)]
+            bits = batch.column(9).flatten().to_numpy().reshape(-1, WORDS) if batch.num_rows else np.zeros((0, WORDS), np.int64)
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if now is not None and now != tuple(key[:, a]):
+                    yield from meet(parts)
+                    parts = []
+                now = tuple(key[:, a])
+                parts.append((*(c[a:b] for c in cols), bits[a:b]))
+        if parts:
+            yield from meet(parts)
+
+    return run
+
+
 def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of a token group that are in different components, as far as sizes, places and bitmaps allow."""
+    """Pairs of a token group that are in different components, as far as sizes, places and bitmaps allow.
+
+    The members outside the largest component meet all others.  A group of more than BLOCK members is dealt out as
+    pairs of blocks, so that no piece of work grows with the group."""
     named = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-    major = (counts.groupBy("token").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("kinds"))
-             .filter("kinds > 1").select("token", F.col("m.component").alias("major")))
-    named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node"), "ngram-groups")
-    own = ("node", "n", "place", "component", "bits")
-    left = named.filter("component <> major").select("token", *(F.col(c).alias(f"{c}_a") for c in own))
-    right = named.select("token", "major", *(F.col(c).alias(f"{c}_b") for c in own))
-    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    told = F.least(F.col("n_a") - missing("bits_a", "bits_b"), F.col("n_b") - missing("bits_b", "bits_a"))
-    pairs = left.join(right, "token").filter(
-        (F.col("component_a") != F.col("component_b"))
-        & ((F.col("component_b") == F.col("major")) | (F.col("node_a") < F.col("node_b")))
-        & may_link(measure.percent, F.col("n_a"), F.col("n_b"), most)
-        & may_link(measure.percent, F.col("n_a"), F.col("n_b"), told))
-    return distinct_pairs(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    major = (counts.groupBy("token").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("size"))
+             .filter("kinds > 1").select("token", F.col("m.component").alias("major"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node")
+                   .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "ngram-groups")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    own = ("node", "n", "place", "component", "major", "bits")
+    left = named.filter("component <> major").select("token", F.col("block").alias("i"), every.alias("j"), F.lit(True).alias("left"), *own)
+    right = named.select("token", every.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), *own)
+    pairs = (left.unionAll(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+             .mapInArrow(_across(measure.percent), "a bigint, b bigint"))
+    return settle(distinct_pairs(pairs), "ngram-later")
 
 
 def similar_components(docs: DataFrame, measure: Measure | None = None, orders: int = 2) -> DataFrame:
