@@ -1,16 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare words and word pairs find passages, Smith-Waterman alignment scores them.
 
-Words are runs of letters or digits, capitals (ASCII and Latin-1) as small letters.  The seeds of a test item are its n-grams; of every ``window`` consecutive
-ones the rarest is kept, by the number of documents that have it (counted over the whole corpus), so a copied stretch
-of n + window - 1 words always holds one.  A seed in a document says where the item should stand; such regions, with
-some slack, are aligned with the item word by word (match 2, other word -1, gap -1), and the score is divided by that of
-a full match.  From ``threshold`` on the document counts as contaminated with the item.
+Words are runs of letters or digits, capitals (ASCII and Latin-1) as small letters.  Items are aligned with documents word
+by word (match 2, other word -1, gap -1), and the score is divided by that of a full match.  From ``threshold`` on the
+document counts as contaminated with the item.
+
+Only regions that hold a seed are aligned, and no alignment that reaches the threshold is lost: if M of an item's m words
+match, in r runs without an edit inside, at least r - 1 edits part the runs, so the score is at most 2 M - (r - 1), which is
+1 + M + the matched word pairs.  To reach t it needs t - 1 of the item's m words and m - 1 pairs, so one of any
+2 m - t + 1 of these.  Those that the fewest documents have (counted over the whole corpus; most often none) are the seeds.
+Edits number 2 m - t at most, which bounds how far from the seed a passage can start and end.
 
 Test items are taken in blocks of at most ``block_seeds`` seeds, which bounds what is broadcast; every block meets every
 document, and there is one block unless the benchmark is very large.  Documents are never shuffled.
 
-Null and empty texts and items have no words and match nothing.  An item of fewer than n words has one seed, all its
-words.  Items with the same text are each reported; rows that repeat in documents are reported once each; a null
+Null and empty texts and items have no words and match nothing.  An item of up to ``short`` words has one seed, all its
+words, and counts only where they stand whole.  Items with the same text are each reported; rows that repeat in documents are reported once each; a null
 doc_id stays null; items without an id are reported with a null one.  Only doc_id, text, item_id and text are read.
 Regions of long texts are cut into overlapping pieces of a few item lengths, each aligned."""
 
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from contactloom.llm.shared import bytes_of, class_runs, hash_ngrams, hash_spans, slices, texts
 
-GRAM, WINDOW, THRESHOLD = 3, 3, 0.5
+SHORT, THRESHOLD = 3, 0.5
 
 
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,9 +66,10 @@ class Items:
     item: np.ndarray
     at: np.ndarray
     sizes: list[int]
+    short: int
 
     @classmethod
-    def of(cls, rows: list[tuple], gram: int) -> Items:
+    def of(cls, rows: list[tuple], short: int) -> Items:
         data, off = bytes_of(pa.array([t or "" for _, t in rows], pa.string()))
         h, _, _, row = word_hashes(data, off)
         words_off = np.searchsorted(row, np.arange(len(rows) + 1))
@@ -73,13 +78,14 @@ class Items:
             own = h[words_off[k]:words_off[k + 1]]
             if not len(own):
                 continue
-            n = min(gram, len(own))
-            sizes.add(n)
-            found = hash_ngrams(own, n)
-            seeds.append(found)
-            items.append(np.full(len(found), k))
-            at.append(np.arange(len(found)))
-        return cls([i for i, _ in rows], h, words_off, *cls._index(seeds, items, at), sorted(sizes))
+            for n in (1, 2) if len(own) > short else (len(own),):
+                found = hash_ngrams(own, n)
+                if len(found):
+                    sizes.add(n)
+                seeds.append(found)
+                items.append(np.full(len(found), k))
+                at.append(np.arange(len(found)))
+        return cls([i for i, _ in rows], h, words_off, *cls._index(seeds, items, at), sorted(sizes), short)
 
     @staticmethod
     def _index(seeds: list, items: list, at: list) -> tuple:
@@ -88,20 +94,22 @@ class Items:
         distinct, first = np.unique(seeds[order], return_index=True)
         return distinct, np.append(first, len(seeds)), items[order], at[order]
 
-    def rare(self, counts: np.ndarray, window: int) -> Items:
-        """The same items with the rarest seed of every ``window`` consecutive ones (ties: the smaller hash)."""
+    def edits(self, threshold: float) -> np.ndarray:
+        """How many edits an alignment of each item may hold at most."""
+        size = np.diff(self.off)
+        return 2 * size - np.ceil(2 * threshold * size - 1e-9).astype(np.int64)
+
+    def rare(self, counts: np.ndarray, threshold: float) -> Items:
+        """The same items with as many of their rarest seeds as the threshold asks for (ties: the smaller hash)."""
         which = np.repeat(np.arange(len(self.seed)), np.diff(self.place_off))
-        order = np.lexsort((self.at, self.item))
-        which, item, at = which[order], self.item[order], self.at[order]
         rank = np.empty(len(self.seed), np.int64)
         rank[np.lexsort((self.seed, counts))] = np.arange(len(self.seed))
-        keep = np.zeros(len(which), bool)
-        for a, b in zip(*(np.searchsorted(item, np.unique(item), side=s) for s in ("left", "right")), strict=True):
-            own = rank[which[a:b]]
-            for k in range(max(1, len(own) - window + 1)):
-                keep[a + k + int(np.argmin(own[k:k + window]))] = True
+        order = np.lexsort((self.at, rank[which], self.item))
+        which, item, at = which[order], self.item[order], self.at[order]
+        nth = np.arange(len(item)) - np.searchsorted(item, item)
+        keep = (nth <= self.edits(threshold)[item]) | (np.diff(self.off)[item] <= self.short)
         chosen = self._index([self.seed[which[keep]]], [item[keep]], [at[keep]])
-        return Items(self.ids, self.words, self.off, *chosen, self.sizes)
+        return Items(self.ids, self.words, self.off, *chosen, self.sizes, self.short)
 
     def filter_bits(self) -> np.ndarray:
         """For each of 2**20 hash classes whether a seed falls into it."""
@@ -111,7 +119,7 @@ class Items:
 
 
 def find_seeds(h: np.ndarray, row: np.ndarray, items: Items, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word, seed number) of every n-gram of the texts that is a seed."""
+    """(word, seed number) of every word and word pair of the texts that is a seed."""
     words, seeds = [], []
     for n in items.sizes:
         grams = hash_ngrams(h, n)
@@ -126,13 +134,13 @@ def find_seeds(h: np.ndarray, row: np.ndarray, items: Items, bits: np.ndarray) -
     return np.concatenate([*words, np.zeros(0, np.int64)]), np.concatenate([*seeds, np.zeros(0, np.int64)])
 
 
-def regions(word: np.ndarray, seed: np.ndarray, row: np.ndarray, row_words: np.ndarray, items: Items) -> np.ndarray:
+def regions(word: np.ndarray, seed: np.ndarray, row: np.ndarray, row_words: np.ndarray, items: Items, threshold: float) -> np.ndarray:
     """Rows (row, item, first word, end word) of the stretches in which an item may stand."""
     n = np.diff(items.place_off)[seed]
     place = np.repeat(items.place_off[seed] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
     word, item, at = np.repeat(word, n), items.item[place], items.at[place]
     size = np.diff(items.off)[item]
-    slack = size // 4 + 2
+    slack = items.edits(threshold)[item]
     own = row[word]
     lo = np.maximum(word - at - slack, row_words[own])
     hi = np.minimum(word - at + size + slack, row_words[own + 1])
@@ -226,7 +234,7 @@ def hits_of(column: pa.Array, items: Items, bits: np.ndarray, threshold: float)
         word, seed = find_seeds(h, row, items, bits)
         if not len(word):
             continue
-        found = regions(word, seed, row, np.searchsorted(row, np.arange(j - i + 1)), items)
+        found = regions(word, seed, row, np.searchsorted(row, np.arange(j - i + 1)), items, threshold)
         best: dict[tuple[int, int], tuple] = {}
         for r, item, score, a, b in score_regions(found, h, items, threshold):
             if score > best.get((r, item), (0.0,))[0]:
@@ -261,15 +269,15 @@ def _keep_clean(shared, threshold: float, place: int) -> object:
     return run
 
 
-def rare_seeds(docs: DataFrame, benchmark: DataFrame, gram: int, window: int, block_seeds: int) -> Iterator[object]:
+def rare_seeds(docs: DataFrame, benchmark: DataFrame, short: int, threshold: float, block_seeds: int) -> Iterator[object]:
     """Broadcasts of the test items with their rare seeds, block by block."""
     spark = docs.sparkSession
     tests = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
-    words = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n // 2 + 1  # at most this many words
-    blocks = -(-words // block_seeds)
+    seeds = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n + 2  # at most this many: two a word
+    blocks = -(-seeds // block_seeds)
     for k in range(blocks):
         own = tests if blocks == 1 else tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        items = Items.of([(r.item_id, r.text) for r in own.collect()], gram)
+        items = Items.of([(r.item_id, r.text) for r in own.collect()], short)
         if not len(items.seed):
             continue
         shared = spark.sparkContext.broadcast((items, items.filter_bits()))
@@ -278,11 +286,11 @@ def rare_seeds(docs: DataFrame, benchmark: DataFrame, gram: int, window: int, bl
         counts = np.zeros(len(items.seed), np.int64)
         for r in counted.collect():  # a row for each seed of the block at most
             counts[r.seed] = r.docs
-        rare = items.rare(counts, window)
+        rare = items.rare(counts, threshold)
         yield spark.sparkContext.broadcast((rare, rare.filter_bits()))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, window: int = WINDOW, threshold: float = THRESHOLD,
+def contaminated(docs: DataFrame, benchmark: DataFrame, short: int = SHORT, threshold: float = THRESHOLD,
                  block_seeds: int = 1 << 20) -> DataFrame:
     """(doc_id, item_id, score, start, end): for every document and test item found in it the best passage, as a span of
     code points of the text."""
@@ -292,7 +300,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, window
     kind = {f.name: f.dataType for f in (*rows.schema, *benchmark.select("item_id").schema)}
     schema = f"doc_id {kind['doc_id'].simpleString()}, item_id {kind['item_id'].simpleString()}, score double, start bigint, end bigint"
     out: DataFrame | None = None
-    for shared in rare_seeds(docs, benchmark, gram, window, block_seeds):
+    for shared in rare_seeds(docs, benchmark, short, threshold, block_seeds):
         found = rows.mapInArrow(_find(shared, threshold, to_arrow_type(kind["item_id"])), schema)
         out = found if out is None else out.unionAll(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
@@ -302,10 +310,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, window: int = WINDOW, threshold: float = THRESHOLD,
+def clean_documents(docs: DataFrame, benchmark: DataFrame, short: int = SHORT, threshold: float = THRESHOLD,
                     block_seeds: int = 1 << 20) -> DataFrame:
     """The rows in whose text no test item is found, with all their columns as they are; nothing is shuffled."""
     out = docs
-    for shared in rare_seeds(docs, benchmark, gram, window, block_seeds):
+    for shared in rare_seeds(docs, benchmark, short, threshold, block_seeds):
         out = out.mapInArrow(_keep_clean(shared, threshold, docs.columns.index("text")), docs.schema)
     return out

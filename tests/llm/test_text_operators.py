@@ -424,6 +424,35 @@ def test_exact_leaks_of_tables(spark, documents):
     assert expected <= got and len(got - expected) <= 0.1 * len(expected) + 1
 
 
+def edited(words, rate, rng):
+    """Words with some replaced, left out, or followed by one or two others."""
+    out = []
+    for w in words:
+        kind = rng.integers(0, 4) if rng.random() < rate else -1
+        out += {-1: [w], 0: ["other"], 1: [], 2: [w, "more"], 3: [w, "some", "more"]}[int(kind)]
+    return out
+
+
+def test_leaks_equal_aligning_everything(spark):
+    """Every pair of a document and an item, exact copies present or not, against the full table of alignment scores."""
+    rng = np.random.default_rng(31)
+    letters = lambda n, seed: passage(int(n), seed).translate(str.maketrans("0123456789", "abcdefghij")).split()
+    items = [letters(rng.integers(4, 40), 100 + k) for k in range(20)]
+    texts = [items[k % 20] if k < 10 else edited(items[k % 20], rng.uniform(0.1, 0.8), rng) for k in range(160)]
+    texts += [[w if k % 5 != 3 else "other" for k, w in enumerate(items[4])], [x for w in items[5] for x in (w, "more")],
+              [w if k % 3 else "other" for k, w in enumerate(items[6])]]
+    texts = [letters(rng.integers(0, 60), 300 + k) + t + letters(rng.integers(0, 60), 600 + k) for k, t in enumerate(texts)]
+    number = {w: 4 * k for k, w in enumerate(sorted({w for t in (*items, *texts) for w in t}))}
+    coded = lambda t: np.array([number[w] for w in t], np.uint64)
+    best = {(d, i): decontaminate.align([coded(t)], [coded(x)])[0][0] / (2 * len(x)) for d, t in enumerate(texts) for i, x in enumerate(items)}
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    tests = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    for threshold in (0.5, 0.8):
+        expected = {k: s for k, s in best.items() if s >= threshold}
+        got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(frame, tests, threshold=threshold).collect()}
+        assert len(expected) > 40 and got == pytest.approx(expected)
+
+
 def test_alignment_scores():
     rng = np.random.default_rng(9)
     for _ in range(200):
