@@ -3,7 +3,7 @@
 Plain matches are found in the text as it stands.  Where a text shows a sign of disguise, transducers rewrite it and
 keep for every written character the source characters it came from: look-alike letters and digits become ASCII,
 invisible characters go, runs of spelled digits become digits, at and dot in words or brackets become @ and the full
-stop.  The same detectors run on what was written; a match that took any rewriting, and that overlaps no match of its
+stop, bracketed dots between numbers too.  The same detectors run on what was written; a match that took any rewriting, and that overlaps no match of its
 kind already found, is mapped back to the source and added.
 
 Kinds and plain patterns (leftmost, not overlapping, a match that fails its test is dropped and not tried anew):
@@ -146,12 +146,14 @@ class Written:
 
 _OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
 _DOT_WORD, _AT_WORD = r"(?:dot|point|punkt|punto)", r"(?:at|arobase|arroba)"
-DOT = rf"(?:{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}|\s{{1,3}}{_DOT_WORD}\s{{1,3}})"
+_BRACKET_DOT = rf"{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}"
+DOT = rf"(?:{_BRACKET_DOT}|\s{{1,3}}{_DOT_WORD}\s{{1,3}})"
 AT = rf"(?:{_OPEN}(?:{_AT_WORD}|@){_CLOSE}|\s{{1,3}}{_AT_WORD}\s{{1,3}}|\s{{0,3}}@\s{{0,3}})"
 AT_SIGN = re.compile(AT, re.I)
 AFTER_AT = re.compile(rf"[a-z0-9-]++(?:(?:{DOT}|\.)[a-z0-9-]++)+", re.I)
 BEFORE_AT = re.compile(rf"[a-z0-9._%+-]+(?:{DOT}[a-z0-9._%+-]+)*\Z", re.I)
 DOT_SIGN = re.compile(DOT, re.I)
+NUMBER_DOT = re.compile(rf"(?<=[0-9]){_BRACKET_DOT}(?=[0-9])", re.I)
 #: Code points of a disguised local part that are looked at, twice over what mail allows for a whole address.
 REACH = 640
 
@@ -215,7 +217,8 @@ def deobfuscate(text: str) -> Written:
     if not text.isascii():
         out = out.rewrite([(i, i + 1, plain_char(c)) for i, c in enumerate(text) if c >= "\x80" and plain_char(c) != c])
     out = out.rewrite(spoken_digits(out.text))
-    return out.rewrite(disguised_emails(out.text))
+    out = out.rewrite(disguised_emails(out.text))
+    return out.rewrite([(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(out.text)])
 
 
 def hidden(text: str, base: list[Span]) -> list[Span]:
@@ -232,9 +235,8 @@ def hidden(text: str, base: list[Span]) -> list[Span]:
     return out
 
 
-_SPOKEN_HINT = re.compile(rf"(?:{_WORDS})[ ,.()-]{{1,3}}(?:{_WORDS}|[0-9])", re.I)
 _PLAIN = byte_set(b"@+0123456789")
-_OPENS, _CLOSES = byte_set(b"[({<"), byte_set(b"])}> ")
+_OPENS, _INSIDE = byte_set(b"[({<"), byte_set(b"@.")
 _LETTERS = byte_set(bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 #: Lead bytes of characters outside ASCII and the accented letters.
 _ODD = byte_set(bytes([0xC2, *range(0xC4, 256)]))
@@ -249,20 +251,25 @@ _DIGITS, _DOTS, _ATS = (_hashes(w) for w in ([*DIGIT_WORDS, "plus", "dash", "hyp
 
 
 def signs_of_disguise(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Which of consecutive texts show a sign of disguise: unusual characters, a word for dot, a word for at after a
-    bracket, @ before a bracket or a space, two digit words in a row.  Most texts show none and are not rewritten."""
-    at = np.flatnonzero(data == 0x40)
-    at = at[(at + 1 < len(data)) & _CLOSES[data[np.minimum(at + 1, len(data) - 1)]]] if len(at) else at
+    """Which of consecutive texts the transducers may rewrite.  No text that one of them changes is left out:
+
+    characters: all but ASCII and the accented letters count, and of the block of these the signs for times and divided by,
+    so what stands beside a word below is a letter or no part of it;
+    addresses: an edit needs a disguised dot, or @ or a word for at behind a bracket and up to three spaces.  A disguised
+    dot is a word for dot, or a full stop behind such a bracket; that goes for dots between numbers too;
+    digits: an edit needs a digit or sign word in a run that the transducer's own pattern finds."""
+    odd = np.flatnonzero(_ODD[data])
+    signs = np.flatnonzero(data[:-1] == 0xC3)
+    signs = signs[(data[signs + 1] == 0x97) | (data[signs + 1] == 0xB7)]
     starts, ends = runs(_LETTERS[data], off)
     h = hash_spans(data, starts, ends)
-    after_open = starts[np.isin(h, _ATS)]
-    after_open = after_open[np.any([_OPENS[data[np.maximum(after_open - k, 0)]] for k in range(1, 5)], axis=0)]
-    found = np.concatenate([np.flatnonzero(_ODD[data]), at, starts[np.isin(h, _DOTS)], after_open])
+    inside = np.concatenate([np.flatnonzero(_INSIDE[data]), starts[np.isin(h, _ATS)]])
+    inside = inside[np.any([_OPENS[data[np.maximum(inside - k, 0)]] for k in range(1, 5)], axis=0)]
+    found = np.concatenate([odd, signs, inside, starts[np.isin(h, _DOTS)]])
     out = np.zeros(len(off) - 1, bool)
     out[np.searchsorted(off, found, side="right") - 1] = True
-    spoken = np.searchsorted(off, starts[np.isin(h, _DIGITS)], side="right") - 1
-    for k in np.flatnonzero(np.bincount(spoken, minlength=len(out)) > 1):
-        out[k] = out[k] or bool(_SPOKEN_HINT.search(data[off[k]:off[k + 1]].tobytes().decode()))
+    for k in np.unique(np.searchsorted(off, starts[np.isin(h, _DIGITS)], side="right") - 1):
+        out[k] = out[k] or bool(SPOKEN.search(data[off[k]:off[k + 1]].tobytes().decode()))
     return out
 
 

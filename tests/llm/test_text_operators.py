@@ -176,6 +176,30 @@ def test_not_disguised(text):
     assert personal_data.spans_of(text, True) == []
 
 
+def test_disguised_in_documents(spark):
+    """Each sign of disguise alone in its document, through the step that tells which documents are rewritten."""
+    rows = [("mail john@example[.]com now", "email", "john@example[.]com"), ("mail john@example(.)com", "email", "john@example(.)com"),
+            ("mail john@example{ . }com", "email", "john@example{ . }com"), ("john[@\t]example.com", "email", "john[@\t]example.com"),
+            ("card 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"), ("card \u00d7four 111 1111 1111 1111", "card", "four 111 1111 1111 1111"),
+            ("host 192[.]168[.]1[.]10 up", "ip", "192[.]168[.]1[.]10"), ("host 192.168(dot)1.10 up", "ip", "192.168(dot)1.10"),
+            ("john at 10[.]0[.]0[.]com", "email", "john at 10[.]0[.]0[.]com"), ("call +49[.]30[.]12345678", "phone", "+49[.]30[.]12345678")]
+    frame = spark.createDataFrame([(k, t) for k, (t, *_) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r.doc_id: {(s.kind, rows[r.doc_id][0][s.start:s.end]) for s in r.spans} for r in personal_data.find_personal_data(frame).collect()}
+    assert got == {k: {(kind, span)} for k, (_, kind, span) in enumerate(rows)}
+
+
+def test_what_is_rewritten_shows_a_sign():
+    rng = np.random.default_rng(17)
+    pieces = ["john", "example", "com", "at", "AT", "dot", "point", "one", "Two", "f\u00fcnf", "plus", "dash", "12", "4111", "7", ".", "@", "[", "]", "(", ")",
+              "{", ">", " ", "  ", "\t", "\n", "-", ",", "+", "_", "\u00e9", "\u00d7", "\u00f7", "\u00b2", "\u200b", "x"]
+    made = ["".join(rng.choice(pieces, rng.integers(3, 16))) for _ in range(4000)]
+    made += [" ".join(rng.choice(pieces[7:15], rng.integers(3, 9))) for _ in range(1000)]
+    data, off = bytes_of(pa.array(made))
+    shown = personal_data.signs_of_disguise(data, off)
+    rewritten = np.array([bool(personal_data.deobfuscate(t).new.any() or personal_data.deobfuscate(t).text != t) for t in made])
+    assert rewritten.sum() > 300 and not (rewritten & ~shown).any()
+
+
 def test_personal_data_of_tables(spark, docs, awkward, documents):
     for frame, rows in ((docs, documents), (awkward, AWKWARD)):
         got = [(r.doc_id, [(s.kind, s.start, s.end) for s in r.spans if s.base]) for r in personal_data.find_personal_data(frame).collect()]
