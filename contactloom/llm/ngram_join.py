@@ -180,10 +180,11 @@ def _shared(bits: int):
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each order and node its shared tokens, the rarer first, those of other classes last, with how many are in class."""
+    """For each order and node its shared tokens as the order has them: those in class first, the rarer before the more
+    frequent, then the rest by hash, as the prefix was cut; with how many are in class."""
     def close(order: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, token, often = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        at = np.lexsort((token, often, node))
+        at = np.lexsort((token, np.minimum(often, LATE), node))
         node, token, often = node[at], token[at], often[at]
         first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         off = np.append(first, len(node))

@@ -311,6 +311,21 @@ def test_similar_components(spark, awkward, documents, orders):
     assert order(map(tuple, got)) == order(plain_components(rows))
 
 
+def test_similar_components_of_short_texts(spark):
+    """Texts of 8 to 20 words with a copy of one or two words more; their phrases stand in other texts too."""
+    rng = np.random.default_rng(41)
+    phrases = [passage(int(rng.integers(5, 8)), 900 + k).split() for k in range(1200)]
+    texts = []
+    for k in range(2500):
+        words = [w for p in rng.integers(0, len(phrases), int(rng.integers(1, 3))) for w in phrases[p]]
+        words += [f"own{k}x{i}" for i in range(int(rng.integers(0, 5)))]
+        words = words[:int(rng.integers(8, 19))]
+        texts += [words, [*words, f"more{k}"], [f"less{k}", *words]][:int(rng.integers(1, 4))]
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert order(map(tuple, got)) == order(plain_components(rows))
+
+
 def test_similar_components_of_nothing(nothing):
     assert ngram_join.similar_components(nothing).isEmpty()
 
