@@ -25,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    return ngram_join.one_of_each(docs)
+    """Of each group of documents that link by five-word shingles at 0.8 the one with the smallest id stays."""
+    return ngram_join.one_of_each(docs, ngram_join.Measure(5, 80))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,5 +48,12 @@ def test_stages(spark):
         assert raw.decode() == given[r.doc_id] and r.n_tokens == len(r.ids)
 
 
+def test_near_copies_by_five_words(spark):
+    words = [f"w{k}" for k in range(49)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:24], "other", *words[25:]])), (3, " ".join(["x", *words[:20], "y", *words[21:40], "z"]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).orderBy("doc_id").collect()] == [1, 3]
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
