@@ -74,11 +74,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                   "digest-prints")
 
 
+def add_in_batches(index: DigestIndex, prints: DataFrame) -> DataFrame:
+    """What ``index.add`` tells of a whole table, group_size over all of it, brought to the index in two batches: the
+    smaller half of the ids first, so that the smallest id stays; rows without an id come with the second."""
+    middle = (prints.approxQuantile("doc_id", [0.5], 0.05) or [0.0])[0]
+    early = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(False))
+    first, second = index.add(prints.filter(early)), index.add(prints.filter(~early))
+    return first.unionByName(second).groupBy("digest").agg(
+        F.max("keep_id").alias("keep_id"), F.max("keep_row").alias("keep_row"), F.sum("group_size").alias("group_size"))
+
+
 def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """One row per document of the batch: doc_id, keep_id, group_size (rows of this batch with that text), kept,
     text_sha256 (hex).  The batch's new texts are in the index afterwards."""
     prints = fingerprints(docs)
-    verdict = index.add(prints)
+    return verdicts(prints, index.add(prints))
+
+
+def verdicts(prints: DataFrame, verdict: DataFrame) -> DataFrame:
+    """The verdict on each digest, told to its rows."""
     return (prints.join(verdict, "digest")
             .select("doc_id", "keep_id", "group_size",
                     F.coalesce(F.col("row_id") == F.col("keep_row"), F.lit(False)).alias("kept"),
@@ -95,7 +109,8 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return deduplicate(docs, new_index(spark))
+    prints = fingerprints(docs)
+    return verdicts(prints, add_in_batches(new_index(spark), prints))
 
 
 OP7_SQL = """
@@ -110,7 +125,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
 
     Documents meet the verdict on the digest; of rows that repeat with id and text, one stays."""
     index = new_index(docs.sparkSession)
-    verdict = index.add(fingerprints(docs)).select("digest", "keep_id")
+    verdict = add_in_batches(index, fingerprints(docs)).select("digest", "keep_id")
     marked = docs.withColumn("__digest", digest()).join(
         verdict.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep")), "__digest")
     same_row = Window.partitionBy("__digest").orderBy(F.lit(1))

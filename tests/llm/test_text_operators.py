@@ -110,6 +110,22 @@ def test_kept_documents(awkward, nothing):
     assert digest_index.kept_documents(nothing).isEmpty()
 
 
+def test_batches_meet_the_index(spark, docs, awkward, nothing, monkeypatch):
+    """Query and stage bring the second batch to an index that holds the first."""
+    held, add = [], digest_index.DigestIndex.add
+    monkeypatch.setattr(digest_index.DigestIndex, "add", lambda self, prints: (held.append(self.table().count()), add(self, prints))[1])
+    catalog.QUERIES["op7_exact_dedup"](spark, SF)
+    digest_index.kept_documents(docs)
+    assert len(held) == 4 and held[0] == held[2] == 0 and held[1] == held[3] > 0
+    prints = digest_index.fingerprints(awkward)
+    got = digest_index.verdicts(prints, digest_index.add_in_batches(digest_index.new_index(spark), prints)).collect()
+    once = digest_index.deduplicate(awkward, digest_index.new_index(spark)).collect()
+    told = lambda rows: order((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows)
+    assert told(got) == told(once)
+    assert sum(r.kept for r in got) == sum(r.kept for r in once) == len({r.text_sha256 for r in got})
+    assert digest_index.add_in_batches(digest_index.new_index(spark), digest_index.fingerprints(nothing)).isEmpty()
+
+
 # ---- byte-pair encoding --------------------------------------------------------------------------------------------
 def test_bpe_equals_library(spark, docs, awkward, documents, nothing):
     tokenizers = pytest.importorskip("tokenizers")
