@@ -44,7 +44,7 @@ def repeat_flags(df: DataFrame, keys: Sequence[str], grains: Mapping[str, Sequen
     """One boolean column per grain, true for every row but the first of its group.
 
     ``grains`` maps a flag name to the columns that refine ``keys`` (none for the overall flag).  ``order``
-    is ascending with NULLs first, and its last column is unique.  The first row of a group is a minimum,
+    is ascending with NULLs first, and tells every row from all others.  The first row of a group is a minimum,
     which is combined before the shuffle, so no group meets in a task however many rows it has; the
     firsts then meet the rows on the whole order, which is unique."""
     rows = df.withColumn("_order", F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)]))

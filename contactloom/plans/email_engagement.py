@@ -58,10 +58,9 @@ def email_base(t: Frames, activity: DataFrame, ranking: DataFrame) -> DataFrame:
                        {"lead_source": "lead_source"})
     flags = {"monthly_duplicate_flag": ["month_date"], "weekly_duplicate_flag": ["week_begin_date"],
              "overall_duplicate_flag": []}
-    mail = repeat_flags(mail, ["mdm_id", "activity_type", "base_tactic"], flags, ["time_date"],
-                        [F.col("time_date").asc()],
-                        [F.col("date_timestamp").asc(), *[F.col(c).asc_nulls_last() for c in (
-                            "integration_key", "web_lead_source", "lead_source")]])
+    rest = [c for name in ("integration_key", "web_lead_source", "lead_source") for c in (F.col(name).isNull(), F.col(name))]
+    mail = repeat_flags(mail, ["mdm_id", "activity_type", "base_tactic"], flags,
+                        [F.col("time_date"), F.col("date_timestamp"), *rest])
     mapped = {out: F.coalesce(F.upper(c), F.lit("UNMAPPED")) for out, c in
               (("tactic_category", "activity_em_category"), ("tactic_stream", "activity_em_stream"),
                ("tactic_sub_stream", "activity_sub_stream"))}
