@@ -1,9 +1,8 @@
 """Numbering rows within keys without giving any key to a single task.
 
-row_number() over a key sorts the whole key in one task.  Here the order is cut in two: a coarse
-part (say the day) and a fine part (time of day, unique id).  Rows are numbered inside
-(key, coarse) and shifted by the count of the earlier coarse groups, which is worked out on a
-pre-aggregated table with one row per (key, coarse).  The result equals the plain window."""
+row_number() over a key sorts the whole key in one task.  ``row_numbers`` cuts any key into ranges of its order and
+carries counts over the borders.  ``split_row_number`` is for orders whose coarse part (say the day) already cuts every
+key into groups that a task can hold: it needs no written copy."""
 
 from __future__ import annotations
 
@@ -13,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.sources.tables import settle
+
 
 def _group_of(columns: Sequence[str]) -> Column:
     # a struct equals another one field by field with NULL equal to NULL, so it can be joined on
@@ -39,6 +40,26 @@ def split_row_number(df: DataFrame, keys: Sequence[str], coarse: Sequence[str],
             .drop("_group", "_inside", "_before"))
 
 
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, label: str = "numbers") -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` in which no task holds more than its share of the rows.
+
+    The rows are dealt into ranges of (keys, order), so that a key with many rows is cut wherever its share of a range ends,
+    and written with the number of their range, which must not change between counting and numbering even when executors are
+    lost.  They are numbered inside (range, key).  Only a key that began in an earlier range carries a count over from there:
+    one row per range at most, which is all that is broadcast.  ``order`` should tell rows of a key apart: ties stay in one
+    range, and which of them comes first is open.  Rows travel twice, so bring narrow ones and join the rest back."""
+    ranges = df.repartitionByRange(*[F.col(k).asc() for k in keys], *order)
+    placed = settle(ranges.withColumn("_range", F.spark_partition_id()), label)
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (placed.groupBy("_range", *keys).agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(earlier))
+               .filter("_before > 0").select(F.struct("_range", *keys).alias("_carried"), "_before"))
+    inside = Window.partitionBy("_range", *keys).orderBy(*order)
+    return (placed.withColumn("_inside", F.row_number().over(inside)).withColumn("_group", F.struct("_range", *keys))
+            .join(F.broadcast(carried), F.col("_group") == F.col("_carried"), "left")
+            .withColumn(out, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("bigint"))
+            .drop("_range", "_inside", "_group", "_carried", "_before"))
+
+
 def repeat_flags(df: DataFrame, keys: Sequence[str], grains: Mapping[str, Sequence[str]],
                  order: Sequence[Column]) -> DataFrame:
     """One boolean column per grain, true for every row but the first of its group.
