@@ -7,7 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contactloom.llm import byte_bpe, decontaminate, digest_index, katz, ngram_join, personal_data, quality, suffix_dedup, toxicity, warc
+from contactloom.llm import (alignment, byte_bpe, decontaminate, digest_index, katz, ngram_join, periodic_runs, personal_data, quality, ring_shards,
+                            suffix_dedup, toxicity, warc)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": warc.op4_warc,
@@ -20,6 +21,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_katz": katz.op9_katz,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
+    "op11_alignment": alignment.op11_alignment,
+    "op12_ring_shards": ring_shards.op12_ring_shards,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {
     "op4_warc": warc.OP4_SQL,
