@@ -6,8 +6,8 @@ coarse cuts: several tokens that share one character report that character, or n
 own bytes, counted from the last cut that is sure.  Where an A and a B token both end, a group ends; an A and a B token
 are linked where their bytes overlap.
 
-Neither tokenizer joins anything across a space that follows a sign other than white space.  So a text is taken apart
-there, each distinct unit is handed to the libraries once (a worker remembers units it has met, at most ``REMEMBERED``),
+Neither tokenizer joins anything across a space that follows a sign other than white space, nor a letter and a sign after
+it (which the vocabulary of B is asked for, sign by sign).  So a text is taken apart there, each distinct unit is handed to the libraries once (a worker remembers units it has met, at most ``REMEMBERED``),
 and a text's tokens are those of its units.  What is remembered decides the speed only.
 
 Links are counted by document.  Consecutive documents of a task form a segment of at most ``SEGMENT`` bytes (a longer
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -34,10 +35,11 @@ from pyspark.sql import functions as F
 
 from contactloom.llm.byte_bpe import Vocabulary, take_spans
 from contactloom.llm.katz import planes, unplanes
-from contactloom.llm.shared import SPACE, arrow_batches, bytes_of, hash_spans, settle, slices
+from contactloom.llm.shared import SPACE, arrow_batches, byte_set, bytes_of, hash_spans, settle, slices
 
+LETTER = byte_set(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 #: Bytes of text whose questions are asked together, bytes that one numpy step works on, units a worker remembers.
-SEGMENT, STEP, REMEMBERED = 1 << 22, 1 << 19, 1 << 18
+SEGMENT, STEP, REMEMBERED = 1 << 22, 1 << 19, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,12 @@ class Tokenizers:
         self.a_bytes = [raw[i:j] for i, j in zip(vocab.token_off[:-1], vocab.token_off[1:], strict=True)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.tables = [(np.frombuffer(b"".join(t), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in t])])) for t in (self.a_bytes, self.b_bytes)]
+        self.a_size, self.b_size = (np.diff(off) for _, off in self.tables)
+        plain = [p for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size()))) if not (self.b.is_byte(i) or self.b.is_control(i))]
+        mixed = set("".join(re.findall(r"[A-Za-z]([!-/:-@\[-`{-~])", "\n".join(plain))))
+        #: Signs that no token of B has after a letter; A never has.  A text can be cut before them too.
+        self.signs = byte_set(bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in mixed))
 
     def left(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, unit and end of the A tokens; spans are in characters."""
@@ -115,18 +122,22 @@ class Tokenizers:
         return flat, unit, cuts(start, end, self.a_size[flat], unit)
 
     def right(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same of B; spans are in bytes of the text, which lacks the space that B puts before it."""
-        told = [[(p.id, p.begin, p.end) for p in proto.pieces]
-                for proto in self.b.encode([u[1:].decode() for u in units], return_type="proto", num_threads=1)]
+        """The same of B; spans are in bytes of the text, which lacks the space that B puts before it.  A unit without a
+        space of its own stands after a letter, which no token shares with it."""
+        own = [u[:1] == b" " for u in units]
+        told = [[(p.id, p.begin, p.end) for p in proto.pieces] for proto in self.b.encode(
+            [(u[1:] if space else b"a" + u).decode() for u, space in zip(units, own, strict=True)], return_type="proto", num_threads=1)]
+        told = [t if space else t[1:] for t, space in zip(told, own, strict=True)]
         n = np.array([len(x) for x in told], np.int64)
         flat = np.fromiter(chain.from_iterable(chain.from_iterable(told)), np.int64, 3 * int(n.sum())).reshape(-1, 3)
         unit = np.repeat(np.arange(len(units)), n)
+        spaced = np.array(own, bool)[unit]
         first = np.zeros(len(flat), bool)
         first[(np.cumsum(n) - n)[n > 0]] = True
-        start = np.where(first, 0, flat[:, 1] + 1)
+        first &= spaced
+        start, end = (flat[:, k] + np.where(spaced, 1, -1) for k in (1, 2))
         # the space that B adds belongs to its first token, even where that is all it has
-        end = np.where(first & (flat[:, 2] == 0), 1, flat[:, 2] + 1)
-        return flat[:, 0], unit, cuts(start, end, self.b_size[flat[:, 0]], unit)
+        return flat[:, 0], unit, cuts(np.where(first, 0, start), np.where(first & (flat[:, 2] == 0), 1, end), self.b_size[flat[:, 0]], unit)
 
 
 def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -141,15 +152,23 @@ class Units:
     def __init__(self, pair: Pair, remembered: int = REMEMBERED):
         self.tokenizers, self.remembered = Tokenizers(pair), remembered
         self.digits = _digits(max(len(self.tokenizers.a_bytes), len(self.tokenizers.b_bytes)))
-        self.forget()
-
-    def forget(self) -> None:
-        self.hashes, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hashes, self.place, self.met = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.counts = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, links; all 0 where the bytes differ
         self.fits = np.zeros(0, bool)
         self.pairs, self.said = np.zeros(0, np.int64), np.zeros(0, np.uint8)
         self.said_off = np.zeros(1, np.int64)
 
+    def forget(self) -> None:
+        """Keep the units met most often, at most half of what may be remembered; each counts half from now on."""
+        order = np.argsort(-self.met, kind="stable")[:self.remembered // 2]
+        keep = np.sort(order[self.met[order] > 1])
+        old, n_pairs = self.place[keep], self.counts[self.place[keep], 3]
+        size = self.said_off[old + 1] - self.said_off[old]
+        self.pairs, self.said = take_spans(self.pairs, self.pair_off[old], n_pairs), take_spans(self.said, self.said_off[old], size)
+        self.said_off = np.concatenate([[0], np.cumsum(size)])
+        self.counts, self.fits = self.counts[old], self.fits[old]
+        self.hashes, self.place, self.met = self.hashes[keep], np.arange(len(keep)), self.met[keep] // 2
+
     def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Number of every unit; new ones are tokenized."""
         hashes, first, which = np.unique(hash_spans(data, starts, ends, fold=False), return_index=True, return_inverse=True)
@@ -166,25 +185,34 @@ class Units:
             order = np.searchsorted(self.hashes, hashes[new])
             self.place = np.insert(self.place, order, base + np.arange(len(new)))
             self.hashes = np.insert(self.hashes, order, hashes[new])
-        return self.place[np.searchsorted(self.hashes, hashes)][which]
+            self.met = np.insert(self.met, order, np.int32(0))
+        at = np.searchsorted(self.hashes, hashes)
+        self.met[at] += 1
+        return self.place[at][which]
 
     def _learn(self, units: list[bytes]) -> None:
         t, m = self.tokenizers, len(units)
         (a, of_a, end_a), (b, of_b, end_b) = t.left(units), t.right(units)
         size = np.array([len(u) for u in units], np.int64)
+        whole, off = np.frombuffer(b"".join(units), np.uint8), np.concatenate([[0], np.cumsum(size)])
         fits = np.ones(m, bool)
-        for ids, unit, table in ((a, of_a, t.a_bytes), (b, of_b, t.b_bytes)):
-            cut = np.searchsorted(unit, np.arange(m + 1))
-            flat = ids.tolist()
-            fits &= [b"".join(table[i] for i in flat[cut[k]:cut[k + 1]]) == units[k] for k in range(m)]
+        for ids, unit, (raw, at) in ((a, of_a, t.tables[0]), (b, of_b, t.tables[1])):
+            long = at[ids + 1] - at[ids]
+            joined = np.bincount(unit, long, m).astype(np.int64)
+            fits &= joined == size
+            k = np.flatnonzero(joined == size)
+            same = take_spans(raw, at[ids], long)[np.repeat((joined == size)[unit], long)] == take_spans(whole, off[k], size[k])
+            fits[k] &= np.bincount(np.repeat(k, size[k]), ~same, m)[k] == 0
         a, of_a, end_a = a[fits[of_a]], of_a[fits[of_a]], end_a[fits[of_a]]
         b, of_b, end_b = b[fits[of_b]], of_b[fits[of_b]], end_b[fits[of_b]]
         base = np.cumsum(size) - size
         end_a, end_b = end_a + base[of_a], end_b + base[of_b]
-        every = np.union1d(end_a, end_b)  # each stretch between two ends lies in one A and one B token: a link
+        every = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        again = np.zeros(len(every), bool)
+        again[1:] = every[1:] == every[:-1]
+        both, every = every[again], every[~again]  # each stretch between two ends lies in one A and one B token: a link
         link_a, link_b = np.searchsorted(end_a, every), np.searchsorted(end_b, every)
         unit = of_a[link_a] if len(every) else np.zeros(0, np.int64)
-        both = np.intersect1d(end_a, end_b)
         groups = np.bincount(of_a[np.searchsorted(end_a, both)], minlength=m) if len(both) else np.zeros(m, np.int64)
         links = np.bincount(unit, minlength=m)
         self.counts = np.concatenate([self.counts, np.stack([np.bincount(of_a, minlength=m), np.bincount(of_b, minlength=m), groups, links], 1)])
@@ -215,9 +243,10 @@ class Units:
         return np.concatenate([[0], np.cumsum(self.counts[:, 3])])
 
 
-def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def units(data: np.ndarray, off: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the units of consecutive texts, each text with its space before it.  A unit starts at a space
-    after a sign that is surely no white space, unless the space is the last byte of the text."""
+    after a sign that is surely no white space, unless the space is the last byte of the text, and at one of ``signs``
+    after a letter of ASCII."""
     space = data == 0x20
     start = np.zeros(len(data), bool)
     black = ~SPACE
@@ -229,6 +258,7 @@ def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start[wide[doubt]] = False
     last = off[1:][off[1:] > off[:-1]] - 1
     start[last] = False
+    start[1:] |= signs[data[1:]] & LETTER[data[:-1]]
     start[off[:-1][off[1:] > off[:-1]]] = True
     starts = np.flatnonzero(start)
     return starts, np.append(starts[1:], len(data))
@@ -243,7 +273,7 @@ class _Segment:
 
     def add(self, ids: pa.Array, data: np.ndarray, off: np.ndarray, known: Units) -> None:
         n = len(off) - 1
-        starts, ends = units(data, off)
+        starts, ends = units(data, off, known.tokenizers.signs)
         which = known.find(data, starts, ends)
         row = np.searchsorted(off, starts, side="right") - 1
         fits = np.bincount(row[~known.fits[which]], minlength=n) == 0
