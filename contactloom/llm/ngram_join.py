@@ -12,7 +12,8 @@ other order too, before whole sets are compared.
 
 Groups of nodes with one prefix token are not expanded into pairs.  First each node meets the node of its group in which
 the token stands furthest to the front; links make components.  Then only nodes outside the group's largest component
-meet the others, only across components, and only where bitmaps of their sets leave a link possible.  No link between components is lost, and members of one need none.
+meet the others, only across components, and only where bitmaps of their sets leave a link possible; a pair is written at
+the first token that both prefixes have and at no other.  No link between components is lost, and members of one need none.
 
 Nothing here is cut off: no bound on partners, frequent tokens or group sizes.  Hashes have 52 bits for shingles and 64
 for whole sets.
@@ -23,7 +24,7 @@ set; a component is named by its smallest id, or null if none has one.  Only doc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactloom.llm.byte_bpe import take_spans
 from contactloom.llm.components import components
 from contactloom.llm.katz import planes, unplanes
 from contactloom.llm.shared import bytes_of, hash_ngrams, hash_spans, mix, settle, slices, texts, words
@@ -71,7 +73,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarr
 
 def set_slices(batch: pa.RecordBatch, text: int, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, off = bytes_of(batch.column(text))
-    for a, b in slices(off, 1 << 21):
+    for a, b in slices(off, 1 << 19):
         for i in range(a, b, 1 << ROW_BITS):
             j = min(b, i + (1 << ROW_BITS))
             yield i, j, *shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i], size)
@@ -298,9 +300,29 @@ def first_meetings(entries: DataFrame) -> DataFrame:
 BLOCK = 8192
 
 
+def _earlier(size: np.ndarray, tokens: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether two members have one of their listed tokens in common, for arrays of members; ``size`` tokens of each."""
+    known, rank = np.unique(tokens, return_inverse=True)
+    has = np.sort(np.repeat(np.arange(len(size)), size) * max(1, len(known)) + rank)
+    first = np.cumsum(size) - size
+
+    def common(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), bool)
+        for a in range(0, len(i) if len(has) else 0, 1 << 14):
+            own, other = i[a:a + (1 << 14)], j[a:a + (1 << 14)]
+            pair = np.repeat(np.arange(len(own)), size[own])
+            asked = take_spans(has, first[own], size[own]) % len(known) + other[pair] * len(known)
+            at = np.minimum(np.searchsorted(has, asked), len(has) - 1)
+            out[a + pair[has[at] == asked]] = True
+        return out
+
+    return common
+
+
 def _across(percent: int):
     """Pairs of each (token, left block, right block) that may link: the left members, all outside the largest component,
-    with those right members that are in another component."""
+    with those right members that are in another component.  A pair leaves at the first token of the order that both
+    prefixes have, so it is written once, however many they share."""
     def may(na: np.ndarray, nb: np.ndarray, most: np.ndarray) -> np.ndarray:
         most = np.minimum(np.minimum(most, na), nb)
         return 100 * most >= percent * (na + nb - most)
@@ -308,6 +330,7 @@ def _across(percent: int):
     def meet(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         left, node, n, place, component, major = (np.concatenate([p[k] for p in parts]) for k in range(6))
         bits = np.concatenate([p[6] for p in parts]).view(np.uint64).reshape(-1, WORDS)
+        met_before = _earlier(np.concatenate([p[7] for p in parts]), np.concatenate([p[8] for p in parts]))
         a, b = np.flatnonzero(left), np.flatnonzero(~left)
         step = max(1, (1 << 16) // max(1, len(b)))
         for k in range(0, len(a), step):
@@ -318,8 +341,10 @@ def _across(percent: int):
             i, j = i[ok], j[ok]
             x, y = bits[i], bits[j]
             ok = may(n[i], n[j], np.minimum(n[i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[j] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)))
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(node[i[ok]]), pa.array(node[j[ok]])], ["a", "b"])
+            i, j = i[ok], j[ok]
+            new = ~met_before(i, j)
+            if new.any():
+                yield pa.RecordBatch.from_arrays([pa.array(node[i[new]]), pa.array(node[j[new]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
@@ -328,6 +353,9 @@ def _across(percent: int):
             cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1 if batch.num_rows else np.zeros(0, np.int64)
             cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3, 9)]
             bits = batch.column(9).flatten().to_numpy().reshape(-1, WORDS) if batch.num_rows else np.zeros((0, WORDS), np.int64)
+            size = batch.column(10).value_lengths().to_numpy()
+            upto = np.concatenate([[0], np.cumsum(size)])
+            earlier = batch.column(10).flatten().to_numpy()
             for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
                 if a == b:
                     continue
@@ -335,7 +363,7 @@ def _across(percent: int):
                     yield from meet(parts)
                     parts = []
                 now = tuple(key[:, a])
-                parts.append((*(c[a:b] for c in cols), bits[a:b]))
+                parts.append((*(c[a:b] for c in cols), bits[a:b], size[a:b], earlier[upto[a]:upto[b]]))
         if parts:
             yield from meet(parts)
 
@@ -354,7 +382,7 @@ def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, measu
     named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node")
                    .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "ngram-groups")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = ("node", "n", "place", "component", "major", "bits")
+    own = ("node", "n", "place", "component", "major", "bits", "earlier")
     left = named.filter("component <> major").select("token", F.col("block").alias("i"), every.alias("j"), F.lit(True).alias("left"), *own)
     right = named.select("token", every.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), *own)
     pairs = (left.unionAll(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
@@ -372,8 +400,9 @@ def similar_components(docs: DataFrame, measure: Measure | None = None, orders:
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("own").alias("own")), "ngram-nodes")
     survivors = prefixes(docs, nodes.filter("rep IS NOT NULL"), measure, orders)
     sets = node_sets(docs, survivors, measure)
-    entries = settle(survivors.select("node", "n", "lone0", F.posexplode("prefix0").alias("nth", "token")).select(
-        "token", "node", "n", (F.col("lone0") + F.col("nth")).alias("place")), "ngram-entries")
+    spread = survivors.select("node", "n", "lone0", "prefix0", F.posexplode("prefix0").alias("nth", "token"))
+    entries = settle(spread.withColumn("earlier", F.slice("prefix0", F.lit(1), F.col("nth"))).select(
+        "token", "node", "n", (F.col("lone0") + F.col("nth")).alias("place"), "earlier"), "ngram-entries")
     links = verified(first_meetings(entries), survivors, sets, measure, orders)
     labels = components(links)
     more = verified(later_meetings(entries, labels, sets, measure), survivors, sets, measure, orders)

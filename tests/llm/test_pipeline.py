@@ -32,7 +32,7 @@ def test_stages(spark):
         first.setdefault(SPACES.sub(" ", given[i] or ""), i)
     assert ids[1] == set(first.values())
 
-    assert ids[2] == {i for i, n, c in plain_components([(i, given[i] or "") for i in sorted(ids[1])]) if c == i or not n}
+    assert ids[2] == {i for i, n, c in plain_components([(i, given[i] or "") for i in sorted(ids[1])], 80, 5) if c == i or not n}
 
     leaks = decontaminate.contaminated(results[2], spark.read.parquet(f"{SF}/benchmark.parquet"))
     assert ids[3] == ids[2] - {r.doc_id for r in leaks.collect()}

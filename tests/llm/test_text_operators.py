@@ -282,8 +282,8 @@ def shingles(t, size=4):
     return frozenset(tuple(w[k:k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
 
 
-def plain_components(rows, percent=85):
-    sets = [shingles(t) for _, t in rows]
+def plain_components(rows, percent=85, size=4):
+    sets = [shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(k):
