@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -32,6 +33,29 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def hold_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Hold batches for Python to so many bytes from now on, unless the session names a size of its own: with long texts
+    the usual 64 MB stand in the JVM and in the worker at once, twice each."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(name) is None:
+        spark.conf.set(name, size)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function for mapInArrow, which gives unused memory back when its task ends: workers live on between
+    tasks, and what their allocators keep counts against the executor."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
     """Hold batches for Python to so many bytes during the jobs inside: rows of packed arrays are large, and a worker
@@ -199,19 +223,19 @@ CLASS[48:58] = 2
 CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
-def sum_blocks(parts: DataFrame, label: str) -> DataFrame:
-    """Sum of float32 vectors by ``block``: of (block, values binary), with one row in memory per running sum."""
+def sum_blocks(parts: DataFrame, label: str, kind: type = np.float32) -> DataFrame:
+    """Sum of vectors of one kind by ``block``: of (block, values binary), with one row in memory per running sum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, values in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.frombuffer(values.as_buffer(), np.float32)
+                own = np.frombuffer(values.as_buffer(), kind)
                 if block in sums:
                     sums[block] += own
                 else:
                     sums[block] = own.astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
-                                          pa.array([v.astype(np.float32).tobytes() for v in sums.values()], pa.binary())],
+                                          pa.array([v.astype(kind).tobytes() for v in sums.values()], pa.binary())],
                                          ["block", "values"])
 
     return settle(parts.repartition("block").mapInArrow(run, "block int, values binary"), label)

@@ -5,9 +5,10 @@ corrected by the share of toxic documents (the prior): R = prior * E_P[l(+)] + m
 second term would fall below zero, its gradient is followed the other way.  Labels 0 serve for the prior alone.
 
 Features are words (runs of letters) and their first 4, 5 and 6 bytes, in small letters, by hash; of these the
-``features`` that tell the toxic sample best from the unlabelled one are kept, and a document has each of them or not.
-Statistics and training work on bounded samples (``positives`` and ``unlabelled`` documents, those whose hashed id is
-smallest); every document is scored on its whole text.
+``features`` that tell the toxic sample best from all documents are kept, four for each toxic document at most, and a
+document has each of them or not.  Features are counted over all documents; the classifier is trained on bounded samples
+(``positives`` and ``unlabelled`` documents, those whose hashed id is smallest, one row of each id), with weights held
+the closer to zero the fewer toxic documents there are.  Every document is scored on its whole text.
 
 Null and empty text has no feature and gets the score of that.  Without a toxic example, or without an unlabelled text,
 every score is the prior (0 without labels).  Repeated rows are scored alike; only doc_id and text are read."""
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.shared import bytes_of, class_runs, crc_of_id, hash_spans, slices, smallest_by_hash, texts
+from contactloom.llm.shared import bytes_of, class_runs, crc_of_id, hash_spans, lean, settle, slices, smallest_by_hash, sum_blocks, texts
 
 SPACE_BITS = 18
 PREFIXES = (4, 5, 6)
@@ -116,26 +117,36 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, p
     return w[:-1], float(w[-1])
 
 
+#: Parts that a vector of counts travels in.
+BLOCKS = 16
+
+
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with each feature, for toxic (1) and unlabelled (0) ones."""
-    counts, rows = np.zeros((2, 1 << SPACE_BITS), np.int32), [0, 0]
+    """Documents with each feature, in BLOCKS parts of a vector, and their number."""
+    counts, n = np.zeros(1 << SPACE_BITS, np.int64), 0
     for batch in batches:
         data, off = bytes_of(batch.column(0))
-        toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        for k in (0, 1):
-            rows[k] += int((toxic == k).sum())
+        n += batch.num_rows
         for i, j in slices(off):
-            row, f = has_features(data[off[i]:off[j]], off[i:j + 1] - off[i])
-            for k in (0, 1):
-                counts[k] += np.bincount(f[toxic[i:j][row] == k], minlength=1 << SPACE_BITS).astype(np.int32)
-    yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(rows, pa.int64()),
-                                      pa.array([c.tobytes() for c in counts], pa.binary())], ["toxic", "docs", "counts"])
+            _, f = has_features(data[off[i]:off[j]], off[i:j + 1] - off[i])
+            counts += np.bincount(f, minlength=1 << SPACE_BITS)
+    parts = [*np.split(counts.astype(np.float64), BLOCKS), np.array([n], np.float64)]
+    yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS + 1), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["block", "values"])
+
+
+def document_counts(rows: DataFrame, label: str) -> tuple[np.ndarray, int]:
+    """The sums of these over all rows of (text): a vector of fixed size, added up part by part."""
+    told = sum_blocks(rows.select("text").mapInArrow(lean(_document_counts), "block int, values binary"), label, np.float64)
+    parts = {r.block: np.frombuffer(r["values"], np.float64) for r in told.collect()}
+    if not parts:
+        return np.zeros(1 << SPACE_BITS), 0
+    return np.concatenate([parts[k] for k in range(BLOCKS)]), int(parts[BLOCKS][0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 4096, unlabelled: int = 16_384, features: int = 1024) -> Model:
     """Model from (doc_id, toxic) and the documents, which are all taken as unlabelled text.
 
-    The driver gets two count vectors from each of 8 partitions of the sample, and then the features of its documents."""
+    The driver gets two count vectors of fixed size, and the features of the sampled documents."""
     labels = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL")
     told = labels.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     prior = (told.toxic or 0) / told.n if told.n else 0.0
@@ -143,15 +154,12 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 4096, unlabelled: i
         return constant(prior)
     known = smallest_by_hash(labels.filter("toxic = 1").select("doc_id").distinct(), positives).withColumn("toxic", F.lit(1))
     other = smallest_by_hash(docs.select("doc_id").filter("doc_id IS NOT NULL").distinct(), unlabelled).withColumn("toxic", F.lit(0))
-    sample = texts(docs).join(F.broadcast(known.unionAll(other)), "doc_id").select("text", "toxic").repartition(8)
-    parts = sample.mapInArrow(_document_counts, "toxic int, docs bigint, counts binary").collect()
-    counts, n = np.zeros((2, 1 << SPACE_BITS), np.int64), [0, 0]
-    for r in parts:
-        counts[r.toxic] += np.frombuffer(r.counts, np.int32)
-        n[r.toxic] += r.docs
-    if not n[0] or not n[1]:
+    sample = settle(texts(docs).join(F.broadcast(known.unionAll(other)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxic-sample")
+    toxic, n_toxic = document_counts(sample.filter("toxic = 1"), "toxic-counts")
+    every, n = document_counts(texts(docs), "unlabelled-counts")
+    if not n or not n_toxic:
         return constant(prior)
-    chosen = choose(counts[1], counts[0], n[1], n[0], features)
+    chosen = choose(toxic, every, n_toxic, n, min(features, 4 * n_toxic))
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +171,10 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 4096, unlabelled: i
                 out += np.split(f.astype(np.int16), np.searchsorted(row, np.arange(1, j - i)))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([x.tobytes() for x in out], pa.binary())], ["toxic", "has"])
 
-    rows = sorted((r.toxic, bytes(r.has)) for r in sample.mapInArrow(run, "toxic int, has binary").collect())
+    rows = sorted((r.toxic, bytes(r.has)) for r in sample.select("text", "toxic").mapInArrow(lean(run), "toxic int, has binary").collect())
+    shared.destroy()
     has = [[np.frombuffer(h, np.int16) for t, h in rows if t == k] for k in (0, 1)]
-    weights, bias = train(has[1], has[0], int(chosen.max()) + 1, prior)
+    weights, bias = train(has[1], has[0], int(chosen.max(initial=-1)) + 1, prior, decay=0.1 / n_toxic)
     return Model(chosen, weights, bias)
 
 
@@ -180,7 +189,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*parts, np.zeros(0)]))], ["doc_id", "score"])
 
     rows = texts(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 #: From this score on a document counts as toxic.
@@ -197,7 +206,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
             scores = [shared.value.scores(data[off[i]:off[j]], off[i:j + 1] - off[i]) for i, j in slices(off)]
             yield batch.filter(pa.array(np.concatenate([*scores, np.zeros(0)]) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
