@@ -28,9 +28,11 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.shared import bytes_of, hash_spans, new_folder, slices, texts
+from contactloom.llm.shared import bytes_of, hash_spans, lean, new_folder, slices, texts
 
 LETTER, NUMBER, WHITE, OTHER = 1, 2, 3, 0
+#: Bytes of text that one numpy step works on.
+STEP = 1 << 19
 #: White space of the Unicode standard.
 WHITE_SPACE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
                (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
@@ -405,7 +407,7 @@ def _count(share: float):
         total = 0
         for batch in batches:
             data, off = bytes_of(batch.column(0))
-            for i, j in slices(off, 1 << 21):
+            for i, j in slices(off, STEP):
                 part, own = data[off[i]:off[j]], off[i:j + 1] - off[i]
                 starts = pieces(part, own)
                 if not len(starts):
@@ -417,7 +419,7 @@ def _count(share: float):
                 for a, b, c in zip(starts[first], ends[first], n.tolist(), strict=True):
                     word = part[a:b].tobytes()
                     counts[word] = counts.get(word, 0) + c
-                if len(counts) > 1 << 21:  # rare by now; a piece loses less than half the share this way
+                if len(counts) > 1 << 18:  # rare by now; a piece loses less than half the share this way
                     least = share * total / 2
                     counts = {w: c for w, c in counts.items() if c >= least}
         kept = [(w, c) for w, c in counts.items() if c >= share * total / 2]
@@ -429,7 +431,7 @@ def _count(share: float):
 
 def frequent_pieces(docs: DataFrame, size: int = 1 << 16, share: float = 2.0**-17) -> list[bytes]:
     """The most frequent pieces over all texts, at most ``size`` of them."""
-    found = texts(docs).select("text").mapInArrow(_count(share), "piece binary, n bigint")
+    found = texts(docs).select("text").mapInArrow(lean(_count(share)), "piece binary, n bigint")
     top = found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
     return [bytes(r.piece) for r in top.collect() if len(r.piece) <= 48]
 
@@ -481,14 +483,14 @@ class Codec:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 data, off = bytes_of(batch.column(1))
-                for i, j in slices(off, 1 << 21):
+                for i, j in slices(off, STEP):
                     ids, at = encode_texts(data[off[i]:off[j]], off[i:j + 1] - off[i], mapped_lexicon(name), vocab.value)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))],
                         ["doc_id", "ids"])
 
         rows = texts(docs)
-        return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+        return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
     def decode(self, encoded: DataFrame) -> DataFrame:
         """The given columns with ``decoded``, the text of the ids, added; bytes that are no UTF-8 become U+FFFD."""
@@ -503,7 +505,7 @@ class Codec:
                 column = batch.column(place)
                 off = column.offsets.to_numpy().astype(np.int64)
                 ids = column.values.to_numpy(zero_copy_only=False)
-                for i, j in slices(off, 1 << 19):
+                for i, j in slices(off, 1 << 17):
                     part = ids[off[i]:off[j]]
                     size = (upto[1:] - upto[:-1])[part]
                     data = take_spans(raw, upto[part], size).tobytes()
@@ -512,7 +514,7 @@ class Codec:
                     yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(text, pa.string())],
                                                      [*batch.schema.names, "decoded"])
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(lean(run), schema)
 
 
 def vocabulary_path() -> str:
