@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.shared import bytes_of, class_runs, hash_ngrams, hash_spans, slices, texts
+from contactloom.llm.shared import bytes_of, class_runs, hash_ngrams, hash_spans, lean, slices, texts
 
 SHORT, THRESHOLD = 3, 0.5
 
@@ -315,5 +315,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, short: int = SHORT, t
     """The rows in whose text no test item is found, with all their columns as they are; nothing is shuffled."""
     out = docs
     for shared in rare_seeds(docs, benchmark, short, threshold, block_seeds):
-        out = out.mapInArrow(_keep_clean(shared, threshold, docs.columns.index("text")), docs.schema)
+        out = out.mapInArrow(lean(_keep_clean(shared, threshold, docs.columns.index("text"))), docs.schema)
     return out

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from contactloom.llm.byte_bpe import take_spans
 from contactloom.llm.components import components
 from contactloom.llm.katz import planes, unplanes
-from contactloom.llm.shared import bytes_of, hash_ngrams, hash_spans, mix, settle, slices, texts, words
+from contactloom.llm.shared import bytes_of, hash_ngrams, hash_spans, lean, mix, settle, slices, texts, words
 
 HASH_BITS, ROW_BITS, CLASSES, WORDS = 52, 12, 5, 16
 #: Put on the frequency of tokens outside an order's class, which come after those in it.
@@ -107,7 +107,7 @@ def document_sets(docs: DataFrame, measure: Measure, orders: int) -> DataFrame:
                      pa.array(np.stack(own, axis=1).tolist(), pa.list_(pa.int64()))], ["doc_id", "node", "n", "own"])
 
     rows = texts(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node bigint, n bigint, own array<bigint>")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node bigint, n bigint, own array<bigint>")
 
 
 def _postings(measure: Measure, orders: int, bits: int):
@@ -213,12 +213,12 @@ def prefixes(docs: DataFrame, nodes: DataFrame, measure: Measure, orders: int) -
     """Nodes that may link: (node, n, lone, prefix0, prefix1, ...), the shared tokens in the prefix under each order, and
     how many lone tokens stand before them (lone0, lone1, ...)."""
     bits = max(4, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
-    packed = (texts(docs).select("text").mapInArrow(_postings(measure, orders, bits),
+    packed = (texts(docs).select("text").mapInArrow(lean(_postings(measure, orders, bits)),
                                                     "order int, bucket int, tokens binary, row binary, nodes binary")
               .repartition("order", "bucket").sortWithinPartitions("order", "bucket")
-              .mapInArrow(_shared(bits), "order int, bucket int, nodes binary, tokens binary, often binary")
+              .mapInArrow(lean(_shared(bits)), "order int, bucket int, nodes binary, tokens binary, often binary")
               .repartition("order", "bucket").sortWithinPartitions("order", "bucket")
-              .mapInArrow(_gathered, "order int, node bigint, in_class bigint, tokens array<bigint>"))
+              .mapInArrow(lean(_gathered), "order int, node bigint, in_class bigint, tokens array<bigint>"))
     shared = settle(packed, "ngram-shared")
     out = nodes
     for k in range(orders):
@@ -285,7 +285,7 @@ def node_sets(docs: DataFrame, survivors: DataFrame, measure: Measure) -> DataFr
 
     wanted = survivors.select(F.col("rep").alias("doc_id"), F.col("node").alias("wanted"))
     rows = texts(docs).join(wanted, "doc_id").select("text", "wanted")
-    made = rows.mapInArrow(run, "node bigint, wanted bigint, tokens array<bigint>, bits array<bigint>").filter("node = wanted")
+    made = rows.mapInArrow(lean(run), "node bigint, wanted bigint, tokens array<bigint>, bits array<bigint>").filter("node = wanted")
     return settle(made.dropDuplicates(["node"]).select("node", "tokens", "bits"), "ngram-sets")
 
 
@@ -386,7 +386,7 @@ def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, measu
     left = named.filter("component <> major").select("token", F.col("block").alias("i"), every.alias("j"), F.lit(True).alias("left"), *own)
     right = named.select("token", every.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), *own)
     pairs = (left.unionAll(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-             .mapInArrow(_across(measure.percent), "a bigint, b bigint"))
+             .mapInArrow(lean(_across(measure.percent)), "a bigint, b bigint"))
     return settle(distinct_pairs(pairs), "ngram-later")
 
 
