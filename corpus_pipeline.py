@@ -5,11 +5,14 @@ one.  All but the last return the columns of documents."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.llm import byte_bpe, decontaminate, digest_index, ngram_join, toxicity
-from contactloom.llm.shared import crc_of_id, settle
+from contactloom.llm.shared import crc_of_id, hold_batches, settle
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +43,19 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(codec.decode(codec.encode(docs)), F.col("ids"))
 
 
-STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("n-gram Jaccard join", drop_near_copies),
-          ("benchmark decontamination", drop_leaks), ("BPE encoding and decoding", encode)]
+def lean(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with small batches for Python: one session runs all stages, so what one needs at most the next ones
+    find taken."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        hold_batches(spark, "4m")
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [("toxicity", lean(drop_toxic)), ("exact dedup", lean(drop_copies)), ("n-gram Jaccard join", lean(drop_near_copies)),
+          ("benchmark decontamination", lean(drop_leaks)), ("BPE encoding and decoding", lean(encode))]
 
 #: Classifier, components and token ids cannot be told in SQL; tests/llm compares each stage with a plain counterpart.
 ORACLE_SQL = None
