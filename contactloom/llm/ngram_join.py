@@ -12,8 +12,8 @@ other order too, before whole sets are compared.
 
 Groups of nodes with one prefix token are not expanded into pairs.  First each node meets the node of its group in which
 the token stands furthest to the front; links make components.  Then only nodes outside the group's largest component
-meet the others, only across components, and only where bitmaps of their sets leave a link possible; a pair is written at
-the first token that both prefixes have and at no other.  No link between components is lost, and members of one need none.
+meet the others, only across components, and only where bitmaps of their sets leave a link possible; a pair that
+met at one of the first tokens of its prefixes is not written again.  No link between components is lost, and members of one need none.
 
 Nothing here is cut off: no bound on partners, frequent tokens or group sizes.  Hashes have 52 bits for shingles and 64
 for whole sets.
@@ -298,6 +298,8 @@ def first_meetings(entries: DataFrame) -> DataFrame:
 
 #: Members of a token group that meet in one piece of work; larger groups are cut into pairs of blocks.
 BLOCK = 8192
+#: Tokens at the front of each prefix by which a pair is known to have met before.
+FRONT = 12
 
 
 def _earlier(size: np.ndarray, tokens: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
@@ -321,8 +323,8 @@ def _earlier(size: np.ndarray, tokens: np.ndarray) -> Callable[[np.ndarray, np.n
 
 def _across(percent: int):
     """Pairs of each (token, left block, right block) that may link: the left members, all outside the largest component,
-    with those right members that are in another component.  A pair leaves at the first token of the order that both
-    prefixes have, so it is written once, however many they share."""
+    with those right members that are in another component.  A pair does not leave where one of the FRONT first
+    tokens of the order has brought it together before: it is written about once, however many tokens its sets share."""
     def may(na: np.ndarray, nb: np.ndarray, most: np.ndarray) -> np.ndarray:
         most = np.minimum(np.minimum(most, na), nb)
         return 100 * most >= percent * (na + nb - most)
@@ -370,7 +372,7 @@ def _across(percent: int):
     return run
 
 
-def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, fronts: DataFrame, measure: Measure) -> DataFrame:
     """Pairs of a token group that are in different components, as far as sizes, places and bitmaps allow.
 
     The members outside the largest component meet all others.  A group of more than BLOCK members is dealt out as
@@ -379,7 +381,8 @@ def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, measu
     counts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
     major = (counts.groupBy("token").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("size"))
              .filter("kinds > 1").select("token", F.col("m.component").alias("major"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node")
+    named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node").join(fronts, "node")
+                   .withColumn("earlier", F.slice("front", F.lit(1), F.least("nth", F.lit(FRONT)))).drop("front", "nth")
                    .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "ngram-groups")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     own = ("node", "n", "place", "component", "major", "bits", "earlier")
@@ -400,12 +403,12 @@ def similar_components(docs: DataFrame, measure: Measure | None = None, orders:
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("own").alias("own")), "ngram-nodes")
     survivors = prefixes(docs, nodes.filter("rep IS NOT NULL"), measure, orders)
     sets = node_sets(docs, survivors, measure)
-    spread = survivors.select("node", "n", "lone0", "prefix0", F.posexplode("prefix0").alias("nth", "token"))
-    entries = settle(spread.withColumn("earlier", F.slice("prefix0", F.lit(1), F.col("nth"))).select(
-        "token", "node", "n", (F.col("lone0") + F.col("nth")).alias("place"), "earlier"), "ngram-entries")
+    entries = settle(survivors.select("node", "n", "lone0", F.posexplode("prefix0").alias("nth", "token")).select(
+        "token", "node", "n", (F.col("lone0") + F.col("nth")).alias("place"), "nth"), "ngram-entries")
     links = verified(first_meetings(entries), survivors, sets, measure, orders)
     labels = components(links)
-    more = verified(later_meetings(entries, labels, sets, measure), survivors, sets, measure, orders)
+    later = later_meetings(entries, labels, sets, survivors.select("node", F.slice("prefix0", 1, FRONT).alias("front")), measure)
+    more = verified(later, survivors, sets, measure, orders)
     labels = components(links.unionAll(more))
     first = labels.join(nodes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = nodes.select("node", "rep").join(labels.join(first, "component").select("node", "component_id"), "node", "left")
