@@ -20,7 +20,7 @@ from contactloom.operators import joins as J
 from contactloom.operators import pick as P
 from contactloom.operators import reshape as R
 from contactloom.operators.ranking import global_rank
-from contactloom.operators.sequence import repeat_flags, split_row_number
+from contactloom.operators.sequence import repeat_flags, row_numbers
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.plans import activity as act
 from contactloom.plans import email_engagement as mail
@@ -333,9 +333,7 @@ EVENT_FUNNEL_SQL = f"""SELECT *, greatest(total_sends - total_bounces, 0) AS tot
 
 
 def net_bounce_rows(t):
-    rows = act.marketing_activity(t).filter((F.upper("source_code") == "SFMC") & (F.upper("activity_subchannel") == "EMAIL")
-                                            & (F.col("bounce_activity_seq_number") == 1))
-    return A.net_bounce(rows.withColumn("_kind", F.upper("activity_type")), ["mdm_id", "actual_tactic_code"], "_kind", "date_nbr")
+    return act.net_bounces(act.newest_activity(t))
 
 
 NET_INTS = "email_opened email_bounced email_sent clicked_link_on_email bounce_flag"
@@ -395,8 +393,7 @@ def sequence_rows(t):
     """Newest first per customer and status; a third of the rows share one key."""
     rows = t["orders"].select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice", F.when(F.col("o_orderkey") % 3 == 0, None).otherwise(
         F.col("o_custkey")).alias("who")).withColumn("d", F.to_date("o_orderdate"))
-    out = split_row_number(rows, ["who", "o_orderstatus"], ["d"], [F.col("d").desc()],
-                           [F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey").asc()], "seq")
+    out = row_numbers(rows, ["who", "o_orderstatus"], [F.col("d").desc(), F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey").asc()], "seq")
     return out.select("o_orderkey", "seq")
 
 

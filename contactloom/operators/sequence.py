@@ -1,8 +1,7 @@
 """Numbering rows within keys without giving any key to a single task.
 
 row_number() over a key sorts the whole key in one task.  ``row_numbers`` cuts any key into ranges of its order and
-carries counts over the borders.  ``split_row_number`` is for orders whose coarse part (say the day) already cuts every
-key into groups that a task can hold: it needs no written copy."""
+carries counts over the borders; ``repeat_flags`` needs no numbers at all."""
 
 from __future__ import annotations
 
@@ -15,29 +14,10 @@ from pyspark.sql import functions as F
 from contactloom.sources.tables import settle
 
 
-def _group_of(columns: Sequence[str]) -> Column:
-    # a struct equals another one field by field with NULL equal to NULL, so it can be joined on
-    return F.struct(*[F.col(c) for c in columns])
-
-
-def split_row_number(df: DataFrame, keys: Sequence[str], coarse: Sequence[str],
-                     coarse_order: Sequence[Column], fine_order: Sequence[Column],
-                     out: str, counted: DataFrame | None = None) -> DataFrame:
-    """``row_number() over (partition by keys order by coarse_order, fine_order)``.
-
-    ``counted`` may name a cheaper frame with the same rows to take the group counts from."""
-    group = [*keys, *coarse]
-    earlier = Window.partitionBy(*keys).orderBy(*coarse_order).rowsBetween(
-        Window.unboundedPreceding, -1)
-    shift = ((df if counted is None else counted).groupBy(*group).agg(F.count("*").alias("_n"))
-             .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-             .select(_group_of(group).alias("_group"), "_before"))
-    inside = Window.partitionBy("_group").orderBy(*fine_order)
-    return (df.withColumn("_group", _group_of(group))
-            .withColumn("_inside", F.row_number().over(inside))
-            .join(shift, "_group")
-            .withColumn(out, F.col("_inside") + F.col("_before"))
-            .drop("_group", "_inside", "_before"))
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], label: str) -> DataFrame:
+    """The rows dealt into ranges of (keys, order) of about one size, written with the number of their range."""
+    ranges = df.repartitionByRange(*[F.col(k).asc() for k in keys], *order)
+    return settle(ranges.withColumn("_range", F.spark_partition_id()), label)
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, label: str = "numbers") -> DataFrame:
@@ -48,8 +28,7 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out
     lost.  They are numbered inside (range, key).  Only a key that began in an earlier range carries a count over from there:
     one row per range at most, which is all that is broadcast.  ``order`` should tell rows of a key apart: ties stay in one
     range, and which of them comes first is open.  Rows travel twice, so bring narrow ones and join the rest back."""
-    ranges = df.repartitionByRange(*[F.col(k).asc() for k in keys], *order)
-    placed = settle(ranges.withColumn("_range", F.spark_partition_id()), label)
+    placed = in_ranges(df, keys, order, label)
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = (placed.groupBy("_range", *keys).agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(earlier))
                .filter("_before > 0").select(F.struct("_range", *keys).alias("_carried"), "_before"))
@@ -66,10 +45,13 @@ def repeat_flags(df: DataFrame, keys: Sequence[str], grains: Mapping[str, Sequen
 
     ``grains`` maps a flag name to the columns that refine ``keys`` (none for the overall flag).  ``order``
     is ascending with NULLs first, and tells every row from all others.  The first row of a group is a minimum,
-    which is combined before the shuffle, so no group meets in a task however many rows it has; the
-    firsts then meet the rows on the whole order, which is unique."""
+    which is combined before the shuffle, so no group meets in a task however many rows it has.  The
+    minima of the finest groups are taken once and rolled up to the grains; the firsts then meet the rows on the
+    whole order, which is unique."""
     rows = df.withColumn("_order", F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)]))
-    firsts = [rows.groupBy(*keys, *extra).agg(F.min("_order").alias("_order")).select("_order", F.lit(flag).alias("_flag"))
+    refined = dict.fromkeys(c for extra in grains.values() for c in extra)
+    finest = rows.groupBy(*keys, *refined).agg(F.min("_order").alias("_order"))
+    firsts = [finest.groupBy(*keys, *extra).agg(F.min("_order").alias("_order")).select("_order", F.lit(flag).alias("_flag"))
               for flag, extra in grains.items()]
     marks = (reduce(DataFrame.unionAll, firsts).groupBy("_order")
              .agg(*[F.max(F.col("_flag") == flag).alias(f"_first_{flag}") for flag in grains]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from contactloom.operators.aggregates import net_bounce
 from contactloom.operators.joins import drop_matching, left_lookup, spread_lookup
 from contactloom.operators.pick import first_per_key, newest
 from contactloom.operators.reshape import union_conformed
-from contactloom.operators.sequence import repeat_flags, split_row_number
+from contactloom.operators.sequence import repeat_flags, row_numbers
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.sources.contracts import COMBINED
 from contactloom.sources.tables import settle
@@ -65,54 +65,100 @@ def _definitions(t: Frames) -> DataFrame:
     return t["kpi_definition"].filter(open_ended("end_date"))
 
 
-def marketing_activity(t: Frames) -> DataFrame:
-    """One row per activity with tactic, kit, definition, party, brand and call-plan columns.
-
-    Written to the shared folder, because every other activity plan reads it several times."""
+# Lookups that a column stands on; all others come from the fact alone.
+_STANDS_ON = {
+    "definition": {"activity_source", "type", "activity_subchannel", "activity_vendor", "metric_type", "metric_type_null_flag", "comments",
+                   "hcp_tactic_type", "activity_channel", "activity_source_channel", "source_type", "activity_type", "tactic_em_type", *_FLAGS},
+    "tactic": {*_TACTIC, "tactic_code_flag"},
+    "kit": {"kit_code", "kit_code_flag", *_KIT[1:]},
+    "brand": {"product_name", "therapeutic_area"},
+    "area": {"therapeutic_area"},
+    "party": {"customer_type", "party_class", "party_subtype"},
+    "plan": {"sf_target"},
+}
+#: Lookups by keys that one value may own a third of: they move every row.
+_MOVING = ("party", "plan")
+_NUMBERS = {"activity_seq_number": "tactic_code", "bounce_activity_seq_number": "actual_tactic_code"}
+
+
+def activity_rows(t: Frames, columns: Sequence[str] | None = None, where: Column | None = None) -> DataFrame:
+    """One row per activity with the columns that the reader asks for (all but the numbers if it does not say), lazily.
+
+    Only the lookups that these columns stand on are joined.  ``where`` speaks of the fact's own columns and holds before
+    any lookup, so it reaches the fact's scan."""
+    made = _activity_columns()
+    columns = list(made) if columns is None else list(columns)
+    needs = {name for name, own in _STANDS_ON.items() if own & set(columns)}
     source = t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
-    # The fact is wide and all of it is kept: it travels through the joins as one struct, which
-    # is copied in one piece, next to the few columns that are joined on.
-    facts = source.select(
-        F.struct(*source.columns).alias("_fact"), F.col("integration_key").alias("_row_id"),
-        F.col("mk_account_vnt_id").alias("_account"), F.col("mk_patient_gne_id").alias("_person"),
-        F.to_date("activity_time").alias("_on"), folded("activity_type_name").alias("_type"),
-        folded("channel_name").alias("_channel"), F.upper("tactic_cd").alias("_tactic_up"),
-        E.tactic_code("source_cd", "tactic_cd", fold=False).alias("_tactic_key"),
-        F.upper("mk_product_brand_pm_id").alias("_brand"), F.upper("mk_therapeutic_class_pm_id").alias("_class"))
-    definitions = _definitions(t).withColumns({"_t": folded("activity_type_key2"),
-                                               "_c": folded("activity_source_key1")})
-    rows = left_lookup(facts, definitions, {"_type": "_t", "_channel": "_c"},
-                       {f"_def_{c}": c for c in _DEFINITION})
-    tactics = first_per_key(t["tactic_definition"], ["activity_tactic_code"],
-                            [newest("tactic_expiration_date", nulls_last=True), newest("tactic_title")])
-    rows = left_lookup(rows, tactics, {"_tactic_key": "activity_tactic_code"},
-                       {f"_tac_{c}": c for c in _TACTIC})
-    kits = t["kit_code_definition"].withColumn("_k", F.upper("activity_tactic_code"))
-    rows = left_lookup(rows, kits, {"_tactic_up": "_k"}, {f"_kit_{c}": c for c in _KIT})
-    brand = t["brand_master"].withColumn("_b", F.upper("mk_product_brand_pm_id"))
-    rows = left_lookup(rows, brand, {"_brand": "_b"}, {"_brand_name": "product_brand_name"})
-    area = t["therapeutic_class_master"].withColumn("_c", F.upper("mk_therapeutic_class_pm_id"))
-    rows = left_lookup(rows, area, {"_class": "_c"}, {"_area": "therapeutic_class"})
+    if where is not None:
+        source = source.filter(where)
+    rows = source.withColumns({
+        "_row_id": F.col("integration_key"), "_account": F.col("mk_account_vnt_id"), "_person": F.col("mk_patient_gne_id"),
+        "_on": F.to_date("activity_time"), "_type": folded("activity_type_name"),
+        "_channel": folded("channel_name"), "_tactic_up": F.upper("tactic_cd"),
+        "_tactic_key": E.tactic_code("source_cd", "tactic_cd", fold=False),
+        "_brand": F.upper("mk_product_brand_pm_id"), "_class": F.upper("mk_therapeutic_class_pm_id")})
+    if "definition" in needs:
+        definitions = _definitions(t).withColumns({"_t": folded("activity_type_key2"), "_c": folded("activity_source_key1")})
+        rows = left_lookup(rows, definitions, {"_type": "_t", "_channel": "_c"}, {f"_def_{c}": c for c in _DEFINITION})
+    if "tactic" in needs:
+        tactics = first_per_key(t["tactic_definition"], ["activity_tactic_code"],
+                                [newest("tactic_expiration_date", nulls_last=True), newest("tactic_title")])
+        rows = left_lookup(rows, tactics, {"_tactic_key": "activity_tactic_code"}, {f"_tac_{c}": c for c in _TACTIC})
+    if "kit" in needs:
+        kits = t["kit_code_definition"].withColumn("_k", F.upper("activity_tactic_code"))
+        rows = left_lookup(rows, kits, {"_tactic_up": "_k"}, {f"_kit_{c}": c for c in _KIT})
+    if "brand" in needs:
+        brand = t["brand_master"].withColumn("_b", F.upper("mk_product_brand_pm_id"))
+        rows = left_lookup(rows, brand, {"_brand": "_b"}, {"_brand_name": "product_brand_name"})
+    if "area" in needs:
+        area = t["therapeutic_class_master"].withColumn("_c", F.upper("mk_therapeutic_class_pm_id"))
+        rows = left_lookup(rows, area, {"_class": "_c"}, {"_area": "therapeutic_class"})
     # person rows all carry account -1 and the other way round: spread those keys
-    rows = spread_lookup(rows, t["patient_dim"], "_person", "mk_patient_gne_id", "_row_id",
-                         {"_patient_class": "patient_class"})
-    rows = spread_lookup(rows, t["account_dim"], "_account", "mk_account_vnt_id", "_row_id",
-                         {"_account_class": "account_class"})
-    rows = _with_target(rows, target_spans(t), "_account", "_row_id", F.col("_on"))
-    rows = rows.select("_fact.*", *[c for c in rows.columns if c != "_fact"]).select(*_activity_columns())
-    # the joined rows are read by two counts and by the numbering: make them once
-    joined = settle(rows, "activity-joined")
-    ordered = [newest("_at"), newest("_row_id")]
-    keys = {"_who": "mdm_id", "_type": "activity_type", "_code": "tactic_code", "_actual": "actual_tactic_code",
-            "_on": "time_date", "_at": "date_timestamp", "_row_id": "integration_key"}
-    counted = joined.select(*[F.col(old).alias(new) for new, old in keys.items()])
-    rows = joined.select(F.struct(*joined.columns).alias("_row"), *[F.col(old).alias(new) for new, old in keys.items()])
-    for out, code in (("activity_seq_number", "_code"), ("bounce_activity_seq_number", "_actual")):
-        rows = split_row_number(rows, ["_who", "_type", code], ["_on"], [F.col("_on").desc()], ordered, out, counted)
-    return settle(rows.select("_row.*", "activity_seq_number", "bounce_activity_seq_number"), "activity")
-
-
-def _activity_columns() -> list[Column]:
+    if "party" in needs:
+        rows = spread_lookup(rows, t["patient_dim"], "_person", "mk_patient_gne_id", "_row_id", {"_patient_class": "patient_class"})
+        rows = spread_lookup(rows, t["account_dim"], "_account", "mk_account_vnt_id", "_row_id", {"_account_class": "account_class"})
+    if "plan" in needs:
+        rows = _with_target(rows, target_spans(t), "_account", "_row_id", F.col("_on"))
+    return rows.select(*[made[c].alias(c) for c in columns])
+
+
+def activity_numbers(t: Frames) -> DataFrame:
+    """Both numbers of every activity, newest first, under its integration key; keys of any size are cut into ranges."""
+    rows = activity_rows(t, ["integration_key", "mdm_id", "activity_type", *_NUMBERS.values(), "time_date", "date_timestamp"])
+    order = [newest("time_date"), newest("date_timestamp"), newest("integration_key")]
+    for out, code in _NUMBERS.items():
+        rows = row_numbers(rows, ["mdm_id", "activity_type", code], order, out, "activity-numbers")
+    return rows.select("integration_key", *_NUMBERS)
+
+
+def activity_product(t: Frames) -> DataFrame:
+    """The whole activity, written once to the shared folder in a partition per month (``activity_month``), so that readers
+    with a lower bound leave the older files alone.
+
+    What moves rows by account or person, and the numbers, are worked out on narrow rows and meet the wide ones on the
+    integration key, which is the fact's key and tells its rows apart."""
+    moved = [c for name in _MOVING for c in _STANDS_ON[name]]
+    every = list(_activity_columns())
+    wide = activity_rows(t, [c for c in every if c not in moved])
+    wide = wide.join(activity_rows(t, ["integration_key", *moved]), "integration_key").join(activity_numbers(t), "integration_key")
+    wide = wide.select(*every, *_NUMBERS, month_start("time_date").alias("activity_month"))
+    return settle(wide.hint("rebalance", "activity_month"), "activity", "activity_month")
+
+
+def marketing_activity(t: Frames) -> DataFrame:
+    """One row per activity with tactic, kit, definition, party, brand and call-plan columns, and its numbers."""
+    return activity_product(t).drop("activity_month")
+
+
+def since(rows: DataFrame, first: str) -> DataFrame:
+    """Rows from a day on, that being the first of a month; a product in monthly partitions is read from there."""
+    if "activity_month" in rows.columns:
+        rows = rows.filter(F.col("activity_month") >= as_date(first))
+    return rows.filter(F.col("time_date") >= as_date(first))
+
+
+def _activity_columns() -> dict[str, Column]:
     account, person, raw = "mk_account_vnt_id", "mk_patient_gne_id", "customer_identity_value"
     owner = record_owner(account, person)
     d = {c: F.col(f"_def_{c}") for c in _DEFINITION}
@@ -178,8 +224,7 @@ def _activity_columns() -> list[Column]:
         "firewall_click_flag": E.firewall_click("attribute_24_name", "attribute_24_value"),
     }
     attributes = [f"attribute_{i}_{part}" for i in SLOTS for part in ("name", "value")]
-    return [*[F.col(c) for c in _KEPT], *[F.col(old).alias(n) for n, old in _RENAMED.items()],
-            *[F.col(a) for a in attributes], *[c.alias(n) for n, c in new.items()]]
+    return {**{c: F.col(c) for c in _KEPT}, **{n: F.col(old) for n, old in _RENAMED.items()}, **{a: F.col(a) for a in attributes}, **new}
 
 
 # Columns of the activity that the bounce view passes on (fixed values).
@@ -199,13 +244,26 @@ _BOUNCE_VIEW = """acted_flag activity_channel activity_class activity_em_categor
     activity_em_number_with_ab_split""".split()
 
 
+def net_bounces(latest: DataFrame) -> DataFrame:
+    """Net-bounce figures per customer and tactic, from the newest activity of each type."""
+    mailed = latest.filter((F.upper("source_code") == "SFMC") & (F.upper("activity_subchannel") == "EMAIL"))
+    kinds = mailed.select("mdm_id", "actual_tactic_code", F.upper("activity_type").alias("_kind"), "date_nbr")
+    return net_bounce(kinds, ["mdm_id", "actual_tactic_code"], "_kind", "date_nbr")
+
+
+def newest_activity(t: Frames) -> DataFrame:
+    """The newest activity per customer, type and tactic, without numbering the others."""
+    rows = activity_rows(t, """mdm_id activity_type actual_tactic_code source_code activity_subchannel date_nbr time_date
+        date_timestamp integration_key""".split())
+    return first_per_key(rows, ["mdm_id", "activity_type", "actual_tactic_code"],
+                         [newest("time_date"), newest("date_timestamp"), newest("integration_key")])
+
+
 def activity_with_bounce(activity: DataFrame) -> DataFrame:
-    """Net-bounce flag per customer and tactic, and flags for repeated sends."""
-    mailed = activity.filter((F.upper("source_code") == "SFMC") & (F.upper("activity_subchannel") == "EMAIL")
-                             & (F.col("bounce_activity_seq_number") == 1))
-    latest = mailed.select("mdm_id", "actual_tactic_code", F.upper("activity_type").alias("_kind"), "date_nbr")
-    bounced = net_bounce(latest, ["mdm_id", "actual_tactic_code"], "_kind", "date_nbr")
-    rows = activity.select(*_BOUNCE_VIEW, "base_tactic")
+    """Net-bounce flag per customer and tactic, and flags for repeated sends.  A month of the activity stays."""
+    months = [c for c in activity.columns if c == "activity_month"]
+    bounced = net_bounces(activity.filter(F.col("bounce_activity_seq_number") == 1))
+    rows = activity.select(*_BOUNCE_VIEW, "base_tactic", *months)
     rows = left_lookup(rows, bounced, {"mdm_id": "mdm_id", "actual_tactic_code": "actual_tactic_code"},
                        {"_bounce": "bounce_flag"})
     rows = rows.withColumn("_month", month_start("time_date"))
@@ -214,7 +272,7 @@ def activity_with_bounce(activity: DataFrame) -> DataFrame:
                         [F.col("_bounce").isNull(), F.col("_bounce"), F.col("time_date"), F.col("date_timestamp"),
                          F.col("integration_key").isNull(), F.col("integration_key")])
     sent = (F.upper("activity_type") == "EMAIL SENT") & F.upper("source_code").isin(V.RESEND_SOURCES)
-    return rows.select(*_BOUNCE_VIEW,
+    return rows.select(*_BOUNCE_VIEW, *months,
                        yes_no(F.col("_month_repeat") & sent).alias("monthly_resends_exclude_flag"),
                        yes_no(F.col("_repeat") & sent).alias("overall_resends_exclude_flag"),
                        F.coalesce("_bounce", F.lit(0)).alias("bounce_flag"))
@@ -296,7 +354,7 @@ def event_branch(t: Frames, spans: DataFrame, states: DataFrame, as_of: date) ->
 
 
 def digital_branch(flagged: DataFrame, as_of: date) -> DataFrame:
-    rows = flagged.filter((F.col("time_date") >= as_date(COMBINED_FROM)) & (F.col("time_date") < as_date(as_of)))
+    rows = since(flagged, COMBINED_FROM).filter(F.col("time_date") < as_date(as_of))
     deep, light, contacted = (F.upper(c) == "Y" for c in ("deep_flag", "light_flag", "contacted_flag"))
     coded = F.concat("tactic_title", F.lit("("), "tactic_code", F.lit(")"))
     offered = F.concat("activity_offer_description", F.lit("("), "tactic_code", F.lit(")"))

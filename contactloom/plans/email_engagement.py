@@ -14,6 +14,7 @@ from contactloom.operators.aggregates import delivered, email_funnel, rollup_gra
 from contactloom.operators.joins import left_lookup
 from contactloom.operators.pick import first_touch
 from contactloom.operators.sequence import repeat_flags
+from contactloom.plans.activity import activity_rows, since
 
 Frames = Mapping[str, DataFrame]
 
@@ -24,6 +25,12 @@ _PASSED = """activity_offer_description product_name therapeutic_area activity_t
     base_tactic activity_em_number activity_em_number_with_ab_split destination_id_type
     destination_id_value unsubcribe_clicks_flag firewall_click_flag is_active geo_region_code""".split()
 
+# Columns of the activity that the base reads.
+_READ = [*(c for c in _PASSED if c not in ("month_date", "week_begin_date", "base_tactic")), *"""mdm_id activity_subchannel source_code
+    customer_type tactic_code alignment_string date_timestamp integration_key orig_tactic_code_of_resends
+    activity_em_category activity_em_stream activity_sub_stream""".split()]
+MAIL_FROM = "2019-01-01"
+
 
 def web_lead_source(t: Frames, customer: Column) -> DataFrame:
     """Site of each customer's first web registration, under the key the caller joins on."""
@@ -44,11 +51,20 @@ def plain_key() -> Column:
     return resolve_identity("mk_account_vnt_id", "mk_patient_gne_id", "customer_identity_value", prefix=False)
 
 
-def email_base(t: Frames, activity: DataFrame, ranking: DataFrame) -> DataFrame:
-    """Mail activity with first-touch and segment columns, and repeat flags at three grains."""
-    mail = activity.filter((F.upper("activity_subchannel") == "EMAIL") & (F.upper("source_code") == "SFMC")
-                           & F.upper("customer_type").isin("PATIENT", "HCP", "CONTACT")
-                           & (month_start("time_date") >= as_date("2019-01-01")))
+def mail_activity(t: Frames) -> DataFrame:
+    """Mail activity since MAIL_FROM straight from the fact: its source and time are filters of the scan, and no lookup is
+    made but those that its columns stand on."""
+    days = month_start("activity_time") >= as_date(MAIL_FROM)
+    return activity_rows(t, _READ, (F.upper("source_cd") == "SFMC") & days & (F.col("activity_time") >= as_date(MAIL_FROM)))
+
+
+def email_base(t: Frames, ranking: DataFrame, activity: DataFrame | None = None) -> DataFrame:
+    """Mail activity with first-touch and segment columns, and repeat flags at three grains.
+
+    The activity may be given, as a product with monthly partitions or not; else it is taken from the fact."""
+    mail = since(mail_activity(t) if activity is None else activity, MAIL_FROM)
+    mail = mail.filter((F.upper("activity_subchannel") == "EMAIL") & (F.upper("source_code") == "SFMC")
+                       & F.upper("customer_type").isin("PATIENT", "HCP", "CONTACT"))
     mail = mail.withColumns({"month_date": month_start("time_date"), "week_begin_date": week_start("time_date"),
                              "base_tactic": base_tactic("actual_tactic_code", F.upper("tactic_code"))})
     mail = left_lookup(mail, ranking, {"mdm_id": "mdm_id"}, {c: c for c in _SEGMENTS})

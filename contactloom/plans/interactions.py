@@ -13,7 +13,7 @@ from contactloom.functions.scalar import any_slot_equals, day_from_digits, first
 from contactloom.operators.joins import left_lookup, renamed_apart
 from contactloom.operators.pick import group_distinct
 from contactloom.operators.reshape import union_conformed
-from contactloom.plans.activity import look_up_mail, mail_events, unanswered_mails
+from contactloom.plans.activity import activity_rows, look_up_mail, mail_events, unanswered_mails
 from contactloom.sources.contracts import FLEX_COLUMNS, INTERACTION
 
 Frames = Mapping[str, DataFrame]
@@ -34,10 +34,20 @@ def _with_status(rows: DataFrame, t: Frames, key: str) -> DataFrame:
                        {"is_active_flag": "account_status_name"}, how="inner")
 
 
-def digital_interactions(t: Frames, activity: DataFrame) -> DataFrame:
-    """Grouped on more columns than are kept, so equal output rows may remain."""
-    rows = activity.filter(~F.upper("source_code").isin("KNIPPER", "SFDC_US")
-                           & F.upper("product_name").isin(V.ALZ_BRANDS))
+# Columns of the activity that the digital interactions read.
+_READ = """mdm_id product_name source_code source_channel_lvl2_name actual_tactic_code time_date activity_type session_id
+    tactic_title tactic_document_name approvedfordistribution_date is_active activity_offer_description attribute_2_value
+    destination_id_type destination_id_value""".split()
+_OTHER_SOURCES = ("KNIPPER", "SFDC_US")
+
+
+def digital_interactions(t: Frames, activity: DataFrame | None = None) -> DataFrame:
+    """Grouped on more columns than are kept, so equal output rows may remain.
+
+    Without a finished activity the rows come from the fact, whose scan leaves out the other sources."""
+    if activity is None:
+        activity = activity_rows(t, _READ, ~F.upper("source_cd").isin(*_OTHER_SOURCES))
+    rows = activity.filter(~F.upper("source_code").isin(*_OTHER_SOURCES) & F.upper("product_name").isin(V.ALZ_BRANDS))
     rows = _with_status(rows, t, "mdm_id").withColumns({
         "website": F.when(F.upper("source_code") == "WEB_NEURO", F.upper(F.trim("attribute_2_value"))),
         "click_through_url": F.when(F.upper("destination_id_type") == "URL", F.col("destination_id_value"))})
@@ -113,7 +123,7 @@ def program_interactions(t: Frames) -> DataFrame:
                        F.coalesce("_type", "event_type").alias("event_type"), "is_active_flag")
 
 
-def interactions(t: Frames, activity: DataFrame) -> DataFrame:
+def interactions(t: Frames, activity: DataFrame | None = None) -> DataFrame:
     answered = look_up_mail(t, mail_events(t, how="inner"), required=True)
     events = t["crm_email_activity"].filter(F.col("activity_datetime_vod__c").isNotNull())
     return union_conformed(

@@ -17,6 +17,7 @@ from contactloom.operators.joins import exists_flag, left_lookup
 from contactloom.operators.pick import first_per_key, newest
 from contactloom.operators.ranking import global_rank
 from contactloom.plans.email_engagement import plain_key, web_lead_source
+from contactloom.sources.tables import settle
 
 Frames = Mapping[str, DataFrame]
 
@@ -82,6 +83,8 @@ def professional_ranking(t: Frames, target_list: DataFrame, as_of: date) -> Data
         "sf_target", *[c for c in measures if c.endswith("_12_months")],
         *[F.when(F.col(f"{stem}_units_12_months") > 0, 1).otherwise(0).alias(out) for out, stem in V.WRITER_INDICATORS.items()],
         *V.SHORT_WINDOW_UNITS)
+    # read by both ranks and by the result: the joins above run once
+    rows = settle(rows, "ranking")
     market, *rest = [F.col(c).desc() for c in V.SHORT_WINDOW_UNITS]
     own = [*rest, F.col("mdm_id").asc_nulls_last()]
     first, *others = V.SHORT_WINDOW_UNITS

@@ -65,7 +65,7 @@ def write_products(products: Mapping[str, DataFrame], prefix: str, partitions: M
     return {name: materialize_table(df, f"{prefix}_{name}", (partitions or {}).get(name)) for name, df in products.items()}
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the files.
 
     For results that are costly to make and read more than once.  Readers of a few columns read
@@ -73,7 +73,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     Every call takes a new folder; who owns the shared folder cleans it."""
     use_checkpoint_dir(df.sparkSession)
     folder = df.sparkSession.sparkContext.getCheckpointDir()
-    return materialize(df, f"{folder}/{label}-{uuid.uuid4().hex}")
+    return materialize(df, f"{folder}/{label}-{uuid.uuid4().hex}", partition_by)
 
 
 def view(name: str, df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from contactloom.operators.aggregates import bounce_summary, count_distinct_when
 from contactloom.operators.pick import first_per_key, newest, oldest
 from contactloom.operators.ranking import global_rank
 from contactloom.operators.reshape import conform, union_conformed, unpivot_cols
-from contactloom.operators.sequence import repeat_flags, split_row_number
+from contactloom.operators.sequence import in_ranges, repeat_flags, row_numbers
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.sources.contracts import COMBINED, INTERACTION, TARGET_LIST
 
@@ -35,11 +35,21 @@ def hot(spark):
         (F.col("id") % 5).alias("hour")).repartition(6)
 
 
-def test_split_row_number_equals_window(hot):
-    plain = Window.partitionBy("key").orderBy(F.col("day").desc_nulls_first(), F.col("hour").desc(), F.col("id").asc())
-    expected = hot.select("id", F.row_number().over(plain).alias("n"))
-    got = split_row_number(hot, ["key"], ["day"], [F.col("day").desc_nulls_first()], [F.col("hour").desc(), F.col("id").asc()], "n")
-    assert rows_of(got.select("id", "n")) == rows_of(expected)
+def test_row_numbers_equal_window(hot):
+    order = [F.col("day").desc_nulls_first(), F.col("hour").desc(), F.col("id").asc()]
+    expected = hot.select("id", F.row_number().over(Window.partitionBy("key").orderBy(*order)).alias("n"))
+    assert rows_of(row_numbers(hot, ["key"], order, "n").select("id", "n")) == rows_of(expected)
+    assert row_numbers(hot.filter("false"), ["key"], order, "n").isEmpty()
+
+
+def test_row_numbers_split_any_key(spark):
+    """Half of all rows share key and day: no range has more than twice the mean, and the numbers run through all of them."""
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("key"), F.lit(date(2024, 1, 1)).alias("day"))
+    order = [F.col("day").desc(), F.col("id").asc()]
+    sizes = [r["count"] for r in in_ranges(rows, ["key"], order, "test-ranges").groupBy("_range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    got = row_numbers(rows, ["key"], order, "n").filter("key = 0").orderBy("id").collect()
+    assert [r.n for r in got] == list(range(1, 20_001))
 
 
 def test_repeat_flags_equal_windows(hot):
