@@ -27,6 +27,8 @@ from contactloom.sources.tables import settle
 Frames = Mapping[str, DataFrame]
 MARKETING_FROM, COMBINED_FROM = "2015-01-01", "2019-01-01"
 SLOTS = range(1, 26)
+#: About how many months an activity spans, to share out partitions by.
+MONTHS = 64
 
 # Column names of the fact and definition tables and of the result (fixed values).
 _KEPT = """customer_identity_value customer_identity_type rep_id territory_id session_id transaction_id
@@ -92,12 +94,16 @@ def activity_rows(t: Frames, columns: Sequence[str] | None = None, where: Column
     source = t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
     if where is not None:
         source = source.filter(where)
-    rows = source.withColumns({
+    keys = {
         "_row_id": F.col("integration_key"), "_account": F.col("mk_account_vnt_id"), "_person": F.col("mk_patient_gne_id"),
         "_on": F.to_date("activity_time"), "_type": folded("activity_type_name"),
         "_channel": folded("channel_name"), "_tactic_up": F.upper("tactic_cd"),
         "_tactic_key": E.tactic_code("source_cd", "tactic_cd", fold=False),
-        "_brand": F.upper("mk_product_brand_pm_id"), "_class": F.upper("mk_therapeutic_class_pm_id")})
+        "_brand": F.upper("mk_product_brand_pm_id"), "_class": F.upper("mk_therapeutic_class_pm_id")}
+    # A fact that is kept nearly whole travels through the joins as one struct, which is copied in one piece, next to the
+    # few columns that are joined on; of a fact that few columns are asked of, the scan reads only those.
+    packed = len(columns) > len(made) // 2
+    rows = source.select(*([F.struct(*source.columns).alias("_fact")] if packed else source.columns), *[c.alias(n) for n, c in keys.items()])
     if "definition" in needs:
         definitions = _definitions(t).withColumns({"_t": folded("activity_type_key2"), "_c": folded("activity_source_key1")})
         rows = left_lookup(rows, definitions, {"_type": "_t", "_channel": "_c"}, {f"_def_{c}": c for c in _DEFINITION})
@@ -120,6 +126,8 @@ def activity_rows(t: Frames, columns: Sequence[str] | None = None, where: Column
         rows = spread_lookup(rows, t["account_dim"], "_account", "mk_account_vnt_id", "_row_id", {"_account_class": "account_class"})
     if "plan" in needs:
         rows = _with_target(rows, target_spans(t), "_account", "_row_id", F.col("_on"))
+    if packed:
+        rows = rows.select("_fact.*", *[c for c in rows.columns if c != "_fact"])
     return rows.select(*[made[c].alias(c) for c in columns])
 
 
@@ -141,9 +149,14 @@ def activity_product(t: Frames) -> DataFrame:
     moved = [c for name in _MOVING for c in _STANDS_ON[name]]
     every = list(_activity_columns())
     wide = activity_rows(t, [c for c in every if c not in moved])
-    wide = wide.join(activity_rows(t, ["integration_key", *moved]), "integration_key").join(activity_numbers(t), "integration_key")
-    wide = wide.select(*every, *_NUMBERS, month_start("time_date").alias("activity_month"))
-    return settle(wide.hint("rebalance", "activity_month"), "activity", "activity_month")
+    wide = wide.select("integration_key", month_start("time_date").alias("activity_month"), F.struct(*wide.columns).alias("_row"))
+    side = activity_rows(t, ["integration_key", *moved]).join(activity_numbers(t), "integration_key")
+    # a month goes to as many tasks as there are partitions for it, each of which writes one file of it
+    n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("integration_key"), F.lit(max(1, n // MONTHS)))
+    whole = wide.join(side, "integration_key").repartition(n, "activity_month", share)
+    whole = whole.select("_row.*", *moved, *_NUMBERS, "activity_month").select(*every, *_NUMBERS, "activity_month")
+    return settle(whole, "activity", "activity_month")
 
 
 def marketing_activity(t: Frames) -> DataFrame:
