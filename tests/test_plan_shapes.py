@@ -10,6 +10,9 @@ from checks.catalog import all_checks
 from checks.registry import open_tables
 from contactloom.operators.pick import first_per_key, newest, oldest
 from contactloom.operators.ranking import global_rank
+from contactloom.plans import activity
+from contactloom.plans.email_engagement import mail_activity
+from contactloom.plans.interactions import digital_interactions
 
 LIGHT = ["event_mail_funnel", "first_per_key", "activity_sequence", "repeat_flags", "interval_join", "sentinel_spread_join", "anti_join_null_guard",
          "bounce_summary", "trailing_units", "earliest_cause_and_clamp", "suppression_waterfall", "affiliation", "patient_party_base",
@@ -56,3 +59,19 @@ def test_global_rank_sorts_no_row_in_a_single_partition(spark):
 def test_aggregates_combine_before_the_shuffle(spark):
     plan = plan_of(all_checks()["trailing_units"].query(spark, SF))
     assert "partial_sum" in plan
+
+
+def test_bounded_readers_prune_months_of_the_activity(spark):
+    product = activity.activity_product(open_tables(spark, SF))
+    plan = plan_of(activity.since(product, "2019-01-01").select("mdm_id"))
+    assert "activity_month" in re.search(r"PartitionFilters: \[([^\]]*)", plan)[1]
+
+
+def test_readers_on_demand_write_nothing(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(activity, "settle", lambda df, label, *rest: written.append(label) or df)
+    tables = open_tables(spark, SF)
+    activity.net_bounces(activity.newest_activity(tables))
+    mail_activity(tables)
+    digital_interactions(tables)
+    assert not written
