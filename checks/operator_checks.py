@@ -212,6 +212,15 @@ def hot_lookup(t):
     return J.spread_lookup(facts, dim, "key", "id", "o_orderkey", {"name": "c_name"})
 
 
+def unnamed_hot_lookup(t):
+    """A third of the line items belong to one order, a fifth to none; nobody says so."""
+    key = F.when(F.col("l_linenumber") == 1, 7).when(F.col("l_linenumber") == 2, None).otherwise(F.col("l_orderkey"))
+    facts = t["lineitem"].select("l_orderkey", "l_linenumber", key.cast("bigint").alias("key"))
+    facts = facts.withColumn("row", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    orders = t["orders"].withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+    return J.split_lookup(facts, orders, "key", "o_orderkey", "row", {"status": "o_orderstatus"}).drop("row")
+
+
 def plan_days(t):
     facts = t["marketing_fact"].select("integration_key", "mk_account_vnt_id", "activity_time")
     return interval_join(facts, act.target_spans(t), "mk_account_vnt_id", "mk_account_vnt_id", "integration_key", F.to_date("activity_time"),
@@ -261,6 +270,10 @@ JOINS = {
         hot_lookup,
         """SELECT o_orderkey, key, c_name AS name FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '-1' ELSE CAST(o_custkey AS VARCHAR) END AS key
            FROM orders) o LEFT JOIN (SELECT CASE WHEN c_custkey = 7 THEN '-1' ELSE CAST(c_custkey AS VARCHAR) END AS id, c_name FROM customer) c ON id = key"""),
+    "split_hot_lookup": Check(
+        unnamed_hot_lookup,
+        """SELECT l_orderkey, l_linenumber, key, o_orderstatus AS status FROM (SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 7
+           WHEN 2 THEN NULL ELSE l_orderkey END AS key FROM lineitem) l LEFT JOIN orders ON o_orderkey = key""", "l_orderkey l_linenumber", doubles="key"),
     "level_managers": Check(
         managers,
         """SELECT e.employee_name, e.field_force_name, e.region_number, e.zone_number, r.employee_name AS region_boss, z.employee_name AS zone_boss

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactloom import fixed_values as V
+from contactloom.sources.tables import settle
 
 SALTS = 64
+# counters of the frequent-keys summary for each key that may be told hot: bounds its error
+COUNTERS_PER_KEY = 16
 
 
 def renamed_apart(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -37,7 +40,7 @@ def spread_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, r
     Such keys may own a third of all rows.  Dimension rows of a sentinel key are repeated once
     per salt, all other rows get salt 0, so the result is that of the plain left join.  The salt
     comes from ``row_id``, not from a random number, so a task that is run again agrees with
-    its first run.  Hot keys that are not known beforehand are left to adaptive skew handling."""
+    its first run.  Hot keys that are not known beforehand are found by ``split_join``."""
     hot = F.col(fact_key).isin(list(sentinels)) | F.col(fact_key).isNull()
     salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
     left = facts.withColumn("_salt", F.when(hot, salt).otherwise(0))
@@ -57,6 +60,51 @@ def spread_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return spread_join(facts, right, fact_key, "_key", row_id).drop("_key")
 
 
+def hot_keys(facts: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """(``_hot``, ``_salts``): the keys that own more rows than a task's fair share, and how many fair shares.
+
+    A frequent-keys summary of bounded size is made in every partition and merged, so no key is shuffled or
+    grouped.  At most ``partitions`` keys can own a fair share.  The summary's error is below a sixteenth of a
+    share; a key missed or told wrongly by it costs balance, never rows.  Written down, because both sides of a
+    join have to see the same salts, also when a task runs again.  Reads ``key`` of ``facts`` alone."""
+    n = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = facts.select(F.col(key).alias("k")).filter(F.col("k").isNotNull())
+    found = keys.agg(F.expr(f"approx_top_k(k, {n}, {max(1024, n * COUNTERS_PER_KEY)})").alias("top"), F.count("*").alias("_all"))
+    shares = found.select("_all", F.inline("top").alias("_hot", "_count")).withColumn("_shares", F.col("_count") * n / F.col("_all"))
+    return settle(shares.filter(F.col("_shares") > 1).select("_hot", F.ceil("_shares").cast("int").alias("_salts")), "hot-keys")
+
+
+def split_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, row_id: str, how: str = "left",
+               residual: Callable[[], Column] | None = None, hot: DataFrame | None = None,
+               partitions: int | None = None) -> DataFrame:
+    """Left or inner join that splits hot keys nobody named beforehand.
+
+    Facts of a hot key are dealt over as many salts as the key owns fair shares; only the dimension rows of hot
+    keys are repeated, once per salt, and the salts of all keys together are at most twice the number of tasks.
+    Facts without a key are dealt over all tasks.  The salt comes from ``row_id``.  ``hot`` is a result of
+    ``hot_keys``, from a cheaper source of the same keys if there is one; the broadcast has at most one row a task."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"left or inner, not {how}")
+    n = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(facts, fact_key, n) if hot is None else hot)
+    dealt = F.xxhash64(row_id)
+    left = facts.join(hot, F.col(fact_key) == F.col("_hot"), "left").withColumn("_salt", F.when(
+        F.col(fact_key).isNull(), F.pmod(dealt, F.lit(n))).otherwise(F.coalesce(F.pmod(dealt, F.col("_salts")), F.lit(0))).cast("int")
+    ).drop("_hot", "_salts")
+    right = dim.filter(F.col(dim_key).isNotNull()).join(hot, F.col(dim_key) == F.col("_hot"), "left").withColumn(
+        "_salt_r", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_hot", "_salts")
+    cond = (F.col(fact_key) == F.col(dim_key)) & (F.col("_salt") == F.col("_salt_r"))
+    if residual is not None:
+        cond = cond & residual()
+    return left.join(right, cond, how).drop("_salt", "_salt_r")
+
+
+def split_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, row_id: str, take: Mapping[str, str],
+                 how: str = "left", hot: DataFrame | None = None) -> DataFrame:
+    right = dim.select(F.col(dim_key).alias("_key"), *[F.col(old).alias(new) for new, old in take.items()])
+    return split_join(facts, right, fact_key, "_key", row_id, how, hot=hot).drop("_key")
+
+
 def _keys(keys: DataFrame, key: str, unique: bool) -> DataFrame:
     """Key column of a subquery.  Repeats are combined before the shuffle, which the join then
     shares, so a key that fills much of the subquery does not end up in one task."""

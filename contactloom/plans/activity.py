@@ -16,7 +16,7 @@ from contactloom.functions.scalar import (activity_bounds, as_date, ci_eq, day_f
                                           first_token, flag_letter, folded, month_start, open_ended,
                                           slot_lookup, yes_no)
 from contactloom.operators.aggregates import net_bounce
-from contactloom.operators.joins import drop_matching, left_lookup, spread_lookup
+from contactloom.operators.joins import drop_matching, hot_keys, left_lookup, split_lookup, spread_lookup
 from contactloom.operators.pick import first_per_key, newest
 from contactloom.operators.reshape import union_conformed
 from contactloom.operators.sequence import repeat_flags, row_numbers
@@ -300,8 +300,21 @@ def party_states(t: Frames) -> DataFrame:
     return persons.union(accounts).select("rdm_key", F.upper("patient_status_name").alias("party_status"))
 
 
-def _with_state(rows: DataFrame, states: DataFrame) -> DataFrame:
-    rows = left_lookup(rows, states, {"alignment_string": "rdm_key"}, {"_state": "party_status"})
+def hot_parties(t: Frames) -> DataFrame:
+    """Party keys that own more than a task's share of calls, event guests and sent mails: read from the sources'
+    key columns, ahead of the branches' joins."""
+    mails = left_lookup(t["crm_sent_email"].select("account_vod__c"), t["crm_account"], {"account_vod__c": "id"},
+                        {"_account": "external_id_vod__c"})
+    keys = [t["call_plan_activity"].select(F.concat(F.lit(V.ACCOUNT_PREFIX), "mk_account_vnt_id").alias("key")),
+            t["attendee"].select(long_key("mdm_id").alias("key")),
+            mails.select(F.concat(F.lit(V.ACCOUNT_PREFIX), "_account").alias("key"))]
+    return hot_keys(keys[0].union(keys[1]).union(keys[2]), "key")
+
+
+def _with_state(rows: DataFrame, t: Frames) -> DataFrame:
+    """Whether the party is active; parties with many rows, and rows without a party, are dealt over the tasks."""
+    rows = split_lookup(rows.drop("is_active"), party_states(t), "alignment_string", "rdm_key", "record_id",
+                        {"_state": "party_status"}, hot=hot_parties(t))
     return rows.withColumn("is_active", yes_no(F.col("_state").isin("VALID", "ACTIVE")))
 
 
@@ -316,7 +329,7 @@ _NO_RESENDS = dict(firewall_click_flag="N", unsubcribe_clicks_flag="N", bounce_f
                    monthly_resends_exclude_flag="N", overall_resends_exclude_flag="N")
 
 
-def call_branch(t: Frames, states: DataFrame, as_of: date) -> DataFrame:
+def call_branch(t: Frames, as_of: date) -> DataFrame:
     calls = t["call_plan_activity"].filter((F.upper("account_type") == "HCP")
                                            & activity_bounds("call_start_date", COMBINED_FROM, as_of))
     kind = F.upper("account_type")
@@ -329,11 +342,11 @@ def call_branch(t: Frames, states: DataFrame, as_of: date) -> DataFrame:
         F.upper("primary_therapeutic_area").alias("therapeutic_area"),
         kind.alias("party_class"), kind.alias("party_subtype"), kind.alias("customer_type"))
     own = dict.fromkeys(("source_type", "activity_source", "activity_source_channel"), "SALES FORCE")
-    return _with_state(rows, states).withColumns(_constants(
+    return rows.withColumns(_constants(
         activity_seq_number=1, identified_flag="Y", **own, **_PERSONAL, **_NO_RESENDS))
 
 
-def event_branch(t: Frames, spans: DataFrame, states: DataFrame, as_of: date) -> DataFrame:
+def event_branch(t: Frames, spans: DataFrame, as_of: date) -> DataFrame:
     day = day_from_digits("created_date")
     seen = t["attendee"].filter((F.upper("attendee_status") == "ATND") & (day >= as_date(COMBINED_FROM))
                                 & (day < as_date(as_of))).withColumn("_on", day)
@@ -362,7 +375,7 @@ def event_branch(t: Frames, spans: DataFrame, states: DataFrame, as_of: date) ->
         F.when(kind == "CAREGIVER", "PATIENT").otherwise(F.col("attendee_type")).alias("party_class"),
         kind.alias("party_subtype"), kind.alias("customer_type"))
     own = dict.fromkeys(("source_type", "activity_source", "activity_source_channel"), "MEDFORCE")
-    return _with_state(rows, states).withColumns(_constants(
+    return rows.withColumns(_constants(
         activity_seq_number=1, activity_channel="EVENTS", **own, **_PERSONAL, **_NO_RESENDS))
 
 
@@ -396,8 +409,7 @@ def mail_key(status: Column | str) -> Column:
     return F.concat(F.lit("EMAIL "), F.upper(F.trim(first_token(status))))
 
 
-def rep_mail_branch(t: Frames, mails: DataFrame, status: str, moment: str, spans: DataFrame,
-                    states: DataFrame) -> DataFrame:
+def rep_mail_branch(t: Frames, mails: DataFrame, status: str, moment: str, spans: DataFrame) -> DataFrame:
     """Columns shared by e-mail events and sent e-mails; ``mails`` brings id, status, time and the
     looked-up account, document and product columns."""
     definitions = _definitions(t).filter(ci_eq("activity_source_key1", "VEEVA APPROVED EMAIL"))
@@ -423,7 +435,7 @@ def rep_mail_branch(t: Frames, mails: DataFrame, status: str, moment: str, spans
         F.col("_def_metric_type").alias("metric_type"),
         F.when(F.col("_def_metric_type").isNull(), 1).otherwise(0).alias("metric_type_null_flag"))
     party = dict.fromkeys(("party_class", "party_subtype", "customer_type"), "HCP")
-    return _with_state(rows, states).withColumns(_constants(
+    return rows.withColumns(_constants(
         activity_seq_number=1, activity_class="Non-Personal", source_type="RTE", activity_source="SFDC_US",
         activity_source_channel="REP TRIGGERED EMAILS", activity_channel="EMAIL AND ALERTS",
         activity_subchannel="EMAIL", geo_region_code="US", **party, **_NO_RESENDS))
@@ -433,10 +445,13 @@ SENT = {"_acct_fk": "account_vod__c", "_doc_fk": "approved_email_template_vod__c
         "_prod_fk": "product_vod__c", "_display": "product_display_vod__c"}
 
 
-def look_up_mail(t: Frames, mails: DataFrame, required: bool) -> DataFrame:
-    """Account, document and product of a sent mail; ``required`` drops mails without the first two."""
+def look_up_mail(t: Frames, mails: DataFrame, required: bool, hot: DataFrame | None = None) -> DataFrame:
+    """Account, document and product of a sent mail; ``required`` drops mails without the first two.  ``hot`` lists
+    the accounts whose mails are to be dealt over several tasks."""
     how = "inner" if required else "left"
-    rows = left_lookup(mails, t["crm_account"], {"_acct_fk": "id"}, {"_account": "external_id_vod__c"}, how)
+    account = {"_account": "external_id_vod__c"}
+    rows = (left_lookup(mails, t["crm_account"], {"_acct_fk": "id"}, account, how) if hot is None else
+            split_lookup(mails, t["crm_account"], "_acct_fk", "id", "id", account, how, hot))
     rows = left_lookup(rows, t["crm_document"], {"_doc_fk": "id"},
                        {"_document": "name", "_record_type": "recordtypeid"}, how)
     return left_lookup(rows, t["crm_product"], {"_prod_fk": "id"},
@@ -448,26 +463,28 @@ def mail_events(t: Frames, how: str = "left") -> DataFrame:
     return left_lookup(events, t["crm_sent_email"], {"sent_email_vod__c": "id"}, SENT, how)
 
 
-def unanswered_mails(t: Frames, events: DataFrame) -> DataFrame:
+def unanswered_mails(t: Frames, events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Sent mails without any event, from known owners, with a known record type."""
     sent = t["crm_sent_email"].filter(F.col("email_sent_date_vod__c").isNotNull())
     sent = drop_matching(sent, events, "id", "sent_email_vod__c")
     sent = sent.withColumns({new: F.col(old) for new, old in SENT.items()})
-    rows = look_up_mail(t, sent, required=True)
+    rows = look_up_mail(t, sent, required=True, hot=hot)
     rows = left_lookup(rows, t["crm_user"], {"ownerid": "id"}, {}, how="inner")
     return left_lookup(rows, t["crm_recordtype"], {"_record_type": "id"}, {}, how="inner")
 
 
 def combined_activity(t: Frames, flagged: DataFrame, as_of: date) -> DataFrame:
-    """Calls, events, digital activity, rep mail events and unanswered rep mails in one contract."""
-    spans, states = target_spans(t), party_states(t)
-    events = look_up_mail(t, mail_events(t), required=False).filter(
+    """Calls, events, digital activity, rep mail events and unanswered rep mails in one contract.
+
+    The four branches that need the party's status look it up together.  Accounts and parties with more than a
+    task's share of the rows are found beforehand, by a summary of the sources' keys."""
+    spans, hot = target_spans(t), hot_keys(t["crm_sent_email"], "account_vod__c")
+    events = look_up_mail(t, mail_events(t), required=False, hot=hot).filter(
         activity_bounds("activity_datetime_vod__c", COMBINED_FROM))
-    sent = unanswered_mails(t, t["crm_email_activity"]).filter(
+    sent = unanswered_mails(t, t["crm_email_activity"], hot).filter(
         activity_bounds("email_sent_date_vod__c", COMBINED_FROM))
-    return union_conformed(
-        call_branch(t, states, as_of), event_branch(t, spans, states, as_of),
-        digital_branch(flagged, as_of),
-        rep_mail_branch(t, events, "event_type_vod__c", "activity_datetime_vod__c", spans, states),
-        rep_mail_branch(t, sent, "status_vod__c", "email_sent_date_vod__c", spans, states),
-        contract=COMBINED)
+    field = union_conformed(
+        call_branch(t, as_of), event_branch(t, spans, as_of),
+        rep_mail_branch(t, events, "event_type_vod__c", "activity_datetime_vod__c", spans),
+        rep_mail_branch(t, sent, "status_vod__c", "email_sent_date_vod__c", spans), contract=COMBINED)
+    return union_conformed(_with_state(field, t), digital_branch(flagged, as_of), contract=COMBINED)

@@ -97,6 +97,27 @@ def test_spread_join_equals_plain_join(spark, hot):
     assert rows_of(got) == rows_of(expected)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_split_join_equals_plain_join(spark, hot, how):
+    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), (None, 4), ("zz", 5)], "k string, v int")
+    got = J.split_join(hot, dim, "key", "k", "id", how, partitions=8).select("id", "v")
+    assert rows_of(got) == rows_of(hot.join(dim, hot["key"] == dim["k"], how).select("id", "v"))
+    none = J.split_join(hot.filter("false"), dim, "key", "k", "id", how)
+    assert none.isEmpty() and J.split_join(hot, dim.filter("false"), "key", "k", "id", how).count() == (2000 if how == "left" else 0)
+
+
+def test_split_join_finds_and_deals_out_a_hot_key(spark):
+    """Half of all rows under a key nobody named, an eighth under none: no salt gets far above a task's share."""
+    rows = spark.range(8000).select("id", F.when(F.col("id") % 2 == 0, -5).when(F.col("id") % 8 != 1, F.col("id")).alias("key"))
+    assert rows_of(J.hot_keys(rows, "key", 16)) == [(-5, 10)]  # 4000 of 7000 keyed rows, 437.5 a share
+    dim = spark.createDataFrame([(-5, "x"), (3, "y")], "k bigint, v string")
+    joined = J.split_join(rows.hint("merge"), dim, "key", "k", "id", partitions=16)
+    left = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in left and joined.filter("v = 'x'").count() == 4000
+    sizes = rows.filter("key = -5").groupBy(F.pmod(F.xxhash64("id"), F.lit(10))).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 2 * 4000 / 10
+
+
 def test_first_per_key_null_order_and_ties(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", None, "y"), ("b", 2, "z"), ("b", 2, "w"), (None, 5, "n")], "k string, v int, id string")
     assert rows_of(first_per_key(df, ["k"], [newest("v"), oldest("id")])) == [("a", None, "y"), ("b", 2, "w"), (None, 5, "n")]
