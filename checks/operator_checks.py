@@ -20,6 +20,7 @@ from contactloom.operators import joins as J
 from contactloom.operators import pick as P
 from contactloom.operators import reshape as R
 from contactloom.operators.ranking import global_rank
+from contactloom.operators.rejects import reject_counts, split_rejects
 from contactloom.operators.sequence import repeat_flags, row_numbers
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.plans import activity as act
@@ -54,6 +55,21 @@ def partitioned_product(t):
     return written["counts"].filter("status <> 'P'")
 
 
+def dirty_orders(t):
+    """Orders whose customer and day come as text, some of it unreadable or blank."""
+    customer = F.when(F.col("o_orderkey") % 13 == 0, F.concat(F.lit("C"), "o_custkey")).when(
+        F.col("o_orderkey") % 17 == 0, " ").otherwise(F.col("o_custkey").cast("string"))
+    day_text = F.when(F.col("o_orderkey") % 11 == 0, "20219999").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    rows = t["orders"].select("o_orderkey", customer.alias("customer"), day_text.alias("day"))
+    return split_rejects(rows, {"customer": S.whole_number("customer"), "day": S.day_from_digits("day")})
+
+
+def accepted_and_rejected(t):
+    accepted, rejected = dirty_orders(t)
+    return accepted.withColumn("why", F.lit("")).unionByName(
+        rejected.withColumn("why", F.concat_ws("; ", "reject_reasons")).drop("reject_reasons"))
+
+
 def layered_view(t):
     name = f"big_orders_{uuid.uuid4().hex[:8]}"
     first = view(name, t["orders"].select("o_custkey", "o_orderkey"))
@@ -88,6 +104,18 @@ SOURCES = {
         "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1"),
     "partitioned_product": Check(
         partitioned_product, "SELECT o_custkey, o_orderstatus AS status, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2"),
+    "reject_output": Check(
+        accepted_and_rejected,
+        """SELECT o_orderkey, customer, day, concat_ws('; ', CASE WHEN o_orderkey % 13 = 0 THEN 'customer: ' || customer END,
+           CASE WHEN o_orderkey % 11 = 0 THEN 'day: ' || day END) AS why
+           FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'C' || o_custkey WHEN o_orderkey % 17 = 0 THEN ' '
+           ELSE CAST(o_custkey AS VARCHAR) END AS customer, CASE WHEN o_orderkey % 11 = 0 THEN '20219999'
+           ELSE strftime(CAST(o_orderdate AS DATE), '%Y%m%d') END AS day FROM orders) AS o"""),
+    "reject_counts": Check(
+        lambda t: reject_counts(dirty_orders(t)[1], "orders"),
+        """SELECT 'orders' AS source, column_name, count(*) AS rows FROM (
+           SELECT 'customer' AS column_name FROM orders WHERE o_orderkey % 13 = 0 UNION ALL SELECT 'day' FROM orders WHERE o_orderkey % 11 = 0) AS f
+           GROUP BY column_name"""),
     "layered_view": Check(layered_view, "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1"),
     "typed_target_list": Check(typed_target_list, TARGET_LIST_SQL, texts="id provider_id name address city state zip specialty granular_specialty biib_group group_a group_b group_c initiator_count treator_count kme_hcp_flag kme_count tbm_territory_id tbm_territory tbm_region_id tbm_region tbm_zone_id tbm_zone aal_territory_id aal_territory aal_region_id aal_region adrm_territory_id adrm_territory adrm_region_id adrm_region account parent_id tier soc"),
     "run_parameter": Check(

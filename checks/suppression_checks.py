@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from checks.registry import AS_OF, Check
 from checks.standins import quote
 from contactloom import fixed_values as V
 from contactloom.plans import patient as pat
+from contactloom.plans import published
 from contactloom.plans import professional as pro
 
 
@@ -281,6 +284,14 @@ PAT_RESULT_SQL = f"""WITH pat_source AS ({PAT_SOURCE_SQL}), pat_p AS ({PATIENT_S
 _DATES = ("opt_out_date merge_record_date bounce_date party_suppression_date suppression_date final_suppression_date "
           "final_source_dt source_dt")
 
+def published_suppression(t):
+    """The patient workflow stored as tables; its last result is read by name."""
+    spark = t["orders"].sparkSession
+    prefix = f"patient_{uuid.uuid4().hex[:8]}"
+    published.publish_patient(spark, t, AS_OF, prefix)
+    return spark.table(f"{prefix}_suppression")
+
+
 CHECKS = {
     "professional_party_base": Check(pro.professional_party, PARTY_SQL, texts="create_dt",
                                      ints="party_sk party_type_cd_fk hcp_type_cd_fk practice_type_cd_fk hcp_status_cd_fk record_state_cd_fk", doubles="hcp_type_cd_fk"),
@@ -294,6 +305,7 @@ CHECKS = {
     "patient_market": Check(pat.patient_market, PAT_MARKET_SQL),
     "patient_source": Check(lambda t: pat.patient_workflow(t, AS_OF)["source"], PAT_SOURCE_SQL, texts="source_dt"),
     "patient_merge_records": Check(lambda t: pat.patient_merge(t, AS_OF), PAT_MERGE_SQL, texts="archival_ts"),
+    "published_patient_suppression": Check(published_suppression, PAT_RESULT_SQL, texts=f"{_DATES} create_date birth_date", doubles="age bounce_flag"),
     "patient_suppression": Check(lambda t: pat.patient_workflow(t, AS_OF)["suppression"], PAT_RESULT_SQL,
                                  texts=f"{_DATES} create_date birth_date", doubles="age bounce_flag"),
     "home_address": Check(pat.home_address, f"SELECT party_fk, address_line_1, address_line_2, country_name, state_name, county_name, "

@@ -140,9 +140,8 @@ def activity_numbers(t: Frames) -> DataFrame:
     return rows.select("integration_key", *_NUMBERS)
 
 
-def activity_product(t: Frames) -> DataFrame:
-    """The whole activity, written once to the shared folder in a partition per month (``activity_month``), so that readers
-    with a lower bound leave the older files alone.
+def activity_by_month(t: Frames) -> DataFrame:
+    """The whole activity with its month (``activity_month``), dealt out for a write in a partition per month.
 
     What moves rows by account or person, and the numbers, are worked out on narrow rows and meet the wide ones on the
     integration key, which is the fact's key and tells its rows apart."""
@@ -155,8 +154,13 @@ def activity_product(t: Frames) -> DataFrame:
     n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = F.pmod(F.xxhash64("integration_key"), F.lit(max(1, n // MONTHS)))
     whole = wide.join(side, "integration_key").repartition(n, "activity_month", share)
-    whole = whole.select("_row.*", *moved, *_NUMBERS, "activity_month").select(*every, *_NUMBERS, "activity_month")
-    return settle(whole, "activity", "activity_month")
+    return whole.select("_row.*", *moved, *_NUMBERS, "activity_month").select(*every, *_NUMBERS, "activity_month")
+
+
+def activity_product(t: Frames) -> DataFrame:
+    """The whole activity, written once to the shared folder in a partition per month, so that readers with a lower bound
+    leave the older files alone."""
+    return settle(activity_by_month(t), "activity", "activity_month")
 
 
 def marketing_activity(t: Frames) -> DataFrame:

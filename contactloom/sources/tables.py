@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 from contactloom.session import use_checkpoint_dir
 from contactloom.sources.contracts import TARGET_LIST
 
+#: Folders that ``settle`` made inside the innermost ``intermediates`` block.
+_SETTLED: ContextVar[list[str] | None] = ContextVar("settled", default=None)
+
 
 def load(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
     """Scan one table: a Parquet file of that name in ``folder``, else a catalog table.
@@ -70,10 +75,28 @@ def settle(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
 
     For results that are costly to make and read more than once.  Readers of a few columns read
     only those from the files, and a lost executor costs a re-read instead of the whole lineage.
-    Every call takes a new folder; who owns the shared folder cleans it."""
+    Every call takes a new folder; inside ``intermediates`` it goes at the block's end, else who owns the shared
+    folder cleans it."""
     use_checkpoint_dir(df.sparkSession)
-    folder = df.sparkSession.sparkContext.getCheckpointDir()
-    return materialize(df, f"{folder}/{label}-{uuid.uuid4().hex}", partition_by)
+    folder = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+    if (made := _SETTLED.get()) is not None:
+        made.append(folder)
+    return materialize(df, folder, partition_by)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``settle`` writes inside the block when it ends, also after a failure.  Frames that stand on it
+    cannot be read afterwards, so results have to be written inside."""
+    made: list[str] = []
+    token = _SETTLED.set(made)
+    try:
+        yield
+    finally:
+        _SETTLED.reset(token)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def view(name: str, df: DataFrame) -> DataFrame:
