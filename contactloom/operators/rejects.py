@@ -26,6 +26,6 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
 
 def reject_counts(rejected: DataFrame, source: str) -> DataFrame:
     """How many rows each column made fail: source, column_name, rows.  A row with two faults counts for both."""
-    name = F.substring_index(F.explode("reject_reasons"), ": ", 1)
-    return (rejected.select(name.alias("column_name")).groupBy("column_name").agg(F.count("*").alias("rows"))
+    faults = rejected.select(F.explode("reject_reasons").alias("_fault"))
+    return (faults.groupBy(F.substring_index("_fault", ": ", 1).alias("column_name")).agg(F.count("*").alias("rows"))
             .select(F.lit(source).alias("source"), "column_name", "rows"))
