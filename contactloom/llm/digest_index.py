@@ -6,14 +6,16 @@ finds the digests the index lacks, and these are appended.  The bucketed side is
 
 Texts are equal when they are identical after each run of ASCII white space has become one space; null is empty.
 The order of keeping is: a text that an earlier batch brought stays with that batch's document; inside a batch the row
-with the smallest doc_id stays (rows without an id come last; of repeated rows exactly one stays).  An empty batch
-changes nothing.  Other columns of the batch are not read, whatever their names."""
+with the smallest doc_id stays (rows without an id come last; of repeated rows exactly one stays).  A document that the
+index keeps a text by stays when it comes again, so a batch that is run again gets the verdict it got at first.  An empty
+batch changes nothing.  Ids are integers of up to 64 bits.  Other columns are carried in one struct or not read,
+whatever their names."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.llm.shared import new_folder, settle
@@ -30,6 +32,12 @@ def digest(text: str = "text") -> Column:
     return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
 
 
+def _key(doc_id: str = "doc_id") -> Column:
+    """Id and digest as one join key: rows of a text that many documents share are dealt out by id, and no id equals no
+    id, as fields of a struct do."""
+    return F.struct(F.col(doc_id).cast("bigint").alias("id"), F.col("digest")).alias("key")
+
+
 class DigestIndex:
     """The index in one folder.  Opening a folder that holds an index goes on with it.
 
@@ -51,19 +59,21 @@ class DigestIndex:
 
     def add(self, prints: DataFrame) -> DataFrame:
         """Append what is new in a batch of (doc_id, row_id, digest); a verdict for each digest of the batch:
-        (digest, keep_id, keep_row, group_size).  keep_row is the row of this batch that stays, null if the index had
-        the text before.
+        (digest, keep_id, keep_row, group_size).  keep_row is the row of this batch that stays, null if the text stays
+        with a document that is not in the batch.
 
-        Running a batch again after a failure is safe for the index: what was appended is found and not appended twice."""
+        Running a batch again after a failure changes neither index nor verdict: what was appended is found, is not
+        appended twice, and its document is known by its id."""
         order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
         groups = settle(prints.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size")),
                         "digest-groups")
         fresh = groups.hint("merge").join(self.table(), "digest", "left_anti")
         fresh = settle(fresh.select("digest", F.col("first.doc_id").alias("keep_id"),
                                     F.col("first.row_id").alias("keep_row"), "group_size"), "digest-fresh")
-        known = (groups.hint("merge").join(self.table(), "digest")
-                 .select("digest", "keep_id", F.lit(None).cast("bigint").alias("keep_row"), "group_size"))
-        known = settle(known, "digest-known")
+        known = settle(groups.hint("merge").join(self.table(), "digest").select("digest", "keep_id", "group_size"), "digest-seen")
+        again = prints.select(_key(), "row_id").join(known.select(_key("keep_id")), "key")
+        again = again.groupBy("key").agg(F.min("row_id").alias("keep_row")).select("key.digest", "keep_row")
+        known = settle(known.join(again, "digest", "left").select("digest", "keep_id", "keep_row", "group_size"), "digest-known")
         fresh.select("digest", "keep_id").write.insertInto(self.name)
         return fresh.unionByName(known)
 
@@ -108,9 +118,11 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    prints = fingerprints(docs)
-    return verdicts(prints, add_in_batches(new_index(spark), prints))
+    prints = fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    index = new_index(spark)
+    verdict = add_in_batches(index, prints)
+    index.close()
+    return verdicts(prints, verdict)
 
 
 OP7_SQL = """
@@ -123,12 +135,10 @@ WINDOW same AS (PARTITION BY body)"""
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns: the filtering form of ``deduplicate`` with an index of its own.
 
-    Documents meet the verdict on the digest; of rows that repeat with id and text, one stays."""
+    Documents meet the verdict on id and digest, so the copies of a frequent text are not gathered; of rows that repeat
+    with id and text, one stays, combined before anything is gathered."""
     index = new_index(docs.sparkSession)
-    verdict = add_in_batches(index, fingerprints(docs)).select("digest", "keep_id")
-    marked = docs.withColumn("__digest", digest()).join(
-        verdict.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep")), "__digest")
-    same_row = Window.partitionBy("__digest").orderBy(F.lit(1))
-    return (marked.filter(F.col("doc_id").eqNullSafe(F.col("__keep")))
-            .withColumn("__nth", F.row_number().over(same_row)).filter("__nth = 1")
-            .drop("__digest", "__keep", "__nth"))
+    stay = add_in_batches(index, fingerprints(docs)).select(_key("keep_id"))
+    index.close()
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id"), digest().alias("digest")).select("row", _key())
+    return marked.join(stay, "key").groupBy("key").agg(F.first("row").alias("row")).select("row.*")

@@ -3,7 +3,9 @@
 import re
 
 import duckdb
+import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 from test_text_operators import SPACES, plain_components
 
 import corpus_pipeline
@@ -57,3 +59,31 @@ def test_near_copies_by_five_words(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+
+
+CLASHING = ["digest", "key", "row", "row_id", "id", "keep_id", "__keep", "__digest", "score", "predicted", "component_id", "n_shingles", "item_id",
+            "tokens", "bucket", "kept", "ids", "words", "train", "_salt", "node", "sets"]
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_on_awkward_input(spark, k):
+    """Null ids and texts, empty and repeated rows, ties, and columns with names that stages use themselves."""
+    name, stage = corpus_pipeline.STAGES[k]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(900001, text), (900001, text), (900002, text), (None, text), (None, None), (900003, None), (900004, ""), (900005, " \t"), (900006, "x")]
+    odd = spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        *[F.col(c) if c in ("doc_id", "text") else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    extra = [c for c in CLASHING if c not in docs.columns]
+    clashing = odd.withColumns({c: F.lit(c) for c in extra})
+    got = settle(stage(spark, clashing, SF), "awkward-stage")
+    last = k == len(corpus_pipeline.STAGES) - 1
+    plain = settle(stage(spark, odd, SF), "awkward-stage")
+    assert got.count() == plain.count()
+    if not last:
+        assert got.columns == clashing.columns
+        assert not got.filter(F.col("doc_id") == 900006).isEmpty(), "a clean short text stays"
+        if name == "exact dedup":
+            assert got.filter(F.col("text") == text).count() == 1
+    empty = settle(stage(spark, clashing.filter("false"), SF), "awkward-stage")
+    assert empty.isEmpty()
