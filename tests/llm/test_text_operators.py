@@ -420,26 +420,76 @@ def test_katz_base_scores(spark, documents, vocabulary):
     assert all(r.score < 0 for r in got)
 
 
-@pytest.mark.parametrize("vocabulary", [300, 1 << 17])
-def test_katz_sums_to_one(spark, documents, vocabulary):
-    """For every context the probabilities of all symbols make 1, and those of the words of the rest make P(other)."""
-    model, _ = katz_rows(spark, documents[:60], vocabulary)
-    uni = model.uni
-    assert abs(uni.p.sum() - 1) < 1e-9
-    symbols = np.arange(uni.end + 1).astype(np.uint64)
-    for r in model.pair_table.collect():
-        pairs = katz.Pairs(katz.unplanes(r["keys"], np.uint64), katz.unplanes(r["counts"], np.int64), model.factor, uni.p)
-        for context in pairs.contexts[:20]:
-            p = 10 ** pairs.log_p(context << np.uint64(katz.ID_BITS) | symbols)
-            assert abs(p.sum() - 1) < 1e-6
-    rest, types = 0.0, 0
-    for r in model.word_table.collect():
-        keys, counts = katz.unplanes(r["keys"], np.uint64), katz.unplanes(r["counts"], np.int64)
-        other = uni.symbols(keys) == uni.other
-        rest += uni.word(counts[other]).sum()
-    of = katz.totals(model.word_table)[2]
-    types = max(1.0, of[0] ** 2 / (2 * of[1]) if of[1] else of[0] * (of[0] - 1) / 2)
-    assert abs(rest + types * uni.p_unseen - uni.p[uni.other]) < 1e-6
+def plain_discounts(counts):
+    of = Counter(counts)
+    tail = 6 * of[6] / of[1] if of[1] else 1
+    out = {}
+    for r in range(1, 6):
+        d = ((r + 1) * of[r + 1] / (r * of[r]) - tail) / (1 - tail) if of[r] and tail != 1 else 0
+        out[r] = d if 0 < d < 1 else (r - 0.5) / r
+    return out
+
+
+class PlainKatz:
+    """Katz backoff over dictionaries."""
+
+    def __init__(self, tokens):
+        self.words = Counter(w for own in tokens for w in own)
+        self.pairs = Counter(p for own in tokens for p in zip(["<s>", *own], own, strict=False))
+        self.n, self.d, self.pd = sum(self.words.values()), plain_discounts(self.words.values()), plain_discounts(self.pairs.values())
+        self.halved = all(c > 5 for c in self.words.values())
+        of = Counter(self.words.values())
+        self.unseen = max(1, of[1] ** 2 / (2 * of[2]) if of[2] else of[1] * (of[1] - 1) / 2)
+        self.after = {}
+        for (h, w), c in self.pairs.items():
+            self.after.setdefault(h, {})[w] = c
+
+    def word(self, w):
+        if w not in self.words:
+            return (1 - sum(self.word(x) for x in self.words)) / self.unseen
+        c = self.words[w]
+        return (c - 0.5 if self.halved else self.d.get(c, 1) * c) / self.n
+
+    def seen(self, h):
+        after = self.after.get(h, {})
+        small = any(c <= 5 for c in after.values())
+        return {w: (self.pd.get(c, 1) * c if small else c - 0.5) / sum(after.values()) for w, c in after.items()}
+
+    def alpha(self, h):
+        seen = self.seen(h)
+        return (1 - sum(seen.values())) / (1 - sum(self.word(w) for w in seen))
+
+    def score(self, own):
+        total = 0.0
+        for h, w in zip(["<s>", *own], own, strict=False):
+            seen = self.seen(h)
+            total += math.log10(seen[w] if w in seen else self.alpha(h) * self.word(w))
+        return total
+
+
+def test_katz_equals_dictionaries(spark, documents):
+    """Scores do not depend on which words have short codes, and are those of the formula, which sum to one."""
+    rows = [(i, " ".join(t.split()[:60])) for i, t in documents[:50]] + [(1000 + i, t) for i, t in [(0, "never seen words"), (1, ""), (2, "A a  A a")]]
+    tokens = [[*WORD.findall(t.translate(FOLD)), None] for _, t in rows]
+    plain = PlainKatz([own for k, own in enumerate(tokens) if k % 4])
+    assert abs(sum(map(plain.word, plain.words)) + plain.unseen * plain.word("never-seen") - 1) < 1e-9
+    for h in ["<s>", *list(plain.words)[:5]]:
+        seen = plain.seen(h)
+        rest = 1 - sum(plain.word(w) for w in seen)
+        assert abs(sum(seen.values()) + plain.alpha(h) * rest - 1) < 1e-9
+    expected = {i: plain.score(own) for (i, _), own in zip(rows, tokens, strict=True)}
+    for vocabulary in (1, 40, 1 << 17):
+        got = {r.doc_id: r.score for r in katz_rows(spark, rows, vocabulary)[1].collect()}
+        assert got.keys() == expected.keys()
+        assert all(math.isclose(got[i], expected[i], rel_tol=1e-9, abs_tol=1e-9) for i in got)
+
+
+def test_katz_without_small_counts(spark):
+    """Where no count is small, half a count is taken off, so an unseen word scores low, not minus infinity."""
+    rows = [(k, "a b " * 8) for k in range(8)] + [(9, "zz a")]
+    got = {r.doc_id: r.score for r in katz_rows(spark, rows, 1)[1].collect()}
+    plain = PlainKatz([[*t.split(), None] for k, (_, t) in enumerate(rows) if k % 4])
+    assert math.isfinite(got[9]) and math.isclose(got[0], plain.score([*rows[0][1].split(), None]), rel_tol=1e-9)
 
 
 def test_katz_without_training_text(spark, nothing):
