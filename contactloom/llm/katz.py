@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.shared import arrow_batches, bytes_of, crc_of_id, hash_spans, mix, new_folder, settle, slices, texts, words
+from contactloom.llm.shared import arrow_batches, bytes_of, crc_of_id, hash_spans, lean, mix, new_folder, settle, slices, texts, words
 
 END_HASH = np.uint64(2**64 - 1)
 ROW_BITS, SLICE_BYTES, SMALL = 14, 1 << 21, 5
@@ -78,6 +78,18 @@ def unplanes(raw: bytes | pa.Buffer, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
+def pack(values: np.ndarray) -> bytes:
+    """The bytes of an array, small ones as few: codes are numbered by frequency, so most of their high bytes are 0."""
+    raw = planes(values)
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unpack(value: bytes | pa.Buffer, kind: type) -> np.ndarray:
+    value = pa.py_buffer(value)
+    size = int.from_bytes(value[:8], "little")
+    return unplanes(pa.decompress(value[8:], decompressed_size=size, codec="zstd"), kind) if size else np.zeros(0, kind)
+
+
 def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Sum of counts, the last array, by the keys, which are all arrays before; sorted by them."""
     *keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -96,7 +108,7 @@ def packed(bucket: np.ndarray, arrays: Sequence[np.ndarray], names: Sequence[str
     order = np.argsort(bucket, kind="stable")
     some, cut = np.unique(bucket[order], return_index=True)
     ends = [*cut[1:].tolist(), len(bucket)]
-    columns = [[planes(x[i:j]) for i, j in zip(cut.tolist(), ends, strict=False)] for x in (y[order] for y in arrays)]
+    columns = [[pack(x[i:j]) for i, j in zip(cut.tolist(), ends, strict=False)] for x in (y[order] for y in arrays)]
     return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["bucket", *names])
 
 
@@ -132,14 +144,14 @@ KINDS = {"keys": np.uint64, "follows": np.uint64, "of": np.int64, "counts": np.i
 
 def merge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge the rows of each bucket, which come one after the other."""
-    tally, now, names = Tally(most=1 << 21), None, []
+    tally, now, names = Tally(most=1 << 20), None, []
 
     def close() -> pa.RecordBatch:
         arrays = tally.give()
         counts = arrays[-1]
         of = np.bincount(np.minimum(counts, SMALL + 2), minlength=SMALL + 3)[1:SMALL + 2]
         return pa.RecordBatch.from_arrays(
-            [pa.array([now], pa.int32()), *(pa.array([planes(x)], pa.binary()) for x in arrays),
+            [pa.array([now], pa.int32()), *(pa.array([pack(x)], pa.binary()) for x in arrays),
              pa.array([len(counts)], pa.int64()), pa.array([int(counts.sum())], pa.int64()), pa.array([of.tolist()], pa.list_(pa.int64()))],
             ["bucket", *names, "types", "total", "of_counts"])
 
@@ -149,7 +161,7 @@ def merge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if now is not None and bucket != now:
                 yield close()
             now = bucket
-            tally.add(*(unplanes(batch.column(n)[r].as_buffer(), KINDS[n]) for n in names))
+            tally.add(*(unpack(batch.column(n)[r].as_buffer(), KINDS[n]) for n in names))
     if now is not None:
         yield close()
 
@@ -157,7 +169,7 @@ def merge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def table_of(parts: DataFrame, label: str) -> DataFrame:
     """Write the merged counts as a table partitioned by bucket."""
     whole = (parts.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(merge_buckets, parts.schema.simpleString()[len("struct<"):-1].replace(":", " ") + NUMBERS))
+             .mapInArrow(lean(merge_buckets), parts.schema.simpleString()[len("struct<"):-1].replace(":", " ") + NUMBERS))
     folder = new_folder(parts.sparkSession, label)
     whole.write.partitionBy("bucket").parquet(folder)
     return parts.sparkSession.read.schema(whole.schema).parquet(folder)
@@ -183,10 +195,11 @@ def discounts(of: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Unigrams:
-    """What is known of single tokens.  Short codes: the words of ``head`` by place, then end, start."""
+    """What is known of single tokens.  Short codes: the words of ``head`` by frequency, then end, start."""
 
     head: np.ndarray
-    head_counts: np.ndarray
+    code: np.ndarray
+    head_counts: np.ndarray  # by code
     end_count: int
     factor: np.ndarray
     tokens: int
@@ -206,7 +219,7 @@ class Unigrams:
         out = h.copy()
         if len(self.head):
             at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
-            out = np.where(self.head[at] == h, at.astype(np.uint64), h)
+            out = np.where(self.head[at] == h, self.code[at], h)
         out[h == END_HASH] = self.end
         return out
 
@@ -260,7 +273,7 @@ def count_words(docs: DataFrame, bits: int) -> DataFrame:
                     yield give(tally)
         yield give(tally)
 
-    return table_of(docs.select("text", "train").mapInArrow(run, COUNTS), "katz-words")
+    return table_of(docs.select("text", "train").mapInArrow(lean(run), COUNTS), "katz-words")
 
 
 def frequent(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +288,7 @@ def frequent(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
         total = np.zeros(1024 - 640 + 64 * 64, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                total += np.bincount(classes(unplanes(raw, np.int64)), minlength=len(total))
+                total += np.bincount(classes(unpack(raw, np.int64)), minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["class", "n"])
 
@@ -290,7 +303,7 @@ def frequent(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw_keys, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys, counts = unplanes(raw_keys, np.uint64), unplanes(raw, np.int64)
+                keys, counts = unpack(raw_keys, np.uint64), unpack(raw, np.int64)
                 ok = (classes(counts) >= least) & (keys != END_HASH)
                 yield pa.RecordBatch.from_arrays([pa.array([keys[ok].tobytes()], pa.binary()), pa.array([counts[ok].tobytes()], pa.binary())],
                                                  ["keys", "counts"])
@@ -311,11 +324,16 @@ def unigrams(table: DataFrame, train_docs: int, most: int) -> Unigrams:
         factor[SMALL + 1], freed = -1.0, types / 2
     freed = freed / n if n else 1.0
     unseen = max(1.0, of[0] ** 2 / (2 * of[1]) if of[1] else of[0] * (of[0] - 1) / 2)
-    return Unigrams(*frequent(table, most), train_docs, factor, n, types, freed, freed / unseen)
+    head, counts = frequent(table, most)
+    order = np.argsort(-counts, kind="stable")
+    code = np.empty(len(head), np.uint64)
+    code[order] = np.arange(len(head))
+    return Unigrams(head, code, counts[order], train_docs, factor, n, types, freed, freed / unseen)
 
 
 def count_pairs(docs: DataFrame, uni: Unigrams, word_table: DataFrame, word_bits: int, bits: int) -> DataFrame:
-    """Counts of all pairs of (text, train), over the rows to train on, by context, with the count of the follower."""
+    """Counts of all pairs of (text, train), over the rows to train on, by context, with the count of a follower that has
+    a long code."""
     shared = docs.sparkSession.sparkContext.broadcast(uni)
 
     def give(tally: Tally) -> pa.RecordBatch:
@@ -338,16 +356,13 @@ def count_pairs(docs: DataFrame, uni: Unigrams, word_table: DataFrame, word_bits
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs with the counts of their followers; rows of the word table come first in their bucket."""
-        tally, now, table = Tally(2, 1 << 21), None, None
+        tally, now, table = Tally(2, 1 << 20), None, None
 
         def close() -> pa.RecordBatch:
             context, follows, counts = tally.give()
-            if now >= 1 << word_bits:
-                of = shared.value.counts(follows)
-            elif table is not None and len(follows):
+            of = np.zeros(len(follows), np.int64)
+            if now < 1 << word_bits and len(follows):
                 of = table[1][np.searchsorted(table[0], follows)]
-            else:
-                of = np.zeros(0, np.int64)
             return packed(context_bucket(context, bits), [context, follows, of, counts], ["keys", "follows", "of", "counts"])
 
         for batch in batches:
@@ -356,18 +371,18 @@ def count_pairs(docs: DataFrame, uni: Unigrams, word_table: DataFrame, word_bits
                     yield close()
                     table = None
                 now = bucket
-                keys, counts = (unplanes(batch.column(n)[r].as_buffer(), KINDS[n]) for n in ("keys", "counts"))
+                keys, counts = (unpack(batch.column(n)[r].as_buffer(), KINDS[n]) for n in ("keys", "counts"))
                 if batch.column("follows")[r].as_py() is None:
                     table = keys, counts
                 else:
-                    tally.add(keys, unplanes(batch.column("follows")[r].as_buffer(), np.uint64), counts)
+                    tally.add(keys, unpack(batch.column("follows")[r].as_buffer(), np.uint64), counts)
         if now is not None:
             yield close()
 
-    parts = docs.select("text", "train").mapInArrow(run, "bucket int, keys binary, follows binary, counts binary")
+    parts = docs.select("text", "train").mapInArrow(lean(run), "bucket int, keys binary, follows binary, counts binary")
     words = word_table.select("bucket", "keys", F.lit(None).cast("binary").alias("follows"), "counts")
     met = (words.unionByName(parts).repartition("bucket")
-           .sortWithinPartitions("bucket", F.col("follows").isNotNull()).mapInArrow(counted, PAIR_COUNTS))
+           .sortWithinPartitions("bucket", F.col("follows").isNotNull()).mapInArrow(lean(counted), PAIR_COUNTS))
     return table_of(met, "katz-pairs")
 
 
@@ -378,7 +393,8 @@ class Pairs:
         first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
         sizes = np.diff(np.append(first, len(context)))
         c = counts.astype(np.float64)
-        p = uni.word(of)
+        short = follows < LONG
+        p = uni.word(np.where(short, uni.counts(np.where(short, follows, np.uint64(0))), of))
         own = lambda x: np.add.reduceat(x, first) if len(first) else x
         total, known = own(c), own(p)
         d = factor[np.minimum(counts, SMALL + 1)]
@@ -417,8 +433,8 @@ def by_bucket(bucket: np.ndarray, keys: np.ndarray, follows: np.ndarray | None,
     follows = follows[order] if follows is not None else None
     some, cut = np.unique(bucket, return_index=True)
     for b, i, j in zip(some.tolist(), cut.tolist(), [*cut[1:].tolist(), len(keys)], strict=False):
-        yield (b, base % int(salts[b]), 1, base, planes(keys[i:j]), planes(follows[i:j]) if follows is not None else None,
-               planes(row[i:j]), planes(n[i:j]))
+        yield (b, base % int(salts[b]), 1, base, pack(keys[i:j]), pack(follows[i:j]) if follows is not None else None,
+               pack(row[i:j]), pack(n[i:j]))
 
 
 def requests(docs: DataFrame, uni: Unigrams, word_bits: int, pair_bits: int, salts: np.ndarray) -> DataFrame:
@@ -445,12 +461,12 @@ def requests(docs: DataFrame, uni: Unigrams, word_bits: int, pair_bits: int, sal
                 both, n = np.unique((before << width | own) << deep | rows, return_counts=True)
                 context, follows = codes[part(both, width + deep, width)], codes[part(both, deep, width)]
                 found += by_bucket((1 << word_bits) + context_bucket(context, pair_bits), context, follows, part(both, np.uint64(0), deep), n, salts, base)
-                found.append((base % len(salts), 0, 2, base, None, None, None, planes(count)))
+                found.append((base % len(salts), 0, 2, base, None, None, None, pack(count)))
                 kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
                 ids = pa.ListArray.from_arrays(pa.array([*[0] * len(found), j - i], pa.int32()), batch.column(0).slice(i, j - i))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)), ids], NAMES)
 
-    return docs.select("doc_id", "text", "uid").mapInArrow(run, REQUESTS.format(id=kind.simpleString()))
+    return docs.select("doc_id", "text", "uid").mapInArrow(lean(run), REQUESTS.format(id=kind.simpleString()))
 
 
 NAMES = ["bucket", "salt", "kind", "base", "keys", "follows", "of", "n", "doc_id"]
@@ -468,7 +484,7 @@ def answer(shared, word_buckets: int) -> Callable:
 
             def take(r: int, name: str, kind: type, batch: pa.RecordBatch = batch) -> np.ndarray:
                 value = batch.column(name)[r]
-                return unplanes(value.as_buffer(), kind) if value.is_valid else np.zeros(0, kind)
+                return unpack(value.as_buffer(), kind) if value.is_valid else np.zeros(0, kind)
 
             for r in range(batch.num_rows):
                 if kind[r] == 2:
@@ -520,7 +536,7 @@ def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if batch.column(2)[r].as_py() is None:
                 if ids is not None:
                     yield close()
-                ids, tokens = batch.column(1)[r].values, unplanes(batch.column(3)[r].as_buffer(), np.int64)
+                ids, tokens = batch.column(1)[r].values, unpack(batch.column(3)[r].as_buffer(), np.int64)
                 known, base_score, score = (np.zeros(len(tokens), kind) for kind in (np.int64, np.float64, np.float64))
             else:
                 row = np.frombuffer(batch.column(2)[r].as_buffer(), np.uint16)
@@ -582,7 +598,7 @@ class KatzModel:
                           F.lit(None).cast(asked.schema["doc_id"].dataType).alias("doc_id")))
         shared = spark.sparkContext.broadcast((self.uni, self.factor))
         parts = (tables.unionByName(asked).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "kind")
-                 .mapInArrow(answer(shared, 1 << self.word_bits), PARTS.format(id=kind.simpleString())))
+                 .mapInArrow(lean(answer(shared, 1 << self.word_bits)), PARTS.format(id=kind.simpleString())))
         with arrow_batches(spark, BATCH):
             out = settle(parts.repartition("base").sortWithinPartitions("base", F.col("row").asc_nulls_first())
                          .mapInArrow(add_up, SCORES.format(id=kind.simpleString())), "katz-scores")
