@@ -29,6 +29,7 @@ from contactloom.plans import party
 from contactloom.plans import ranking as rank
 from contactloom.session import use_checkpoint_dir
 from contactloom.sources.contracts import TARGET_LIST
+from contactloom.sources.layouts import KeyedLayout
 from contactloom.sources.tables import load_target_list, materialize, run_parameter, view, write_products
 
 DAY_OF = f"DATE '{AS_OF}'"
@@ -255,6 +256,23 @@ def plan_days(t):
                          "cycle_plan_start_date", "updated_cycle_plan_end_date", "planned").select("integration_key", "planned")
 
 
+def stored_plan_days(t):
+    """The same from tables in the same buckets, where no fact moves."""
+    facts = t["marketing_fact"].select("integration_key", "mk_account_vnt_id", F.to_date("activity_time").alias("day"))
+    layout = KeyedLayout.create(f"plan_days_{uuid.uuid4().hex[:8]}", facts, "mk_account_vnt_id",
+                                int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    layout.store_facts(facts, "facts", "mk_account_vnt_id", "integration_key")
+    layout.store_lookup(act.target_spans(t), "spans", "mk_account_vnt_id")
+    return layout.interval_join("facts", "mk_account_vnt_id", "spans", "mk_account_vnt_id", "day", "cycle_plan_start_date",
+                                "updated_cycle_plan_end_date", "planned").select("integration_key", "planned")
+
+
+#: Facts with the flag whether their day is in a span of their account.
+PLAN_DAYS_SQL = f"""SELECT integration_key, s.mk_account_vnt_id IS NOT NULL AS planned FROM marketing_fact f LEFT JOIN ({SPANS_SQL}) s
+            ON s.mk_account_vnt_id = f.mk_account_vnt_id AND CAST(activity_time AS DATE) >= cycle_plan_start_date
+            AND CAST(activity_time AS DATE) <= updated_cycle_plan_end_date"""
+
+
 def managers(t):
     staff = t["employee_to_territory"]
     rows = staff.filter("territory_hierarchy_level = 'territory__aln'").select("employee_name", "field_force_name", "region_number", "zone_number")
@@ -284,11 +302,8 @@ JOINS = {
     "comma_join": Check(
         lambda t: party.opt_states(t, keep_programs=False).select("party_fk", "program_name", "opt_out_flag"),
         f"SELECT party_fk, program_name, opt_out_flag FROM ({opts(False)}) o"),
-    "interval_join": Check(
-        plan_days,
-        f"""SELECT integration_key, s.mk_account_vnt_id IS NOT NULL AS planned FROM marketing_fact f LEFT JOIN ({SPANS_SQL}) s
-            ON s.mk_account_vnt_id = f.mk_account_vnt_id AND CAST(activity_time AS DATE) >= cycle_plan_start_date
-            AND CAST(activity_time AS DATE) <= updated_cycle_plan_end_date""", "planned"),
+    "interval_join": Check(plan_days, PLAN_DAYS_SQL, "planned"),
+    "stored_interval_join": Check(stored_plan_days, PLAN_DAYS_SQL, "planned"),
     "computed_key_join": Check(
         lambda t: J.left_lookup(t["account_dim"].withColumn("key", F.concat(F.lit("VNID"), "mk_account_vnt_id")), t["engagement_segment"],
                                 {"key": "mdm_id"}, {"segment": "cust_eng_segment"}).select("key", "segment"),
