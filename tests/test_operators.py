@@ -1,5 +1,6 @@
 """Operators on small tables: NULLs, ties, sentinels, hot keys; compared with plain windows and joins."""
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -269,3 +270,15 @@ def test_slot_lookup_takes_first_match_even_if_null(spark):
     df = spark.createDataFrame([("Campaign", None, "CAMPAIGN", "v"), ("x", "1", "campaign", "v"), ("x", "1", "y", "2")], "n1 string, v1 string, n2 string, v2 string")
     got = [r[0] for r in df.select(S.slot_lookup("CAMPAIGN", [("n1", "v1"), ("n2", "v2")])).collect()]
     assert got == [None, "v", "UNKNOWN"]
+
+
+def test_level_managers_deal_rows_of_one_file_over_all_tasks(spark):
+    staff = spark.createDataFrame(
+        [(f"p{i}", "f", "r", "low") for i in range(40)] + [(f"b{i}", "f", "r", "high") for i in range(3)] + [("q", "f", None, "low")],
+        "name string, force string, number string, level string").coalesce(1)
+    made = J.level_managers(staff.filter("level = 'low'").select("name", "force", "number"), staff, "force", "level",
+                            [("high", "number", {"boss": "name"})])
+    rows = made.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r["name"], r["boss"] or "") for r in rows) == sorted([(f"p{i}", f"b{k}") for i in range(40) for k in range(3)] + [("q", "")])
+    tasks = Counter(r["task"] for r in rows)
+    assert len(tasks) > 1 and max(tasks.values()) < len(rows) / 2
