@@ -39,6 +39,31 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out
             .drop("_range", "_inside", "_group", "_carried", "_before"))
 
 
+def row_numbers_by_code(df: DataFrame, keys: Sequence[str], codes: Mapping[str, str], order: Sequence[Column],
+                        label: str = "numbers") -> DataFrame:
+    """Several ``row_number() over (partition by keys, code order by order)``, one per entry (number, code) of ``codes``.
+
+    The rows are dealt into ranges of (keys, order) once for all numbers.  Inside keys the ranges follow the order, so for
+    every code the rows of earlier ranges come first.  Counts are carried only for keys that more than one range holds;
+    those are ends of their ranges, so their number is bounded by that of the ranges."""
+    placed = in_ranges(df, keys, order, label)
+    ends = placed.select("_range", F.struct(*keys).alias("_key")).groupBy("_range").agg(
+        F.explode(F.array_distinct(F.array(F.min("_key"), F.max("_key")))).alias("_key"))
+    cut = F.broadcast(ends.groupBy("_key").agg(F.count("*").alias("_ranges")).filter("_ranges > 1").select("_key"))
+    numbered = placed.repartitionByRange("_range")
+    for out, code in codes.items():
+        earlier = Window.partitionBy(*keys, code).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (placed.join(cut, F.struct(*keys).eqNullSafe(F.col("_key")), "left_semi").groupBy("_range", *keys, code).agg(F.count("*").alias("_n"))
+                   .withColumn("_before", F.sum("_n").over(earlier)).filter("_before > 0")
+                   .select(F.struct("_range", *keys, code).alias("_carried"), "_before"))
+        inside = Window.partitionBy("_range", *keys, code).orderBy(*order)
+        numbered = (numbered.withColumn("_inside", F.row_number().over(inside)).withColumn("_group", F.struct("_range", *keys, code))
+                    .join(F.broadcast(carried), F.col("_group") == F.col("_carried"), "left")
+                    .withColumn(out, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("bigint"))
+                    .drop("_inside", "_group", "_carried", "_before"))
+    return numbered.drop("_range")
+
+
 def repeat_flags(df: DataFrame, keys: Sequence[str], grains: Mapping[str, Sequence[str]],
                  order: Sequence[Column]) -> DataFrame:
     """One boolean column per grain, true for every row but the first of its group.

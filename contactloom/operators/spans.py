@@ -32,16 +32,28 @@ def clip_spans(df: DataFrame, key: str, start: str, end: str, clipped: str) -> D
             .select(key, start, end, clipped))
 
 
+#: Months that spans are cut by; days before and after fall to the first and the last of them.
+FIRST_MONTH, LAST_MONTH = 1990 * 12, 2059 * 12 + 11
+
+
+def calendar_month(day: Column) -> Column:
+    """Number of a day's month, held between FIRST_MONTH and LAST_MONTH."""
+    month = F.year(day) * 12 + F.month(day) - 1
+    return F.when(day.isNotNull(), F.least(F.greatest(month, F.lit(FIRST_MONTH)), F.lit(LAST_MONTH)))
+
+
 def interval_join(facts: DataFrame, spans: DataFrame, fact_key: str, span_key: str, row_id: str,
                   day: Column, start: str, end: str, hit: str,
                   sentinels: Sequence[str] = (V.UNKNOWN_ID,)) -> DataFrame:
     """Left join on the key with ``start <= day <= end``; ``hit`` tells whether a span matched.
 
-    The equi key drives the join and the date test rides along; clipped spans are disjoint, so
-    a fact keeps its multiplicity."""
-    right = spans.select(F.col(span_key).alias("_span_key"), F.col(start).alias("_from"),
-                         F.col(end).alias("_to"), F.lit(True).alias(hit))
-    return (spread_join(facts.withColumn("_day", day), right, fact_key, "_span_key", row_id,
-                        lambda: F.col("_day").between(F.col("_from"), F.col("_to")), sentinels)
+    Key and calendar month drive the join and the date test rides along: a span stands once in every month it touches and
+    a fact in the month of its day, so a fact meets the spans of its month, not all that its key, perhaps a sentinel, has
+    over the years, and any span once.  Clipped spans are disjoint, so a fact keeps its multiplicity."""
+    right = spans.filter(F.col(start) <= F.col(end)).select(
+        F.col(span_key).alias("_span_key"), F.col(start).alias("_from"), F.col(end).alias("_to"), F.lit(True).alias(hit),
+        F.explode(F.sequence(calendar_month(F.col(start)), calendar_month(F.col(end)))).alias("_span_month"))
+    return (spread_join(facts.withColumn("_day", day).withColumn("_month", calendar_month(F.col("_day"))), right, fact_key, "_span_key", row_id,
+                        lambda: (F.col("_month") == F.col("_span_month")) & F.col("_day").between(F.col("_from"), F.col("_to")), sentinels)
             .withColumn(hit, F.coalesce(hit, F.lit(False)))
-            .drop("_span_key", "_from", "_to", "_day"))
+            .drop("_span_key", "_from", "_to", "_day", "_month", "_span_month"))

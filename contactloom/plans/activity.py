@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from contactloom.operators.aggregates import net_bounce
 from contactloom.operators.joins import drop_matching, hot_keys, left_lookup, split_lookup, spread_lookup
 from contactloom.operators.pick import first_per_key, newest
 from contactloom.operators.reshape import union_conformed
-from contactloom.operators.sequence import repeat_flags, row_numbers
+from contactloom.operators.sequence import repeat_flags, row_numbers_by_code
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.sources.contracts import COMBINED
 from contactloom.sources.tables import settle
@@ -27,8 +27,6 @@ from contactloom.sources.tables import settle
 Frames = Mapping[str, DataFrame]
 MARKETING_FROM, COMBINED_FROM = "2015-01-01", "2019-01-01"
 SLOTS = range(1, 26)
-#: About how many months an activity spans, to share out partitions by.
-MONTHS = 64
 
 # Column names of the fact and definition tables and of the result (fixed values).
 _KEPT = """customer_identity_value customer_identity_type rep_id territory_id session_id transaction_id
@@ -91,19 +89,42 @@ def activity_rows(t: Frames, columns: Sequence[str] | None = None, where: Column
     made = _activity_columns()
     columns = list(made) if columns is None else list(columns)
     needs = {name for name, own in _STANDS_ON.items() if own & set(columns)}
-    source = t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
+    source = _facts(t)
     if where is not None:
         source = source.filter(where)
-    keys = {
-        "_row_id": F.col("integration_key"), "_account": F.col("mk_account_vnt_id"), "_person": F.col("mk_patient_gne_id"),
-        "_on": F.to_date("activity_time"), "_type": folded("activity_type_name"),
-        "_channel": folded("channel_name"), "_tactic_up": F.upper("tactic_cd"),
-        "_tactic_key": E.tactic_code("source_cd", "tactic_cd", fold=False),
-        "_brand": F.upper("mk_product_brand_pm_id"), "_class": F.upper("mk_therapeutic_class_pm_id")}
     # A fact that is kept nearly whole travels through the joins as one struct, which is copied in one piece, next to the
     # few columns that are joined on; of a fact that few columns are asked of, the scan reads only those.
     packed = len(columns) > len(made) // 2
-    rows = source.select(*([F.struct(*source.columns).alias("_fact")] if packed else source.columns), *[c.alias(n) for n, c in keys.items()])
+    rows = source.select(*([F.struct(*source.columns).alias("_fact")] if packed else source.columns), *[c.alias(n) for n, c in _lookup_keys().items()])
+    rows = _looked_up(rows, t, needs)
+    # person rows all carry account -1 and the other way round: spread those keys
+    if "party" in needs:
+        rows = spread_lookup(rows, t["patient_dim"], "_person", "mk_patient_gne_id", "_row_id", {"_patient_class": "patient_class"})
+        rows = spread_lookup(rows, t["account_dim"], "_account", "mk_account_vnt_id", "_row_id", {"_account_class": "account_class"})
+    if "plan" in needs:
+        rows = _with_target(rows, target_spans(t), "_account", "_row_id", F.col("_on"))
+    if packed:
+        rows = rows.select("_fact.*", *[c for c in rows.columns if c != "_fact"])
+    return rows.select(*[made[c].alias(c) for c in columns])
+
+
+def _facts(t: Frames) -> DataFrame:
+    return t["marketing_fact"].filter(activity_bounds("activity_time", MARKETING_FROM))
+
+
+def _lookup_keys(fact: str = "") -> dict[str, Column]:
+    """What lookups join on, from the columns of the fact, or of the struct ``fact`` that holds them."""
+    own = lambda name: F.col(f"{fact}{name}")
+    return {
+        "_row_id": own("integration_key"), "_account": own("mk_account_vnt_id"), "_person": own("mk_patient_gne_id"),
+        "_on": F.to_date(own("activity_time")), "_type": folded(own("activity_type_name")),
+        "_channel": folded(own("channel_name")), "_tactic_up": F.upper(own("tactic_cd")),
+        "_tactic_key": E.tactic_code(own("source_cd"), own("tactic_cd"), fold=False),
+        "_brand": F.upper(own("mk_product_brand_pm_id")), "_class": F.upper(own("mk_therapeutic_class_pm_id"))}
+
+
+def _looked_up(rows: DataFrame, t: Frames, needs: Collection[str]) -> DataFrame:
+    """The lookups in dictionaries, which move no row as long as those are small."""
     if "definition" in needs:
         definitions = _definitions(t).withColumns({"_t": folded("activity_type_key2"), "_c": folded("activity_source_key1")})
         rows = left_lookup(rows, definitions, {"_type": "_t", "_channel": "_c"}, {f"_def_{c}": c for c in _DEFINITION})
@@ -120,41 +141,36 @@ def activity_rows(t: Frames, columns: Sequence[str] | None = None, where: Column
     if "area" in needs:
         area = t["therapeutic_class_master"].withColumn("_c", F.upper("mk_therapeutic_class_pm_id"))
         rows = left_lookup(rows, area, {"_class": "_c"}, {"_area": "therapeutic_class"})
-    # person rows all carry account -1 and the other way round: spread those keys
-    if "party" in needs:
-        rows = spread_lookup(rows, t["patient_dim"], "_person", "mk_patient_gne_id", "_row_id", {"_patient_class": "patient_class"})
-        rows = spread_lookup(rows, t["account_dim"], "_account", "mk_account_vnt_id", "_row_id", {"_account_class": "account_class"})
-    if "plan" in needs:
-        rows = _with_target(rows, target_spans(t), "_account", "_row_id", F.col("_on"))
-    if packed:
-        rows = rows.select("_fact.*", *[c for c in rows.columns if c != "_fact"])
-    return rows.select(*[made[c].alias(c) for c in columns])
+    return rows
 
 
 def activity_numbers(t: Frames) -> DataFrame:
     """Both numbers of every activity, newest first, under its integration key; keys of any size are cut into ranges."""
     rows = activity_rows(t, ["integration_key", "mdm_id", "activity_type", *_NUMBERS.values(), "time_date", "date_timestamp"])
     order = [newest("time_date"), newest("date_timestamp"), newest("integration_key")]
-    for out, code in _NUMBERS.items():
-        rows = row_numbers(rows, ["mdm_id", "activity_type", code], order, out, "activity-numbers")
+    rows = row_numbers_by_code(rows, ["mdm_id", "activity_type"], _NUMBERS, order, "activity-numbers")
     return rows.select("integration_key", *_NUMBERS)
 
 
 def activity_by_month(t: Frames) -> DataFrame:
-    """The whole activity with its month (``activity_month``), dealt out for a write in a partition per month.
+    """The whole activity with its month (``activity_month``), in order of months for a write in a partition per month.
 
     What moves rows by account or person, and the numbers, are worked out on narrow rows and meet the wide ones on the
-    integration key, which is the fact's key and tells its rows apart."""
+    integration key, which is the fact's key and tells its rows apart.  That is the only time wide rows move, and they
+    move as the fact has them: dictionaries are looked up and columns made where the rows are written."""
     moved = [c for name in _MOVING for c in _STANDS_ON[name]]
-    every = list(_activity_columns())
-    wide = activity_rows(t, [c for c in every if c not in moved])
-    wide = wide.select("integration_key", month_start("time_date").alias("activity_month"), F.struct(*wide.columns).alias("_row"))
+    made = _activity_columns()
+    source = _facts(t)
+    wide = source.select("integration_key", F.struct(*source.columns).alias("_fact"))
     side = activity_rows(t, ["integration_key", *moved]).join(activity_numbers(t), "integration_key")
-    # a month goes to as many tasks as there are partitions for it, each of which writes one file of it
-    n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = F.pmod(F.xxhash64("integration_key"), F.lit(max(1, n // MONTHS)))
-    whole = wide.join(side, "integration_key").repartition(n, "activity_month", share)
-    return whole.select("_row.*", *moved, *_NUMBERS, "activity_month").select(*every, *_NUMBERS, "activity_month")
+    side = side.select("integration_key", F.struct(*moved, *_NUMBERS).alias("_side"))
+    rows = wide.join(side, "integration_key").select(month_start("_fact.activity_time").alias("activity_month"), "_fact", "_side")
+    rows = rows.sortWithinPartitions("activity_month")
+    rows = rows.select("activity_month", "_fact", "_side", *[c.alias(n) for n, c in _lookup_keys("_fact.").items()])
+    rows = _looked_up(rows, t, set(_STANDS_ON) - set(_MOVING))
+    rows = rows.select("_fact.*", *[c for c in rows.columns if c != "_fact"])
+    return rows.select(*[F.col(f"_side.{c}").alias(c) if c in moved else expr.alias(c) for c, expr in made.items()],
+                       *[f"_side.{c}" for c in _NUMBERS], "activity_month")
 
 
 def activity_product(t: Frames) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small tables: NULLs, ties, sentinels, hot keys; compared with plain windows and joins."""
 
+import re
 from collections import Counter
 from datetime import date, datetime
 
@@ -17,7 +18,7 @@ from contactloom.operators.aggregates import bounce_summary, count_distinct_when
 from contactloom.operators.pick import first_per_key, newest, oldest
 from contactloom.operators.ranking import global_rank
 from contactloom.operators.reshape import conform, union_conformed, unpivot_cols
-from contactloom.operators.sequence import in_ranges, repeat_flags, row_numbers
+from contactloom.operators.sequence import in_ranges, repeat_flags, row_numbers, row_numbers_by_code
 from contactloom.operators.spans import clip_spans, interval_join
 from contactloom.sources.contracts import COMBINED, INTERACTION, TARGET_LIST
 
@@ -273,12 +274,43 @@ def test_slot_lookup_takes_first_match_even_if_null(spark):
 
 
 def test_level_managers_deal_rows_of_one_file_over_all_tasks(spark):
-    staff = spark.createDataFrame(
-        [(f"p{i}", "f", "r", "low") for i in range(40)] + [(f"b{i}", "f", "r", "high") for i in range(3)] + [("q", "f", None, "low")],
-        "name string, force string, number string, level string").coalesce(1)
+    i = F.col("id")
+    staff = spark.range(44).coalesce(1).select(
+        F.concat(F.when(i < 40, "p").when(i < 43, "b").otherwise("q"), F.when(i < 40, i).when(i < 43, i - 40).otherwise(F.lit("")).cast("string")).alias("name"),
+        F.lit("f").alias("force"), F.when(i < 43, "r").alias("number"), F.when((i >= 40) & (i < 43), "high").otherwise("low").alias("level"))
     made = J.level_managers(staff.filter("level = 'low'").select("name", "force", "number"), staff, "force", "level",
                             [("high", "number", {"boss": "name"})])
     rows = made.withColumn("task", F.spark_partition_id()).collect()
     assert sorted((r["name"], r["boss"] or "") for r in rows) == sorted([(f"p{i}", f"b{k}") for i in range(40) for k in range(3)] + [("q", "")])
     tasks = Counter(r["task"] for r in rows)
     assert len(tasks) > 1 and max(tasks.values()) < len(rows) / 2
+
+
+def test_interval_join_meets_only_spans_of_the_month(spark):
+    """A sentinel has a span on each of 3,000 days; spans without an end, turned round, or far outside the calendar stay right."""
+    spans = spark.range(3000).select(F.lit("-1").alias("k"), F.date_add(F.lit(date(2015, 1, 1)), F.col("id").cast("int")).alias("s")).withColumn("e", F.col("s"))
+    odd = spark.createDataFrame([("a", date(1, 1, 1), date(9999, 12, 31)), ("b", date(2020, 1, 1), None), ("c", date(2020, 2, 1), date(2020, 1, 1)),
+                                 ("d", date(1950, 5, 1), date(1950, 5, 2)), ("a", date(2020, 1, 5), date(2020, 3, 1))], "k string, s date, e date")
+    facts = spark.createDataFrame([(i, k, day) for i, (k, day) in enumerate(
+        [("-1", date(2016, 2, 29)), ("-1", date(2014, 12, 31)), ("a", date(1900, 1, 1)), ("a", date(2020, 2, 1)), ("b", date(2020, 1, 2)),
+         ("c", date(2020, 1, 15)), ("d", date(1950, 5, 2)), ("d", date(1950, 5, 3)), ("-1", None), (None, date(2016, 1, 1))])], "id int, k string, day date")
+    hits = interval_join(facts, spans.union(odd), "k", "k", "id", F.col("day"), "s", "e", "hit")
+    assert rows_of(hits.select("id", "hit")) == [
+        (0, True), (1, False), (2, True), (3, True), (3, True), (4, False), (5, False), (6, True), (7, False), (8, False), (9, False)]
+    assert hits.columns == ["id", "k", "day", "hit"]
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Join \[[^\]]*_month#\d+", plan)
+
+
+def test_numbers_by_code_equal_windows(hot):
+    data = hot.withColumn("code", F.col("id") % 4).withColumn("other", F.when(F.col("id") % 5 > 0, F.col("id") % 3))
+    order = [F.col("day").desc_nulls_first(), F.col("hour").desc(), F.col("id").asc()]
+    expected = data.select("id", *[F.row_number().over(Window.partitionBy("key", c).orderBy(*order)).alias(n) for n, c in (("x", "code"), ("y", "other"))])
+    spark = data.sparkSession
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would make one range
+    try:
+        got = row_numbers_by_code(data, ["key"], {"x": "code", "y": "other"}, order).select("id", "x", "y")
+        assert rows_of(got) == rows_of(expected)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert row_numbers_by_code(data.filter("false"), ["key"], {"x": "code"}, order).isEmpty()

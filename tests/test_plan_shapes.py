@@ -75,3 +75,10 @@ def test_readers_on_demand_write_nothing(spark, monkeypatch):
     mail_activity(tables)
     digital_interactions(tables)
     assert not written
+
+
+def test_the_activity_moves_wide_rows_once(spark):
+    """Rows of the fact are shuffled as they are, on their key; nothing made of them is shuffled again, and the numbers share one set of ranges."""
+    plan = plan_of(activity.activity_by_month(open_tables(spark, SF)))
+    assert len(re.findall(r"Exchange rangepartitioning", plan)) == 1
+    assert "Exchange hashpartitioning(activity_month" not in plan
