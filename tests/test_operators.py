@@ -276,7 +276,7 @@ def test_slot_lookup_takes_first_match_even_if_null(spark):
 def test_level_managers_deal_rows_of_one_file_over_all_tasks(spark):
     i = F.col("id")
     staff = spark.range(44).coalesce(1).select(
-        F.concat(F.when(i < 40, "p").when(i < 43, "b").otherwise("q"), F.when(i < 40, i).when(i < 43, i - 40).otherwise(F.lit("")).cast("string")).alias("name"),
+        F.concat_ws("", F.when(i < 40, "p").when(i < 43, "b").otherwise("q"), F.when(i < 40, i).when(i < 43, i - 40).cast("string")).alias("name"),
         F.lit("f").alias("force"), F.when(i < 43, "r").alias("number"), F.when((i >= 40) & (i < 43), "high").otherwise("low").alias("level"))
     made = J.level_managers(staff.filter("level = 'low'").select("name", "force", "number"), staff, "force", "level",
                             [("high", "number", {"boss": "name"})])
