@@ -37,7 +37,9 @@ from contactloom.llm.components import components
 from contactloom.llm.katz import planes, unplanes
 from contactloom.llm.shared import bytes_of, hash_ngrams, hash_spans, lean, mix, settle, slices, texts, words
 
-HASH_BITS, ROW_BITS, CLASSES, WORDS = 52, 12, 5, 16
+#: Bitmaps have 64 * WORDS classes: several times the shingles of most texts, so that few of them fall together and pairs that
+#: are near copies of one text, but no link, are told apart before they are written.
+HASH_BITS, ROW_BITS, CLASSES, WORDS = 52, 12, 5, 64
 #: Put on the frequency of tokens outside an order's class, which come after those in it.
 LATE = 1 << 40
 
@@ -341,8 +343,11 @@ def _across(percent: int):
             i, j = i[ok], j[ok]
             ok = may(n[i], n[j], np.minimum(n[i] - place[i], n[j] - place[j]))
             i, j = i[ok], j[ok]
-            x, y = bits[i], bits[j]
-            ok = may(n[i], n[j], np.minimum(n[i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[j] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)))
+            ok = np.zeros(len(i), bool)
+            for c in range(0, len(i), 1 << 13):
+                p, q = i[c:c + (1 << 13)], j[c:c + (1 << 13)]
+                x, y = bits[p], bits[q]
+                ok[c:c + (1 << 13)] = may(n[p], n[q], np.minimum(n[p] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[q] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)))
             i, j = i[ok], j[ok]
             new = ~met_before(i, j)
             if new.any():

@@ -353,6 +353,19 @@ def test_similar_components_of_short_texts(spark):
     assert order(map(tuple, got)) == order(plain_components(rows))
 
 
+def test_bitmaps_tell_near_copies_from_links():
+    """Sets of 300 of which 270 are common (0.82) mostly go by their bitmaps alone; with 280 in common (0.875) none goes."""
+    rng, measure = np.random.default_rng(7), ngram_join.Measure()
+
+    def may(common):
+        token = rng.integers(0, 1 << ngram_join.HASH_BITS, (100, 600 - common), dtype=np.uint64)
+        x, y = (ngram_join.bitmaps(np.repeat(np.arange(100), 300), side.ravel(), 100) for side in (token[:, :300], token[:, -300:]))
+        most = 300 - np.maximum(np.bitwise_count((x & ~y).view(np.uint64)).sum(1), np.bitwise_count((y & ~x).view(np.uint64)).sum(1)).astype(int)
+        return int((100 * most >= measure.percent * (600 - most)).sum())
+
+    assert may(270) < 10 and may(280) == 100
+
+
 def test_similar_components_of_nothing(nothing):
     assert ngram_join.similar_components(nothing).isEmpty()
 
