@@ -12,8 +12,11 @@ other order too, before whole sets are compared.
 
 Groups of nodes with one prefix token are not expanded into pairs.  First each node meets the node of its group in which
 the token stands furthest to the front; links make components.  Then only nodes outside the group's largest component
-meet the others, only across components, and only where bitmaps of their sets leave a link possible; a pair that
-met at one of the first tokens of its prefixes is not written again.  No link between components is lost, and members of one need none.
+meet the others, only across components, and only where bitmaps of their sets leave a link possible.  Of the pairs
+that may link a group writes those that tie two components, or what was tied before, together: fewer than it has members.
+What these and the first links tie is a cluster; no link leaves one.  Each set goes to its cluster once, and there the
+nodes of different components meet under all orders and by whole sets; again only links that tie something are written.
+No link between components is lost, and members of one need none.
 
 Nothing here is cut off: no bound on partners, frequent tokens or group sizes.  Hashes have 52 bits for shingles and 64
 for whole sets.
@@ -298,104 +301,190 @@ def first_meetings(entries: DataFrame) -> DataFrame:
                           .filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
 
 
-#: Members of a token group that meet in one piece of work; larger groups are cut into pairs of blocks.
-BLOCK = 8192
+#: Members of a group that meet in one piece of work, and tokens of their sets where these go along; larger groups are cut into
+#: pairs of blocks.
+BLOCK, SET_BLOCK = 8192, 1 << 20
 #: Tokens at the front of each prefix by which a pair is known to have met before.
 FRONT = 12
 
 
-def _earlier(size: np.ndarray, tokens: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """Whether two members have one of their listed tokens in common, for arrays of members; ``size`` tokens of each."""
+def _in_common(size: np.ndarray, tokens: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """How many of their listed tokens two members have in common, for arrays of members; ``size`` distinct tokens of each."""
     known, rank = np.unique(tokens, return_inverse=True)
     has = np.sort(np.repeat(np.arange(len(size)), size) * max(1, len(known)) + rank)
     first = np.cumsum(size) - size
 
     def common(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(i), bool)
-        for a in range(0, len(i) if len(has) else 0, 1 << 14):
-            own, other = i[a:a + (1 << 14)], j[a:a + (1 << 14)]
+        out = np.zeros(len(i), np.int64)
+        cut = [0]
+        if len(has):
+            upto = np.cumsum(size[i])
+            while cut[-1] < len(i):
+                done = upto[cut[-1] - 1] if cut[-1] else 0
+                cut.append(max(cut[-1] + 1, int(np.searchsorted(upto, done + (1 << 19), side="right"))))
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            own, other = i[a:b], j[a:b]
             pair = np.repeat(np.arange(len(own)), size[own])
             asked = take_spans(has, first[own], size[own]) % len(known) + other[pair] * len(known)
             at = np.minimum(np.searchsorted(has, asked), len(has) - 1)
-            out[a + pair[has[at] == asked]] = True
+            out[a:b] = np.bincount(pair[has[at] == asked], minlength=len(own))
         return out
 
     return common
 
 
-def _across(percent: int):
-    """Pairs of each (token, left block, right block) that may link: the left members, all outside the largest component,
-    with those right members that are in another component.  A pair does not leave where one of the FRONT first
-    tokens of the order has brought it together before: it is written about once, however many tokens its sets share."""
+def _ties(tree: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x, y) tie two trees together that are apart when their turn comes.  ``tree`` names the root of
+    each element and is brought up to date."""
+    out = np.zeros(len(x), bool)
+    low, high = np.minimum(tree[x], tree[y]), np.maximum(tree[x], tree[y])
+    first = np.unique(low * len(tree) + high, return_index=True)[1]
+    for k in first[low[first] < high[first]].tolist():
+        a, b = int(low[k]), int(high[k])
+        while tree[a] != a:
+            a = int(tree[a])
+        while tree[b] != b:
+            b = int(tree[b])
+        if a != b:
+            tree[max(a, b)] = min(a, b)
+            out[k] = True
+    while (tree != (up := tree[tree])).any():
+        tree[:] = up
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch], plain: int, lists: int) -> Iterator[list[np.ndarray]]:
+    """The columns after the key of each (token, left block, right block) of a sorted stream: the plain ones, then
+    lengths and values of each list."""
+    def whole(parts: list[tuple]) -> list[np.ndarray]:
+        return [np.concatenate([p[k] for p in parts]) for k in range(len(parts[0]))]
+
+    now, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(k).to_numpy() for k in range(3)])
+        cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3, 3 + plain)]
+        sized = [(c.value_lengths().to_numpy(), c.flatten().to_numpy()) for c in (batch.column(k) for k in range(3 + plain, 3 + plain + lists))]
+        sized = [(size, np.concatenate([[0], np.cumsum(size)]), values) for size, values in sized]
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
+            if now is not None and now != tuple(key[:, a]):
+                yield whole(parts)
+                parts = []
+            now = tuple(key[:, a])
+            parts.append((*(c[a:b] for c in cols), *(x for size, upto, values in sized for x in (size[a:b], values[upto[a]:upto[b]]))))
+    if parts:
+        yield whole(parts)
+
+
+def _met(left: np.ndarray, node: np.ndarray, n: np.ndarray, component: np.ndarray, major: np.ndarray, place: np.ndarray, bits: np.ndarray,
+         percent: int, asked: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Pairs that tie: the left members, all outside the largest component, meet those right members that are in another
+    component and not yet tied to theirs, as far as sizes, places and bitmaps allow; ``asked`` has the last word."""
     def may(na: np.ndarray, nb: np.ndarray, most: np.ndarray) -> np.ndarray:
         most = np.minimum(np.minimum(most, na), nb)
         return 100 * most >= percent * (na + nb - most)
 
-    def meet(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        left, node, n, place, component, major = (np.concatenate([p[k] for p in parts]) for k in range(6))
-        bits = np.concatenate([p[6] for p in parts]).view(np.uint64).reshape(-1, WORDS)
-        met_before = _earlier(np.concatenate([p[7] for p in parts]), np.concatenate([p[8] for p in parts]))
-        a, b = np.flatnonzero(left), np.flatnonzero(~left)
-        step = max(1, (1 << 16) // max(1, len(b)))
-        for k in range(0, len(a), step):
-            i, j = (x.ravel() for x in np.meshgrid(a[k:k + step], b, indexing="ij"))
-            ok = (component[i] != component[j]) & ((component[j] == major[j]) | (node[i] < node[j]))
-            i, j = i[ok], j[ok]
-            ok = may(n[i], n[j], np.minimum(n[i] - place[i], n[j] - place[j]))
-            i, j = i[ok], j[ok]
-            ok = np.zeros(len(i), bool)
-            for c in range(0, len(i), 1 << 13):
-                p, q = i[c:c + (1 << 13)], j[c:c + (1 << 13)]
-                x, y = bits[p], bits[q]
-                ok[c:c + (1 << 13)] = may(n[p], n[q], np.minimum(n[p] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[q] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)))
-            i, j = i[ok], j[ok]
-            new = ~met_before(i, j)
+    known, of = np.unique(component, return_inverse=True)
+    tree = np.arange(len(known))
+    a, b = np.flatnonzero(left), np.flatnonzero(~left)
+    step = max(1, (1 << 16) // max(1, len(b)))
+    for k in range(0, len(a), step):
+        i, j = (x.ravel() for x in np.meshgrid(a[k:k + step], b, indexing="ij"))
+        ok = (tree[of[i]] != tree[of[j]]) & ((component[j] == major[j]) | (node[i] < node[j]))
+        i, j = i[ok], j[ok]
+        ok = may(n[i], n[j], np.minimum(n[i] - place[i], n[j] - place[j]))
+        i, j = i[ok], j[ok]
+        for c in range(0, len(i), 1 << 13):
+            p, q = i[c:c + (1 << 13)], j[c:c + (1 << 13)]
+            apart = tree[of[p]] != tree[of[q]]
+            p, q = p[apart], q[apart]
+            x, y = bits[p], bits[q]
+            ok = may(n[p], n[q], np.minimum(n[p] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[q] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)))
+            p, q = p[ok], q[ok]
+            ok = asked(p, q)
+            p, q = p[ok], q[ok]
+            new = _ties(tree, of[p], of[q])
             if new.any():
-                yield pa.RecordBatch.from_arrays([pa.array(node[i[new]]), pa.array(node[j[new]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[p[new]]), pa.array(node[q[new]])], ["a", "b"])
 
+
+def _across(percent: int):
+    """Ties of each (token, left block, right block) among the pairs that may link.  A pair is not looked at where one of the
+    FRONT first tokens of the order has brought it together before, however many tokens its sets share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, []
-        for batch in batches:
-            key = np.stack([batch.column(k).to_numpy() for k in range(3)])
-            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1 if batch.num_rows else np.zeros(0, np.int64)
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3, 9)]
-            bits = batch.column(9).flatten().to_numpy().reshape(-1, WORDS) if batch.num_rows else np.zeros((0, WORDS), np.int64)
-            size = batch.column(10).value_lengths().to_numpy()
+        for left, node, n, component, major, place, _, bits, size, earlier in _groups(batches, 6, 2):
+            met_before = _in_common(size, earlier)
+            yield from _met(left, node, n, component, major, place, bits.view(np.uint64).reshape(-1, WORDS), percent,
+                            lambda p, q, met_before=met_before: met_before(p, q) == 0)
+
+    return run
+
+
+def _linked(percent: int, orders: int):
+    """Ties of each (cluster, left block, right block) among the pairs that link.  Prefixes under every order have their say
+    before whole sets are compared."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, node, n, component, major, size, tokens, *prefix in _groups(batches, 5, 1 + orders):
+            every = [_in_common(prefix[2 * k], prefix[2 * k + 1]) for k in range(orders)]
+            whole = _in_common(size, tokens)
+
+            def links(p: np.ndarray, q: np.ndarray, n=n, every=every, whole=whole) -> np.ndarray:
+                at = np.arange(len(p))
+                for shared in every:
+                    at = at[shared(p[at], q[at]) > 0]
+                both = whole(p[at], q[at])
+                out = np.zeros(len(p), bool)
+                out[at[100 * both >= percent * (n[p[at]] + n[q[at]] - both)]] = True
+                return out
+
             upto = np.concatenate([[0], np.cumsum(size)])
-            earlier = batch.column(10).flatten().to_numpy()
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
-                if a == b:
-                    continue
-                if now is not None and now != tuple(key[:, a]):
-                    yield from meet(parts)
-                    parts = []
-                now = tuple(key[:, a])
-                parts.append((*(c[a:b] for c in cols), bits[a:b], size[a:b], earlier[upto[a]:upto[b]]))
-        if parts:
-            yield from meet(parts)
+            bits = np.concatenate([bitmaps(np.repeat(np.arange(b - a), size[a:b]), tokens[upto[a]:upto[b]].view(np.uint64), b - a)
+                                   for a, b in zip(range(0, len(size), 1024), [*range(1024, len(size), 1024), len(size)], strict=True)])
+            yield from _met(left, node, n, component, major, np.zeros_like(n), bits.view(np.uint64), percent, links)
 
     return run
 
 
-def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, fronts: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of a token group that are in different components, as far as sizes, places and bitmaps allow.
+def _of_several(members: DataFrame, group: str) -> DataFrame:
+    """The groups of (group, node, n, component) with more than one component: the largest one, and into how many blocks of
+    BLOCK members or SET_BLOCK tokens the members are dealt."""
+    counts = members.groupBy(group, "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("all"))
+    return (counts.groupBy(group).agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("size"), F.sum("all").alias("all"))
+            .filter("kinds > 1").select(group, F.col("m.component").alias("major"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"),
+                                        F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") / SET_BLOCK)).cast("int").alias("set_blocks")))
 
-    The members outside the largest component meet all others.  A group of more than BLOCK members is dealt out as
-    pairs of blocks, so that no piece of work grows with the group."""
+
+def _in_blocks(members: DataFrame, group: str, blocks: str, own: tuple[str, ...]) -> DataFrame:
+    """Every left block of a group, the members outside its largest component, with every right block, all members.  A group
+    is dealt out as pairs of blocks, so that no piece of work grows with the group."""
+    block = F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    left = members.filter("component <> major").select(group, block.alias("i"), every.alias("j"), F.lit(True).alias("left"), *own)
+    right = members.select(group, every.alias("i"), block.alias("j"), F.lit(False).alias("left"), *own)
+    return left.unionAll(right).repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+
+
+def later_meetings(entries: DataFrame, labels: DataFrame, sets: DataFrame, fronts: DataFrame, measure: Measure) -> DataFrame:
+    """Pairs that tie all nodes that may link, though in different components, as far as sizes, places and bitmaps allow: the
+    members of a token group outside its largest component meet all others."""
     named = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    counts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-    major = (counts.groupBy("token").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("size"))
-             .filter("kinds > 1").select("token", F.col("m.component").alias("major"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    named = settle(named.join(major, "token").join(sets.select("node", "bits"), "node").join(fronts, "node")
-                   .withColumn("earlier", F.slice("front", F.lit(1), F.least("nth", F.lit(FRONT)))).drop("front", "nth")
-                   .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "ngram-groups")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = ("node", "n", "place", "component", "major", "bits", "earlier")
-    left = named.filter("component <> major").select("token", F.col("block").alias("i"), every.alias("j"), F.lit(True).alias("left"), *own)
-    right = named.select("token", every.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), *own)
-    pairs = (left.unionAll(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-             .mapInArrow(lean(_across(measure.percent)), "a bigint, b bigint"))
-    return settle(distinct_pairs(pairs), "ngram-later")
+    named = settle(named.join(_of_several(named, "token"), "token").join(sets.select("node", "bits"), "node").join(fronts, "node")
+                   .withColumn("earlier", F.slice("front", F.lit(1), F.least("nth", F.lit(FRONT)))).drop("front", "nth"), "ngram-groups")
+    rows = _in_blocks(named, "token", "blocks", ("node", "n", "component", "major", "place", "bits", "earlier"))
+    return settle(distinct_pairs(rows.mapInArrow(lean(_across(measure.percent)), "a bigint, b bigint")), "ngram-later")
+
+
+def links_within(clusters: DataFrame, labels: DataFrame, survivors: DataFrame, sets: DataFrame, measure: Measure, orders: int) -> DataFrame:
+    """Links that tie all nodes of a cluster that links tie, though in different components."""
+    prefix = [f"prefix{k}" for k in range(orders)]
+    named = clusters.select("node", F.col("component").alias("cluster")).join(labels, "node", "left").join(survivors.select("node", "n", *prefix), "node")
+    named = named.withColumn("component", F.coalesce("component", "node"))
+    named = settle(named.join(_of_several(named.select("cluster", "node", "n", "component"), "cluster"), "cluster")
+                   .join(sets.select("node", "tokens"), "node"), "ngram-clusters")
+    rows = _in_blocks(named, "cluster", "set_blocks", ("node", "n", "component", "major", "tokens", *prefix))
+    return settle(rows.mapInArrow(lean(_linked(measure.percent, orders)), "a bigint, b bigint"), "ngram-ties")
 
 
 def similar_components(docs: DataFrame, measure: Measure | None = None, orders: int = 2) -> DataFrame:
@@ -413,8 +502,9 @@ def similar_components(docs: DataFrame, measure: Measure | None = None, orders:
     links = verified(first_meetings(entries), survivors, sets, measure, orders)
     labels = components(links)
     later = later_meetings(entries, labels, sets, survivors.select("node", F.slice("prefix0", 1, FRONT).alias("front")), measure)
-    more = verified(later, survivors, sets, measure, orders)
-    labels = components(links.unionAll(more))
+    if not later.isEmpty():
+        more = links_within(components(links.unionAll(later)), labels, survivors, sets, measure, orders)
+        labels = components(links.unionAll(more))
     first = labels.join(nodes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = nodes.select("node", "rep").join(labels.join(first, "component").select("node", "component_id"), "node", "left")
     named = named.select("node", F.coalesce("component_id", "rep").alias("component_id"))

@@ -353,6 +353,55 @@ def test_similar_components_of_short_texts(spark):
     assert order(map(tuple, got)) == order(plain_components(rows))
 
 
+def linking_family(n, seed):
+    """Copies of one text that choose among a few words in five places and have a word of their own; most link."""
+    rng = np.random.default_rng(seed)
+    base = passage(150, seed).split()
+    out = []
+    for k in range(n):
+        words = list(base)
+        for place in range(10, 150, 30):
+            if rng.random() < 0.5:
+                words[place] = f"x{rng.integers(3)}"
+        words[149 - int(rng.integers(3))] = f"own{k}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_later_pairs_do_not_grow_with_the_square_of_a_family(spark, monkeypatch):
+    """Pairs across components tie nodes together; a group does not write all that may link (2,688 here)."""
+    written, settle = {}, ngram_join.settle
+
+    def counted(df, label):
+        out = settle(df, label)
+        written.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "settle", counted)
+    rows = list(enumerate(linking_family(300, 5)))
+    got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert order(map(tuple, got)) == order(plain_components(rows))
+    assert 0 < sum(written["ngram-later"]) < len(rows) and len(written["ngram-candidates"]) == 1
+
+
+def test_similar_components_in_blocks(spark, monkeypatch):
+    """Groups and clusters cut into pairs of blocks give the same components, two families of them and texts of their own."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 40)
+    monkeypatch.setattr(ngram_join, "SET_BLOCK", 3000, raising=False)
+    rows = list(enumerate([*linking_family(200, 5), *near_family(150, 7), *(passage(60, 500 + k) for k in range(20))]))
+    got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert order(map(tuple, got)) == order(plain_components(rows))
+
+
+def test_ties():
+    """Of the pairs those stay that tie two trees, in one call or the next."""
+    tree = np.arange(6)
+    assert ngram_join._ties(tree, np.array([0, 1, 2, 2, 3]), np.array([1, 0, 1, 0, 3])).sum() == 2
+    assert tree.tolist() == [0, 0, 0, 3, 4, 5]
+    assert ngram_join._ties(tree, np.array([5, 4, 5, 2]), np.array([4, 1, 0, 5])).sum() == 2
+    assert tree.tolist() == [0, 0, 0, 3, 0, 0]
+
+
 def test_bitmaps_tell_near_copies_from_links():
     """Sets of 300 of which 270 are common (0.82) mostly go by their bitmaps alone; with 280 in common (0.875) none goes."""
     rng, measure = np.random.default_rng(7), ngram_join.Measure()
