@@ -314,3 +314,20 @@ def test_numbers_by_code_equal_windows(hot):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert row_numbers_by_code(data.filter("false"), ["key"], {"x": "code"}, order).isEmpty()
+
+
+def test_rows_are_dealt_for_their_result(spark, monkeypatch):
+    """Six people of one number and 50 managers of it: 300 rows, 20 a task; before, the shuffle partitions whatever came out."""
+    monkeypatch.setattr(J, "ROWS_PER_TASK", 20)
+    staff = spark.range(56).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("name"), F.lit("f").alias("force"), F.lit("r").alias("number"),
+                                   F.when(F.col("id") < 50, "high").otherwise("low").alias("level"))
+    low = staff.filter("level = 'low'").select("name", "force", "number").union(spark.createDataFrame([("alone", "f", None)], "a string, b string, c string"))
+    managers = [("high", "number", {"boss": "name"})]
+    made = J.level_managers(low, staff, "force", "level", managers)
+    assert made.rdd.getNumPartitions() == 16  # 301 rows
+    twice = spark.createDataFrame([("f", 1), ("f", 2)], "of string, code int")
+    assert J.level_managers(low, staff, "force", "level", managers, then=[(twice, {"force": "of"})]).rdd.getNumPartitions() == 31
+    expected = [(f"p{i}", f"p{k}") for i in range(50, 56) for k in range(50)] + [("alone", "")]
+    assert sorted((r["name"], r["boss"] or "") for r in made.collect()) == sorted(expected)
+    monkeypatch.setattr(J, "CARRIED_ROWS", 10)  # managers of more rows are joined as Spark sees fit
+    assert J.level_managers(low, staff, "force", "level", managers).count() == 301
