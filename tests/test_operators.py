@@ -331,3 +331,14 @@ def test_rows_are_dealt_for_their_result(spark, monkeypatch):
     assert sorted((r["name"], r["boss"] or "") for r in made.collect()) == sorted(expected)
     monkeypatch.setattr(J, "CARRIED_ROWS", 10)  # managers of more rows are joined as Spark sees fit
     assert J.level_managers(low, staff, "force", "level", managers).count() == 301
+
+
+def test_list_lookup_equals_left_lookup(spark, monkeypatch):
+    monkeypatch.setattr(J, "LIST_ROWS", 3)
+    facts = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (2, "b", "x"), (3, None, "x"), (4, "a", None), (5, "c", "x")], "id int, k string, l string")
+    dim = spark.createDataFrame([("a", "x", str(i % 7)) for i in range(20)] + [("a", "x", None), ("b", "x", None), ("b", "x", None), (None, "x", "0"), ("a", None, "9")],
+                                "dk string, dl string, v string")
+    on = {"k": "dk", "l": "dl"}
+    got, expected = J.list_lookup(facts, dim, on, {"w": "v"}), J.left_lookup(facts, dim, on, {"w": "v"})
+    assert got.columns == expected.columns == ["id", "k", "l", "w"]
+    assert rows_of(got) == rows_of(expected)
