@@ -219,7 +219,7 @@ def _activity_columns() -> dict[str, Column]:
         "source_act_type": F.col("_type"),
         "product_name": F.coalesce("_brand_name", "marketing_brand"),
         "therapeutic_area": F.coalesce("_area", "_brand_name", "marketing_brand"),
-        "actual_tactic_code": F.col("_tactic_up"),
+        "actual_tactic_code": F.upper("tactic_cd"),
         "tactic_code": E.tactic_code("source_cd", "tactic_cd"),
         "orig_tactic_code_of_resends": E.original_tactic("source_cd", "tactic_cd"),
         "resend_flag": E.resend_flag("source_cd", "tactic_cd"),
@@ -292,23 +292,58 @@ def newest_activity(t: Frames) -> DataFrame:
                          [newest("time_date"), newest("date_timestamp"), newest("integration_key")])
 
 
-def activity_with_bounce(activity: DataFrame) -> DataFrame:
-    """Net-bounce flag per customer and tactic, and flags for repeated sends.  A month of the activity stays."""
-    months = [c for c in activity.columns if c == "activity_month"]
-    bounced = net_bounces(activity.filter(F.col("bounce_activity_seq_number") == 1))
-    rows = activity.select(*_BOUNCE_VIEW, "base_tactic", *months)
+def _with_repeats(rows: DataFrame, bounced: DataFrame) -> DataFrame:
+    """The net bounce of a row's customer and tactic, and whether the row repeats another one in its month and overall."""
     rows = left_lookup(rows, bounced, {"mdm_id": "mdm_id", "actual_tactic_code": "actual_tactic_code"},
                        {"_bounce": "bounce_flag"})
     rows = rows.withColumn("_month", month_start("time_date"))
-    rows = repeat_flags(rows, ["alignment_string", "activity_type", "base_tactic"],
+    return repeat_flags(rows, ["alignment_string", "activity_type", "base_tactic"],
                         {"_month_repeat": ["_month"], "_repeat": []},
                         [F.col("_bounce").isNull(), F.col("_bounce"), F.col("time_date"), F.col("date_timestamp"),
                          F.col("integration_key").isNull(), F.col("integration_key")])
+
+
+def _bounce_columns() -> list[Column]:
     sent = (F.upper("activity_type") == "EMAIL SENT") & F.upper("source_code").isin(V.RESEND_SOURCES)
-    return rows.select(*_BOUNCE_VIEW, *months,
-                       yes_no(F.col("_month_repeat") & sent).alias("monthly_resends_exclude_flag"),
-                       yes_no(F.col("_repeat") & sent).alias("overall_resends_exclude_flag"),
-                       F.coalesce("_bounce", F.lit(0)).alias("bounce_flag"))
+    return [yes_no(F.col("_month_repeat") & sent).alias("monthly_resends_exclude_flag"),
+            yes_no(F.col("_repeat") & sent).alias("overall_resends_exclude_flag"),
+            F.coalesce("_bounce", F.lit(0)).alias("bounce_flag")]
+
+
+def activity_with_bounce(activity: DataFrame) -> DataFrame:
+    """Net-bounce flag per customer and tactic, and flags for repeated sends.  A month of the activity stays."""
+    months = [c for c in activity.columns if c == "activity_month"]
+    bounced = net_bounces(activity.filter(F.col("bounce_activity_seq_number") == 1))
+    rows = _with_repeats(activity.select(*_BOUNCE_VIEW, "base_tactic", *months), bounced)
+    return rows.select(*_BOUNCE_VIEW, *months, *_bounce_columns())
+
+
+def bounce_activity(t: Frames) -> DataFrame:
+    """``activity_with_bounce`` of the whole activity, from the tables.
+
+    Nothing wide is written, and wide rows move once, as the fact has them and only the columns of the view: the numbers,
+    what is looked up by account or person, net bounces and repeats are worked out on narrow rows before.  These flags hang on
+    what tells rows of one integration key apart (``told``), so facts that share a key get their own."""
+    made = _activity_columns()
+    moved = [c for name in _MOVING for c in _STANDS_ON[name]]
+    told = ["mdm_id", "actual_tactic_code", "date_timestamp"]
+    side = settle(activity_rows(t, ["integration_key", *moved]).join(activity_numbers(t), "integration_key"), "activity-side")
+    first = side.filter(F.col("bounce_activity_seq_number") == 1).select("integration_key")
+    kinds = activity_rows(t, ["integration_key", "mdm_id", "actual_tactic_code", "source_code", "activity_subchannel", "activity_type", "date_nbr"])
+    rows = activity_rows(t, ["integration_key", *told, "alignment_string", "activity_type", "base_tactic", "time_date"])
+    rows = _with_repeats(rows.filter(F.col("integration_key").isNotNull()), net_bounces(kinds.join(first, "integration_key")))
+    flags = rows.groupBy("integration_key", F.struct(*told).alias("_told")).agg(
+        *[F.max(c).alias(c) for c in ("_bounce", "_month_repeat", "_repeat")])
+    flags = flags.join(side, "integration_key").select(
+        F.col("integration_key").alias("_key"), "_told", "_bounce", "_month_repeat", "_repeat",
+        *[F.col(c).alias(f"_side_{c}") for c in (*moved, *_NUMBERS)])
+    own = F.struct(*[made[c].alias(c) for c in told])
+    rows = _facts(t).join(flags, (F.col("integration_key") == F.col("_key")) & (own == F.col("_told")))
+    rows = rows.withColumns(_lookup_keys())
+    rows = _looked_up(rows, t, set(_STANDS_ON) - set(_MOVING))
+    rows = rows.select(*[(F.col(f"_side_{c}") if c in moved or c in _NUMBERS else made[c]).alias(c) for c in _BOUNCE_VIEW],
+                       "_bounce", "_month_repeat", "_repeat")
+    return rows.select(*_BOUNCE_VIEW, *_bounce_columns())
 
 
 def party_states(t: Frames) -> DataFrame:

@@ -82,3 +82,24 @@ def test_the_activity_moves_wide_rows_once(spark):
     plan = plan_of(activity.activity_by_month(open_tables(spark, SF)))
     assert len(re.findall(r"Exchange rangepartitioning", plan)) == 1
     assert "Exchange hashpartitioning(activity_month" not in plan
+
+
+def test_bounce_flags_write_nothing_wide_and_equal_those_of_the_stored_activity(spark, monkeypatch):
+    """On facts some of which share an integration key, under another customer or time, or come twice; some keys are empty."""
+    tables = open_tables(spark, SF)
+    facts = tables["marketing_fact"].filter("CAST(substr(integration_key, 2) AS BIGINT) % 3 = 0")
+    n = F.substring("integration_key", 2, 12).cast("bigint")
+    other = facts.filter(n % 5 == 0).withColumns({"mk_account_vnt_id": F.lit("-1"), "activity_time": F.expr("activity_time + INTERVAL 1 DAY")})
+    keyless = facts.filter(n % 7 == 0).withColumn("integration_key", F.lit(None).cast("string"))
+    folder = activity.settle(facts.union(facts.filter(n % 11 == 0)).union(other).union(keyless), "test-facts")
+    tables = tables.with_results(marketing_fact=folder)
+    expected = activity.activity_with_bounce(activity.activity_product(tables)).drop("activity_month")
+    written, real = [], activity.settle
+    monkeypatch.setattr(activity, "settle", lambda df, label, *rest: written.append((label, len(df.columns))) or real(df, label, *rest))
+    got = activity.bounce_activity(tables)
+    assert written == [("activity-side", 7)]
+    assert got.columns == expected.columns
+    # of rows that tie in all but what was looked up, either may get a number
+    known = [c for c in got.columns if c not in ("activity_seq_number", "bounce_activity_seq_number")]
+    assert got.select(*known).exceptAll(expected.select(*known)).isEmpty() and expected.select(*known).exceptAll(got.select(*known)).isEmpty()
+    assert got.count() > facts.count() and got.filter("bounce_flag = 1").count() > 0
